@@ -33,6 +33,8 @@ def item_id_from_path(path: Column | str, rule: str = "suffix") -> Column:
     * ``prefix``: the last path element up to its first ``_``
     * ``depth3``: the element at fixed depth 3 (``s3://bucket/<file>``) up to
       its first ``_`` -- the literal form of the batch job
+    * ``folder``: the value of an ``asin=<id>`` folder (files written with
+      ``partitionBy("asin")``)
     """
     p = F.col(path) if isinstance(path, str) else path
     parts = F.split(p, "/")
@@ -40,6 +42,8 @@ def item_id_from_path(path: Column | str, rule: str = "suffix") -> Column:
         return F.regexp_extract(p, r".*/([^/]+)_com_norm\.json", 1)
     if rule == "prefix":
         return F.split(F.element_at(parts, -1), "_").getItem(0)
+    if rule == "folder":
+        return F.regexp_extract(p, r"/asin=([^/]+)/", 1)
     if rule == "depth3":
         return F.split(F.try_element_at(parts, F.lit(4)), "_").getItem(0)
     raise ValueError(f"unknown id rule {rule!r}")

@@ -16,3 +16,100 @@ DAILY_SQL = S.with_(S.META, S.OBS, S.FACTS, S.DAILY) + "SELECT * FROM daily"
 def daily_min_rank(spark, sf_dir):
     """Observations x metadata -> dropna -> min rank per item-day."""
     return C.book_daily(spark, sf_dir)
+
+
+def _event_documents(spark, sf_dir):
+    """One rank document per event: ``{"<epoch>": rank, "<epoch+60>": k}``.
+    Error events carry a non-integer rank, so their whole map parses to null."""
+    ev = C.table(spark, sf_dir, "events")
+    epoch = F.unix_timestamp("ts")
+    rank = F.when(F.col("event_type") == "error", F.lit('"x"')).otherwise(
+        C.cents("value").cast("string"))
+    k = F.regexp_extract("props", r":\s*(\d+)", 1)
+    text = F.concat(F.lit('{"'), epoch.cast("string"), F.lit('": '), rank,
+                    F.lit(', "'), (epoch + 60).cast("string"), F.lit('": '), k, F.lit("}"))
+    return ev.select(F.col("user_id").cast("string").alias("asin"), text.alias("value"))
+
+
+_EVENT_DOCS_SQL = """
+WITH e AS (
+  SELECT CAST(user_id AS VARCHAR) AS asin, event_type,
+         CAST(floor(epoch_us(ts) / 1000000) AS BIGINT) AS ep,
+         CAST(round(value * 100) AS BIGINT) AS rank,
+         CAST(regexp_extract(props, ':\\s*(\\d+)', 1) AS BIGINT) AS k
+  FROM events),
+kv AS (
+  SELECT asin, ep AS e, rank FROM e WHERE event_type <> 'error'
+  UNION ALL
+  SELECT asin, ep + 60 AS e, k AS rank FROM e WHERE event_type <> 'error'),
+t AS (SELECT asin, make_timestamp(e * 1000000) AS t, rank FROM kv)
+SELECT asin, strftime(t, '%Y-%m-%d %H:%M:%S') AS timestamp, rank,
+       strftime(t, '%Y') AS year, strftime(t, '%m') AS month, strftime(t, '%d') AS date,
+       strftime(t, '%A') AS day, strftime(t, '%H') AS hour
+FROM t"""
+
+
+@query("history_json_explode", _EVENT_DOCS_SQL)
+def history_json_explode(spark, sf_dir):
+    """JSON rank maps -> rows -> epoch text -> time string + calendar parts
+    (X1 X2 X7-X13 P8)."""
+    docs = _event_documents(spark, sf_dir)
+    return to_observations(explode_rank_map(docs, "value", keep=("asin",)))
+
+
+@query("roundtrip_json_history", _EVENT_DOCS_SQL)
+def roundtrip_json_history(spark, sf_dir):
+    """The file-based ingest: rank documents are written as text files, one
+    folder per item, then scanned back as a glob with the source path of
+    every line; the item id is taken from the path (S1 S7 S8 X1-X13)."""
+    from rankflow.operators.history import observations_from_documents
+    from rankflow.session import scratch_path
+    from rankflow.sources.readers import read_rank_documents
+
+    path = scratch_path(spark, "rank-docs")
+    _event_documents(spark, sf_dir).write.mode("overwrite").partitionBy("asin").text(path)
+    docs = read_rank_documents(spark, f"{path}/*/*.txt")
+    return observations_from_documents(docs, "value", "file_name", id_rule="folder")
+
+
+_MELT_SQL = """
+WITH counts AS (
+  SELECT o_custkey, o_orderpriority AS priority, count(*) AS n_orders
+  FROM orders GROUP BY 1, 2),
+keys AS (SELECT DISTINCT o_custkey FROM orders),
+cols AS (SELECT DISTINCT o_orderpriority AS priority FROM orders)
+SELECT k.o_custkey, c.priority, n.n_orders
+FROM keys k CROSS JOIN cols c
+LEFT JOIN counts n ON n.o_custkey = k.o_custkey AND n.priority = c.priority"""
+
+
+@query("history_melt", _MELT_SQL)
+def history_melt(spark, sf_dir):
+    """Wide -> long with a row for every (key, column), null when absent (X3):
+    order counts pivoted by priority, then melted back."""
+    orders = C.table(spark, sf_dir, "orders")
+    wide = orders.groupBy("o_custkey").pivot("o_orderpriority").count()
+    return melt(wide, ["o_custkey"], key_name="priority", value_name="n_orders")
+
+
+_PATH_SQL = """
+SELECT page_id,
+       string_split(url, '/')[-1] AS base_name,
+       string_split(string_split(url, '/')[-1], '_')[1] AS id_prefix,
+       regexp_extract(url || '_com_norm.json', '.*/([^/]+)_com_norm\\.json', 1) AS id_suffix,
+       string_split(string_split(url, '/')[4], '_')[1] AS id_depth3
+FROM pages"""
+
+
+@query("item_id_from_path", _PATH_SQL)
+def item_id_from_path_query(spark, sf_dir):
+    """Split, element access and regex capture on source paths."""
+    pages = C.table(spark, sf_dir, "pages")
+    doc_path = F.concat(F.col("url"), F.lit("_com_norm.json"))
+    return pages.select(
+        "page_id",
+        F.element_at(F.split("url", "/"), -1).alias("base_name"),
+        item_id_from_path("url", "prefix").alias("id_prefix"),
+        item_id_from_path(doc_path, "suffix").alias("id_suffix"),
+        item_id_from_path("url", "depth3").alias("id_depth3"),
+    )
