@@ -69,13 +69,13 @@ def with_position(df: DataFrame, order_cols, pos_col: str = "pos",
                 Window.orderBy("_rf_part").rowsBetween(Window.unboundedPreceding, -1)),
             F.lit(0),
         ).alias("_rf_off"),
-        F.sum("_rf_n").over(Window.partitionBy()).alias("_rf_total"),
+        F.sum("_rf_n").over(Window.partitionBy()).alias("_rf_all"),
     )
     out = tagged.join(F.broadcast(offsets), "_rf_part", "inner")
     out = out.withColumn(pos_col, (F.col("_rf_off") + F.col("_rf_idx")).cast("long"))
     if total_col:
-        out = out.withColumn(total_col, F.col("_rf_total").cast("long"))
-    return out.drop("_rf_part", "_rf_idx", "_rf_off", "_rf_total")
+        out = out.withColumn(total_col, F.col("_rf_all").cast("long"))
+    return out.drop("_rf_part", "_rf_idx", "_rf_off", "_rf_all")
 
 
 def dense_codes(values: DataFrame, value_col: str, code_col: str = "code",
