@@ -1,6 +1,6 @@
 """Registered queries over the driver tables (one module per theme)."""
 
-from rankflow.plans import q_cleaning, q_features, q_ingest, q_trends  # noqa: F401
+from rankflow.plans import q_cleaning, q_features, q_ingest, q_stats, q_trends  # noqa: F401
 from rankflow.plans.registry import ORACLE, QUERIES
 
 __all__ = ["QUERIES", "ORACLE"]
