@@ -1,6 +1,7 @@
 """Registered queries over the driver tables (one module per theme)."""
 
-from rankflow.plans import (q_cleaning, q_features, q_ingest, q_sequences,  # noqa: F401
+from rankflow.plans import (q_cleaning, q_features, q_ingest, q_recommend,  # noqa: F401
+                            q_sequences,
                             q_stats, q_trends)
 from rankflow.plans.registry import ORACLE, QUERIES
 
