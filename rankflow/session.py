@@ -67,3 +67,11 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh sub-folder of the shared checkpoint folder for written tables."""
     base = checkpoint_dir(spark).rstrip("/")
     return f"{base}/rankflow-{name}-{uuid.uuid4().hex[:12]}"
+
+
+def materialize(df):
+    """Compute ``df`` once and cut its lineage with a reliable checkpoint in
+    the shared checkpoint folder (survives the loss of an executor, unlike
+    a local checkpoint or a cache)."""
+    checkpoint_dir(df.sparkSession)
+    return df.checkpoint(eager=True)
