@@ -8,7 +8,6 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 METADATA_COLUMNS = ["group_name", "format", "title", "author", "publisher", "genre"]
-DAY_KEYS = ["asin", "year", "month", "date", "day"]
 DAILY_COLUMNS = ["asin", "timestamp", "rank", "year", "month", "date", "day", *METADATA_COLUMNS]
 
 _DAY_SECONDS = 86400
@@ -21,34 +20,63 @@ def join_metadata(observations: DataFrame, metadata: DataFrame, key: str = "asin
     return observations.join(metadata, key, "inner")
 
 
-def daily_min_rank(facts: DataFrame, metadata_cols: list[str] = METADATA_COLUMNS) -> DataFrame:
-    """Group by item, calendar day and the item attributes; keep the minimum
-    rank and the timestamp at which it was first reached (earliest on ties).
+def daily_min_rank(observations: DataFrame, metadata: DataFrame,
+                   metadata_cols: list[str] = METADATA_COLUMNS, key: str = "asin") -> DataFrame:
+    """Minimum rank per item and calendar day, with the item attributes and
+    the timestamp at which the minimum was first reached (earliest on ties).
 
-    Rows with any null are dropped first (``dropna``).  For integral ranks
-    (the reference's ``long``) the pair (rank, second of day) is packed into
-    one ``long`` so the aggregate stays a partial+final hash aggregate; other
-    rank types fall back to ``min(struct(rank, timestamp))``, which Spark
-    plans as a sort aggregate.
+    Same result as the reference's join -> ``dropna`` -> group by the eleven
+    (item, day, attribute) keys, but planned the other way round: rows with
+    a null are dropped, the observations are reduced to one row per
+    (item, day) by a partial + final hash aggregate, and only then joined to
+    the distinct, complete metadata rows.  The shuffle carries two keys
+    instead of eleven and the join sees one row per item-day.
+
+    For integral ranks (the reference's ``long``) the pair (rank, second of
+    day) is packed into one ``long`` so the aggregate buffer stays
+    fixed-width; other rank types use ``min(struct(rank, second))``.
     """
-    keys = [*DAY_KEYS, *metadata_cols]
-    clean = facts.select(*keys, "timestamp", "rank").na.drop("any")
-    rank_type = clean.schema["rank"].dataType
+    obs = observations.select(key, "timestamp", "rank")
+    # 'yyyy-MM-dd HH:mm:ss': the day and the second of day are slices of the
+    # string (no per-row timestamp parsing).  The calendar columns and the
+    # hour are functions of the timestamp, so a row with any null has a null
+    # item, timestamp or rank.  Such rows are not filtered up front (a filter
+    # over derived columns is pushed below the projection and re-evaluates
+    # it): a null rank or time makes the packed value null, which ``min``
+    # skips; groups left empty and null items are removed after the
+    # aggregate and by the inner join.
+    ts = F.col("timestamp")
+    day = F.substring(ts, 1, 10)
+    sod = (F.substring(ts, 12, 2).cast("long") * 3600 + F.substring(ts, 15, 2).cast("long") * 60
+           + F.substring(ts, 18, 2).cast("long"))
+    rank_type = obs.schema["rank"].dataType
+    keyed = obs.select(key, day.alias("_day"), sod.alias("_sod"), "rank")
     if isinstance(rank_type, (T.LongType, T.IntegerType, T.ShortType, T.ByteType)):
-        ts = F.to_timestamp("timestamp")
-        sod = F.hour(ts) * 3600 + F.minute(ts) * 60 + F.second(ts)
-        packed = F.col("rank").cast("long") * F.lit(_DAY_SECONDS) + sod.cast("long")
-        agg = clean.groupBy(*keys).agg(F.min(packed).alias("_packed"))
-        rank = F.floor(F.col("_packed") / F.lit(_DAY_SECONDS)).cast("long")
-        sec = F.col("_packed") - rank * F.lit(_DAY_SECONDS)
-        stamp = F.format_string(
-            "%s-%s-%s %02d:%02d:%02d", "year", "month", "date",
-            (sec / 3600).cast("int"), ((sec % 3600) / 60).cast("int"), (sec % 60).cast("int"))
-        out = agg.select(*keys, stamp.alias("timestamp"), rank.cast(rank_type).alias("rank"))
+        packed = F.col("rank").cast("long") * F.lit(_DAY_SECONDS) + F.col("_sod")
+        agg = (keyed.groupBy(key, "_day").agg(F.min(packed).alias("_p"))
+               .where(F.col("_p").isNotNull()))
+        sec = F.pmod(F.col("_p"), F.lit(_DAY_SECONDS))
+        # exact integer division (``/`` would go through double)
+        rank = F.expr(f"(_p - pmod(_p, {_DAY_SECONDS})) div {_DAY_SECONDS}").cast(rank_type)
     else:
-        agg = clean.groupBy(*keys).agg(F.min(F.struct("rank", "timestamp")).alias("_m"))
-        out = agg.select(*keys, F.col("_m.timestamp").alias("timestamp"), F.col("_m.rank").alias("rank"))
-    return out.select(*DAY_KEYS[:1], "timestamp", "rank", *DAY_KEYS[1:], *metadata_cols)
+        pair = F.when(F.col("rank").isNotNull() & F.col("_sod").isNotNull(), F.struct("rank", "_sod"))
+        agg = keyed.groupBy(key, "_day").agg(F.min(pair).alias("_m")).where(F.col("_m").isNotNull())
+        sec = F.col("_m._sod")
+        rank = F.col("_m.rank")
+    stamp = F.format_string("%s %02d:%02d:%02d", F.col("_day"), (sec / 3600).cast("int"),
+                            ((sec % 3600) / 60).cast("int"), (sec % 60).cast("int"))
+    d = F.col("_day")
+    daily = agg.select(
+        key,
+        stamp.alias("timestamp"),
+        rank.alias("rank"),
+        F.substring(d, 1, 4).alias("year"),
+        F.substring(d, 6, 2).alias("month"),
+        F.substring(d, 9, 2).alias("date"),
+        F.date_format(F.to_date(d), "EEEE").alias("day"),
+    )
+    meta = metadata.select(key, *metadata_cols).na.drop("any").distinct()
+    return join_metadata(daily, meta, key).select(*DAILY_COLUMNS)
 
 
 def typed_facts(daily: DataFrame) -> DataFrame:

@@ -24,6 +24,25 @@ def fit_label_codes(df: DataFrame, column: str, code_col: str = "code") -> DataF
     return m.select(F.col(column).alias("value"), F.col(code_col).cast("int").alias(code_col))
 
 
+def fit_label_codes_multi(df: DataFrame, columns: list[str]) -> DataFrame:
+    """Label codes of several string columns in one positional pass:
+    (column, value, code).  The distinct (column, value) pairs are ordered
+    once; a column's codes are positions minus the column's first position
+    (a table with one row per column)."""
+    pairs = F.explode(F.array(*[F.struct(F.lit(c).alias("column"),
+                                         F.col(c).cast("string").alias("value")) for c in columns]))
+    stacked = df.select(pairs.alias("e")).select("e.*").where(F.col("value").isNotNull()).distinct()
+    positioned = with_position(stacked, ["column", "value"], "_pos")
+    firsts = positioned.groupBy("column").agg(F.min("_pos").alias("_first"))
+    return positioned.join(F.broadcast(firsts), "column").select(
+        "column", "value", (F.col("_pos") - F.col("_first")).cast("int").alias("code"))
+
+
+def codes_for(multi: DataFrame, column: str) -> DataFrame:
+    """The (value, code) mapping of one column out of a multi-column fit."""
+    return multi.where(F.col("column") == F.lit(column)).select("value", "code")
+
+
 def lookup(df: DataFrame, column: str, mapping: DataFrame, out: str,
            key: str = "value", value: str = "code", default=-1) -> DataFrame:
     """``series.map(dict).fillna(default)`` as a left join.  The mapping is
@@ -37,10 +56,10 @@ def lookup(df: DataFrame, column: str, mapping: DataFrame, out: str,
 
 def encode_columns(df: DataFrame, columns: list[str], suffix: str = "_code") -> tuple[DataFrame, dict]:
     """Label-encode several columns; returns the coded frame and the mappings."""
-    maps = {}
+    multi = fit_label_codes_multi(df, columns)
+    maps = {c: codes_for(multi, c) for c in columns}
     out = df
     for c in columns:
-        maps[c] = fit_label_codes(df, c)
         out = lookup(out, c, maps[c], c + suffix)
     return out, maps
 

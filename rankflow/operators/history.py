@@ -7,7 +7,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from rankflow.functions.calendar import calendar_parts, epoch_text_to_time_string
 
 RANK_MAP = T.MapType(T.StringType(), T.LongType())
 
@@ -53,14 +52,22 @@ def to_observations(exploded: DataFrame, id_col: str = "asin",
                     epoch_col: str = "timestamp", rank_col: str = "rank") -> DataFrame:
     """(id, epoch text, rank) -> the observation schema: ``timestamp`` is a
     ``yyyy-MM-dd HH:mm:ss`` string in the session time zone and the
-    calendar parts are zero-padded strings plus the weekday name."""
-    with_time = exploded.withColumn("_ts", epoch_text_to_time_string(epoch_col))
-    parts = calendar_parts("_ts")
+    calendar parts are zero-padded strings plus the weekday name.  The
+    epoch is converted once; every part is formatted from that instant."""
+    epoch = F.col(epoch_col).try_cast("bigint")
+    t = F.timestamp_seconds(epoch)
+    with_time = exploded.select(F.col(id_col).alias("asin"), F.col(rank_col).alias("rank"),
+                                F.date_format(t, "yyyy-MM-dd HH:mm:ss").alias("timestamp"),
+                                F.date_format(t, "EEEE").alias("day"))
+    ts = F.col("timestamp")
+    # the zero-padded parts are fixed slices of the formatted time string
     return with_time.select(
-        F.col(id_col).alias("asin"),
-        F.col("_ts").alias("timestamp"),
-        F.col(rank_col).alias("rank"),
-        *[parts[k].alias(k) for k in ("year", "month", "date", "day", "hour")],
+        "asin", "timestamp", "rank",
+        F.substring(ts, 1, 4).alias("year"),
+        F.substring(ts, 6, 2).alias("month"),
+        F.substring(ts, 9, 2).alias("date"),
+        "day",
+        F.substring(ts, 12, 2).alias("hour"),
     )
 
 

@@ -9,8 +9,8 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from rankflow.functions.calendar import cyclic_features, weekday_index
-from rankflow.operators.features import (apply_minmax, first_token_index, fit_label_codes,
-                                         fit_minmax, fit_word_index, lookup)
+from rankflow.operators.features import (apply_minmax, codes_for, first_token_index,
+                                         fit_label_codes_multi, fit_minmax, fit_word_index, lookup)
 
 CYCLIC = ["month_sin", "month_cos", "date_sin", "date_cos", "day_sin", "day_cos"]
 CODED = {"author": "author_code", "publisher": "publisher_code", "format": "format_code",
@@ -45,7 +45,8 @@ def with_calendar_features(daily: DataFrame) -> DataFrame:
 def fit_serving_maps(daily: DataFrame) -> ServingMaps:
     """Label codes, title vocabulary (over every row's title) and the
     min-max scaler of the cyclic features, all fitted on ``daily``."""
-    codes = {c: fit_label_codes(daily, c) for c in CODED}
+    multi = fit_label_codes_multi(daily, list(CODED))
+    codes = {c: codes_for(multi, c) for c in CODED}
     vocab = fit_word_index(daily, "title")
     scaler = fit_minmax(with_calendar_features(daily), CYCLIC)
     return ServingMaps(codes, vocab, scaler)

@@ -6,7 +6,8 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from rankflow.functions.calendar import cyclic_features, weekday_index
-from rankflow.operators.features import (apply_minmax, first_token_index, fit_label_codes,
+from rankflow.operators.features import (apply_minmax, encode_columns, first_token_index,
+                                         fit_label_codes,
                                          fit_minmax, fit_word_index, hash_split,
                                          kfold_target_encode, lookup, one_hot, token_sequences)
 from rankflow.operators.ordering import position_split
@@ -47,10 +48,8 @@ FROM part""")
 def label_encode(spark, sf_dir):
     """Label codes fitted on the distinct values, then joined back."""
     meta = C.book_metadata(spark, sf_dir)
-    out = meta
-    for col, name in (("author", "author_code"), ("genre", "genre_code"),
-                      ("group_name", "group_code"), ("format", "format_code")):
-        out = lookup(out, col, fit_label_codes(meta, col), name)
+    out, _ = encode_columns(meta, ["author", "genre", "group_name", "format"])
+    out = out.withColumnRenamed("group_name_code", "group_code")
     return out.select(F.col("asin").cast("long").alias("p_partkey"), "author_code", "genre_code",
                       "group_code", "format_code")
 

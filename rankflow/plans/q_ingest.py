@@ -67,7 +67,9 @@ def roundtrip_json_history(spark, sf_dir):
     from rankflow.sources.readers import read_rank_documents
 
     path = scratch_path(spark, "rank-docs")
-    _event_documents(spark, sf_dir).write.mode("overwrite").partitionBy("asin").text(path)
+    # one folder per item, one file per folder (cluster the rows by item first)
+    docs_out = _event_documents(spark, sf_dir)
+    docs_out.repartition("asin").write.mode("overwrite").partitionBy("asin").text(path)
     docs = read_rank_documents(spark, f"{path}/*/*.txt")
     return observations_from_documents(docs, "value", "file_name", id_rule="folder")
 

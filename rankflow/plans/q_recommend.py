@@ -9,6 +9,7 @@ from rankflow.operators.recommend import (Request, fit_serving_maps, linear_scor
 from rankflow.plans import catalog as C
 from rankflow.plans import sql as S
 from rankflow.plans.registry import query
+from rankflow.session import materialize
 
 REQUEST = Request(day=2, date=15, month=6, genre="economy", group="book")
 
@@ -22,7 +23,8 @@ INTERCEPT = 2_000_000.0
 
 
 def top10(spark, sf_dir):
-    daily = C.book_daily(spark, sf_dir)
+    # the daily fact is the pipeline's stored table: computed once here
+    daily = materialize(C.book_daily(spark, sf_dir))
     maps = fit_serving_maps(daily)
     return recommend(daily, maps, REQUEST, linear_scorer(COEFFICIENTS, INTERCEPT), 10), daily
 

@@ -4,12 +4,13 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from rankflow.operators.features import fit_label_codes, fit_word_index, lookup, token_sequences
+from rankflow.operators.features import encode_columns, fit_word_index, token_sequences
 from rankflow.operators.sequences import attach_static, history_windows
 from rankflow.operators.vectors import nearest_prototype
 from rankflow.plans import catalog as C
 from rankflow.plans import sql as S
 from rankflow.plans.registry import query
+from rankflow.session import materialize
 
 
 def _digest(df, *extra):
@@ -106,11 +107,11 @@ FROM w JOIN codes c ON w.asin = c.asin WHERE w.rn > 10"""
 def sequence_static(spark, sf_dir):
     """Per-book daily histories with the book's static codes attached (W1 J7
     A15); the padded title tokens ride along in the sample (not compared)."""
-    d = C.book_daily(spark, sf_dir)
+    d = materialize(C.book_daily(spark, sf_dir))
     w = history_windows(d, ["timestamp"], ["rank"], "rank", key="asin")
     static = d.select("asin", "author", "genre", "group_name").distinct()
-    for c, name in (("author", "author_code"), ("genre", "genre_code"), ("group_name", "group_code")):
-        static = lookup(static, c, fit_label_codes(static, c), name)
+    static, _ = encode_columns(static, ["author", "genre", "group_name"])
+    static = static.withColumnRenamed("group_name_code", "group_code")
     titles = first_per_key(d, "asin", ["timestamp", "title"], ["title"])
     vocab = fit_word_index(titles, "title")
     seqs = token_sequences(titles, "asin", "title", vocab, 10)

@@ -5,7 +5,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from rankflow.operators.features import fit_label_codes, lookup
+from rankflow.operators.features import encode_columns
 from rankflow.operators.stats import (anova, anova_by_target, error_metrics, histogram, pearson,
                                       with_anova_p, with_pearson_p)
 from rankflow.plans import catalog as C
@@ -24,9 +24,8 @@ _CODE_COLS = ["title", "author", "publisher"]
 
 def _coded_daily(spark, sf_dir):
     d = C.book_daily(spark, sf_dir)
-    for c in _CODE_COLS:
-        d = lookup(d, c, fit_label_codes(d, c), f"{c}_code")
-    return d
+    coded, _ = encode_columns(d, _CODE_COLS)
+    return coded
 
 
 _PEARSON_SQL = _D.rstrip() + ",\ncoded AS (SELECT rank, " + ", ".join(
