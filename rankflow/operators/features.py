@@ -112,7 +112,7 @@ def fit_word_index(texts: DataFrame, text_col: str) -> DataFrame:
 
 def first_token_index(df: DataFrame, text_col: str, vocab: DataFrame, out: str) -> DataFrame:
     """Index of a text's first token, 0 when it has none (or it is unknown)."""
-    first = F.element_at(title_tokens(text_col), 1)
+    first = F.try_element_at(title_tokens(text_col), F.lit(1))
     v = vocab.select(F.col("word").alias("_ft_word"), F.col("idx").alias("_ft_idx"))
     joined = df.join(v, first == v["_ft_word"], "left")
     return joined.withColumn(out, F.coalesce(F.col("_ft_idx"), F.lit(0))).drop("_ft_word", "_ft_idx")

@@ -34,7 +34,7 @@ def history_windows(df: DataFrame, order_cols: list[str], features: list[str], t
     out = halo.withColumn("_sq_hist", hist).where(F.col("_rf_core"))
     ok = F.size("_sq_hist") == length
     if key:
-        ok = ok & (F.element_at("_sq_hist", 1)["_sq_key"] == F.col(key))
+        ok = ok & (F.try_element_at("_sq_hist", F.lit(1))["_sq_key"] == F.col(key))
         hist_clean = F.transform("_sq_hist", lambda s: F.struct(*[s[f].alias(f) for f in features]))
     else:
         hist_clean = F.col("_sq_hist")

@@ -56,18 +56,17 @@ def read_csv_strings(spark: SparkSession, path: str, header: bool = True,
 def read_csv_skip_long_rows(spark: SparkSession, path: str, columns: list[str],
                             header: bool = True) -> DataFrame:
     """pandas ``on_bad_lines='skip'``: rows with *more* fields than the header
-    are dropped, shorter rows are kept and padded with nulls.  The field count
-    is taken from the raw line, so the result does not depend on which columns
-    a later projection prunes (``DROPMALFORMED`` does)."""
+    are dropped, shorter rows are kept and padded with nulls.
+
+    The schema carries one extra string column; it is filled exactly when a
+    line is over-long.  Filtering on it works whatever columns a later
+    projection keeps (``DROPMALFORMED`` drops nothing when the malformed
+    fields are pruned away, and drops short rows too)."""
+    extra = "_rf_extra_field"
     schema = T.StructType([T.StructField(c, T.StringType()) for c in columns]
-                          + [T.StructField("_corrupt_record", T.StringType())])
-    df = (spark.read.option("header", header).option("mode", "PERMISSIVE")
-          .option("columnNameOfCorruptRecord", "_corrupt_record").schema(schema).csv(path))
-    # re-parse the raw line with one extra field: set only when the line is over-long
-    probe = T.StructType([T.StructField(f"f{i}", T.StringType()) for i in range(len(columns) + 1)])
-    extra = F.from_csv(F.col("_corrupt_record"), ", ".join(f"{f.name} STRING" for f in probe.fields)).getField(f"f{len(columns)}")
-    over_long = F.col("_corrupt_record").isNotNull() & extra.isNotNull()
-    return df.where(~over_long).drop("_corrupt_record")
+                          + [T.StructField(extra, T.StringType())])
+    df = spark.read.option("header", header).option("mode", "PERMISSIVE").schema(schema).csv(path)
+    return df.where(F.col(extra).isNull()).drop(extra)
 
 
 def read_payloads(spark: SparkSession, path: str) -> DataFrame:
