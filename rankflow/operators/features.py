@@ -78,17 +78,19 @@ def fit_minmax(df: DataFrame, columns: list[str]) -> DataFrame:
 def apply_minmax(df: DataFrame, stats: DataFrame, columns: list[str], suffix: str = "",
                  digits: int | None = None) -> DataFrame:
     """(x - min) / (max - min); a constant feature scales to 0.  The fitted
-    minima/maxima enter as scalar subqueries over the one-row stats table."""
-    out = df
+    minima/maxima enter as one struct-valued scalar subquery over the
+    one-row stats table (evaluated once, whatever the number of features)."""
+    fields = [f for c in columns for f in (f"{c}__min", f"{c}__max")]
+    out = df.withColumn("_mm", stats.select(F.struct(*fields)).scalar())
     for c in columns:
-        lo = stats.select(f"{c}__min").scalar()
-        hi = stats.select(f"{c}__max").scalar()
+        lo = F.col("_mm")[f"{c}__min"]
+        hi = F.col("_mm")[f"{c}__max"]
         scaled = F.coalesce(F.try_divide(F.col(c).cast("double") - lo, F.nullif(hi - lo, F.lit(0.0))),
                             F.when(F.col(c).isNotNull(), F.lit(0.0)))
         if digits is not None:
             scaled = F.round(scaled, digits)
         out = out.withColumn(c + suffix, scaled)
-    return out
+    return out.drop("_mm")
 
 
 # ---- one-hot -------------------------------------------------------------

@@ -29,7 +29,7 @@ def rank_feature_table(daily: DataFrame, maps: ServingMaps) -> DataFrame:
     return first_token_index(d, "title", maps.vocab, "title_code")
 
 
-def rank_pipeline(features: list[str], label: str = "rank", max_iter: int = 20,
+def rank_pipeline(features: list[str], label: str = "rank", max_iter: int = 10,
                   max_depth: int = 5, seed: int = 42) -> Pipeline:
     assembler = VectorAssembler(inputCols=features, outputCol="features", handleInvalid="keep")
     gbt = GBTRegressor(featuresCol="features", labelCol=label, predictionCol="prediction",

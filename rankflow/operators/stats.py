@@ -133,12 +133,14 @@ def histogram(df: DataFrame, value: str, bins: int = 30, digits: int = 6) -> Dat
     """Equal-width histogram over [min, max]; the maximum falls in the last
     bin (closed on the right).  Empty bins are not emitted."""
     v = F.col(value).cast("double")
-    lo = df.select(F.min(v)).scalar()
-    hi = df.select(F.max(v)).scalar()
+    rng = df.select(F.struct(F.min(v).alias("lo"), F.max(v).alias("hi"))).scalar()
+    df = df.withColumn("_rng", rng)
+    lo, hi = F.col("_rng.lo"), F.col("_rng.hi")
     width = (hi - lo) / F.lit(float(bins))
     b = F.least(F.floor(F.try_divide(v - lo, width)), F.lit(bins - 1))
     b = F.coalesce(b, F.lit(0)).cast("int")
-    counted = df.where(v.isNotNull()).groupBy(b.alias("bin")).agg(F.count(F.lit(1)).alias("n"))
+    counted = df.where(v.isNotNull()).groupBy(b.alias("bin"), F.col("_rng")).agg(
+        F.count(F.lit(1)).alias("n"))
     return counted.select("bin", "n", sig_round(lo + F.col("bin") * width, digits).alias("bin_start"))
 
 

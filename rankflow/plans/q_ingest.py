@@ -69,7 +69,10 @@ def roundtrip_json_history(spark, sf_dir):
     path = scratch_path(spark, "rank-docs")
     # one folder per item, one file per folder (cluster the rows by item first)
     docs_out = _event_documents(spark, sf_dir)
-    docs_out.repartition("asin").write.mode("overwrite").partitionBy("asin").text(path)
+    # an explicit count: AQE would otherwise coalesce this small shuffle into a
+    # couple of writer tasks that then create every folder
+    writers = spark.sparkContext.defaultParallelism
+    docs_out.repartition(writers, "asin").write.mode("overwrite").partitionBy("asin").text(path)
     docs = read_rank_documents(spark, f"{path}/*/*.txt")
     return observations_from_documents(docs, "value", "file_name", id_rule="folder")
 
