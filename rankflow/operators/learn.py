@@ -30,10 +30,17 @@ def rank_feature_table(daily: DataFrame, maps: ServingMaps) -> DataFrame:
 
 
 def rank_pipeline(features: list[str], label: str = "rank", max_iter: int = 10,
-                  max_depth: int = 5, seed: int = 42) -> Pipeline:
+                  max_depth: int = 5, seed: int = 42,
+                  validation_col: str | None = None) -> Pipeline:
+    """Assembler + gradient-boosted trees.  With ``validation_col`` (a boolean
+    column marking held-out training rows) boosting stops once the
+    validation error stops improving -- the model keeps the best iteration,
+    as the notebooks keep the epoch with the lowest validation loss."""
     assembler = VectorAssembler(inputCols=features, outputCol="features", handleInvalid="keep")
     gbt = GBTRegressor(featuresCol="features", labelCol=label, predictionCol="prediction",
                        maxIter=max_iter, maxDepth=max_depth, seed=seed, maxBins=64)
+    if validation_col:
+        gbt = gbt.setValidationIndicatorCol(validation_col).setValidationTol(0.001)
     return Pipeline(stages=[assembler, gbt])
 
 

@@ -30,6 +30,11 @@ from rankflow.session import checkpoint_dir
 
 _INDEX_BITS = 33  # monotonically_increasing_id: partition id in the upper 31 bits
 
+# Inputs proven (by a bounded count) to hold at most this many rows are
+# numbered with one single-partition window: a sort of <= 100k rows in one
+# task is cheaper than the checkpoint and extra jobs of the scalable path.
+SMALL_ROWS = 100_000
+
 
 def _sort_cols(order_cols) -> list[Column]:
     return [F.col(c) if isinstance(c, str) else c for c in order_cols]
@@ -42,14 +47,25 @@ def _default_partitions(df: DataFrame) -> int:
 
 def with_position(df: DataFrame, order_cols, pos_col: str = "pos",
                   num_partitions: int | None = None,
-                  total_col: str | None = None) -> DataFrame:
+                  total_col: str | None = None,
+                  small_rows: int | None = None) -> DataFrame:
     """Append a 0-based global position of each row in ``order_cols`` order
     (and, if ``total_col`` is given, the total row count).
 
     ``order_cols`` must be a total order (append a unique tie-breaker);
-    otherwise positions among tied rows are not reproducible.
+    otherwise positions among tied rows are not reproducible.  A bounded
+    count first checks whether the input is small (``small_rows``, default
+    the module's ``SMALL_ROWS``); only then is a single-partition window
+    used.  ``small_rows=0`` always takes the scalable path.
     """
     keys = _sort_cols(order_cols)
+    limit = SMALL_ROWS if small_rows is None else small_rows
+    if limit and df.limit(limit + 1).count() <= limit:
+        w = Window.orderBy(*keys)
+        out = df.withColumn(pos_col, (F.row_number().over(w) - 1).cast("long"))
+        if total_col:
+            out = out.withColumn(total_col, F.count(F.lit(1)).over(Window.partitionBy()).cast("long"))
+        return out
     n = num_partitions or _default_partitions(df)
     ranged = df.repartitionByRange(n, *keys).sortWithinPartitions(*keys)
     mid = F.monotonically_increasing_id()
@@ -88,15 +104,17 @@ def dense_codes(values: DataFrame, value_col: str, code_col: str = "code",
 
 
 def position_split(df: DataFrame, order_cols, train_fraction: float = 0.8,
-                   split_col: str = "split", pos_col: str = "pos") -> DataFrame:
+                   split_col: str = "split", pos_col: str = "pos",
+                   total_col: str | None = None) -> DataFrame:
     """First floor(fraction * n) rows in ``order_cols`` order are ``train``,
     the rest ``test`` -- the reference's ``iloc[:split]``."""
     positioned = with_position(df, order_cols, pos_col, total_col="_rf_total")
     cut = F.floor(F.col("_rf_total") * F.lit(train_fraction))
-    return (positioned
-            .withColumn(split_col, F.when(F.col(pos_col) < cut, F.lit("train"))
-                        .otherwise(F.lit("test")))
-            .drop("_rf_total"))
+    out = positioned.withColumn(split_col, F.when(F.col(pos_col) < cut, F.lit("train"))
+                                .otherwise(F.lit("test")))
+    if total_col:
+        return out.withColumnRenamed("_rf_total", total_col)
+    return out.drop("_rf_total")
 
 
 def halo_buckets(positioned: DataFrame, pos_col: str, before: int, after: int = 0,

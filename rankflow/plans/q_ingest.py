@@ -118,3 +118,24 @@ def item_id_from_path_query(spark, sf_dir):
         item_id_from_path(doc_path, "suffix").alias("id_suffix"),
         item_id_from_path("url", "depth3").alias("id_depth3"),
     )
+
+
+@query("daily_partitioned_read", DAILY_SQL.replace("SELECT * FROM daily",
+       "SELECT * FROM daily WHERE year = '2000' AND month IN ('01', '02')"))
+def daily_partitioned_read(spark, sf_dir):
+    """The batch job's output: the daily fact written as parquet partitioned
+    by (year, month), then read with a filter that prunes whole partition
+    folders (S9, partition pruning)."""
+    from rankflow.session import scratch_path
+    from rankflow.sources.sinks import write_parquet
+
+    path = scratch_path(spark, "daily")
+    write_parquet(C.book_daily(spark, sf_dir), path, partition_by=["year", "month"])
+    back = (spark.read.option("basePath", path)
+            .schema("asin string, timestamp string, rank bigint, date string, day string, "
+                    "group_name string, format string, title string, author string, "
+                    "publisher string, genre string, year string, month string")
+            .parquet(path))
+    return back.where((F.col("year") == "2000") & F.col("month").isin("01", "02")).select(
+        "asin", "timestamp", "rank", "year", "month", "date", "day", "group_name", "format",
+        "title", "author", "publisher", "genre")

@@ -17,15 +17,18 @@ from rankflow.session import materialize, scratch_path
 
 @query("train_score_rank")
 def train_score_rank(spark, sf_dir):
-    """Feature table -> chronological 80/20 split -> GBT fit on train ->
-    save / load -> score test -> one row per title (M1 M3 M5 M6 M7 S13 A18)."""
+    """Feature table -> chronological 80/20 split -> GBT fit on train with
+    the latest tenth of it as validation (early stop) -> save / load ->
+    score test -> one row per title (M1 M3 M5 M6 M7 S13 A18)."""
     daily = materialize(C.book_daily(spark, sf_dir))
     maps = fit_serving_maps(daily)
     table = materialize(rank_feature_table(daily, maps))
-    split = position_split(table, ["timestamp", "asin"])
+    split = position_split(table, ["timestamp", "asin"], total_col="n")
+    # the last tenth of the training positions validates the boosting rounds
+    split = split.withColumn("is_val", F.col("pos") >= F.floor(F.col("n") * 0.8 * 0.9))
     train = split.where(F.col("split") == "train")
     test = split.where(F.col("split") == "test")
-    model = fit(rank_pipeline(RANK_FEATURES), train)
+    model = fit(rank_pipeline(RANK_FEATURES, validation_col="is_val"), train)
     path = scratch_path(spark, "rank-model")
     save_model(model, path)
     scored = predictions(load_model(path), test, ["asin", "title", "timestamp"], "rank")

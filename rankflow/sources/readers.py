@@ -29,7 +29,7 @@ def read_rank_documents_whole(spark: SparkSession, path: str | list[str]) -> Dat
     """Multi-line documents: one whole file per row, parsed as a rank map.
     Preferred over schema-inferring ``multiLine`` JSON, which turns every
     epoch key into a column and needs an extra inference pass."""
-    df = spark.read.option("wholetext", True).text(path)
+    df = spark.read.text(path, wholetext=True)
     return df.select(F.from_json("value", RANK_MAP).alias("ranks"),
                      F.col("_metadata.file_path").alias("file_name"))
 

@@ -2,6 +2,7 @@
 
 import os
 
+import pytest
 from pyspark.sql import functions as F
 
 from rankflow.functions.text import mojibake, repair_mojibake, strip_ws, title_tokens
@@ -159,7 +160,11 @@ def test_histogram_max_in_last_bin(spark):
     assert bins[29] == 2 and sum(bins.values()) == 31
 
 
-def test_sequence_lengths(spark):
+@pytest.mark.parametrize("small", [True, False])
+def test_sequence_lengths(spark, small, monkeypatch):
+    from rankflow.operators import ordering
+    if not small:
+        monkeypatch.setattr(ordering, "SMALL_ROWS", 0)
     rows = [("a", i, float(i)) for i in range(10)] + [("b", i, float(i)) for i in range(11)]
     df = spark.createDataFrame(rows, "k string, t int, v double")
     w = history_windows(df, ["t"], ["v"], "v", key="k", length=10, bucket_rows=12)
@@ -184,3 +189,19 @@ def test_rank_documents_from_files(spark, tmpdir_path):
     obs = observations_from_documents(docs, id_rule="suffix")
     got = sorted((r.asin, r.hour, r["rank"]) for r in obs.collect())
     assert got == [("B01", "00", 7), ("B01", "01", 5), ("B02", "00", 1)]
+
+
+def test_whole_file_and_wide_json_readers(spark, tmpdir_path):
+    from rankflow.sources.readers import read_rank_documents_whole, read_rank_documents_wide
+    for asin, doc in (("B01", '{\n  "100": 7,\n  "200": 5\n}'), ("B02", '{\n  "100": 1\n}')):
+        with open(os.path.join(tmpdir_path, f"{asin}_com_norm.json"), "w") as f:
+            f.write(doc)
+    glob = os.path.join(tmpdir_path, "*.json")
+    whole = read_rank_documents_whole(spark, glob)
+    got = sorted((r.file_name.split("/")[-1][:3], k, v) for r in whole.collect() for k, v in r.ranks.items())
+    assert got == [("B01", "100", 7), ("B01", "200", 5), ("B02", "100", 1)]
+    wide = read_rank_documents_wide(spark, glob)
+    long = melt(wide.withColumn("asin", item_id_from_path("file_name", "suffix")).drop("file_name"),
+                ["asin"])
+    assert sorted((r.asin, r.timestamp, r["rank"]) for r in long.collect()) == [
+        ("B01", "100", 7), ("B01", "200", 5), ("B02", "100", 1), ("B02", "200", None)]

@@ -32,10 +32,13 @@ def test_filter_pushed_to_scan(spark):
     assert "PushedFilters: [IsNotNull(o_custkey), EqualTo(o_custkey,7)]" in plan
 
 
-@pytest.mark.parametrize("name", ["sequence_global", "trend_smoothed", "position_split"])
-def test_positional_queries_do_not_window_the_whole_table(spark, name):
-    """The only single-partition exchange allowed is the one over the
-    per-partition row counts (one row per partition)."""
+@pytest.mark.parametrize("name", ["sequence_global", "trend_smoothed", "position_split",
+                                  "label_encode", "word_index"])
+def test_positional_queries_do_not_window_the_whole_table(spark, name, monkeypatch):
+    """On inputs not proven small, the only single-partition exchange is the
+    one over the per-partition row counts (one row per partition)."""
+    from rankflow.operators import ordering
+    monkeypatch.setattr(ordering, "SMALL_ROWS", 0)
     plan = _plan(E.queries()[name](spark, SF))
     lines = plan.splitlines()
     for i, line in enumerate(lines):

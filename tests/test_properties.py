@@ -2,6 +2,8 @@
 
 import math
 
+import pytest
+
 from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
@@ -64,9 +66,10 @@ def test_splits_partition_the_rows(spark):
     assert hs.count() == n and hs.select("o_orderkey").distinct().count() == n
 
 
-def test_positions_are_dense_and_ordered(spark):
+@pytest.mark.parametrize("small_rows", [0, None])
+def test_positions_are_dense_and_ordered(spark, small_rows):
     ev = spark.read.parquet(f"{SF}/events.parquet").select("event_id", "ts")
-    p = with_position(ev, ["ts", "event_id"], "pos", num_partitions=5).collect()
+    p = with_position(ev, ["ts", "event_id"], "pos", num_partitions=5, small_rows=small_rows).collect()
     p.sort(key=lambda r: r.pos)
     assert [r.pos for r in p] == list(range(len(p)))
     assert [(r.ts, r.event_id) for r in p] == sorted((r.ts, r.event_id) for r in p)
