@@ -10,6 +10,16 @@ from rankflow.operators.vectors import nearest_prototype
 from rankflow.plans import catalog as C
 from rankflow.plans import sql as S
 from rankflow.plans.registry import query
+from rankflow.functions.text import TOKEN_FILTERS
+
+
+def _lit(s: str) -> str:
+    return "'" + s.replace("'", "''") + "'"
+
+
+def _tok(c: str) -> str:
+    return ("list_filter(string_split(translate(lower(" + c + "), " + _lit(TOKEN_FILTERS) + ", "
+            + _lit(" " * len(TOKEN_FILTERS)) + "), ' '), lambda x: x <> '')")
 from rankflow.session import materialize
 
 
@@ -97,16 +107,28 @@ codes AS (SELECT asin,
   FROM (SELECT DISTINCT asin, author, genre, group_name FROM daily)),
 w AS (SELECT asin, timestamp, rank AS target,
          row_number() OVER (PARTITION BY asin ORDER BY timestamp) AS rn,
-         list(rank) OVER (PARTITION BY asin ORDER BY timestamp {_WIN}) AS h_r FROM daily)
+         list(rank) OVER (PARTITION BY asin ORDER BY timestamp {_WIN}) AS h_r FROM daily),
+titles AS (SELECT asin, title FROM (SELECT asin, title, row_number() OVER (PARTITION BY asin
+           ORDER BY timestamp, title) AS rn FROM daily) WHERE rn = 1),
+vocab AS (SELECT word, row_number() OVER (ORDER BY n DESC, word) AS idx FROM (
+          SELECT word, count(*) AS n FROM (SELECT unnest({_tok('title')}) AS word FROM titles)
+          GROUP BY word)),
+toks AS (SELECT asin, unnest({_tok('title')}) AS word,
+                generate_subscripts({_tok('title')}, 1) AS pos FROM titles),
+seq AS (SELECT t.asin, list(v.idx ORDER BY t.pos) AS s FROM toks t JOIN vocab v ON t.word = v.word
+        GROUP BY t.asin),
+fixed AS (SELECT titles.asin, coalesce(seq.s, []) AS s FROM titles LEFT JOIN seq ON titles.asin = seq.asin),
+tseq AS (SELECT asin, array_to_string(list_concat(list_transform(range(0, greatest(10 - len(s), 0)),
+         lambda i: 0), s[greatest(len(s) - 9, 1):]), ',') AS title_seq FROM fixed)
 SELECT w.asin, w.timestamp, w.target, array_to_string(w.h_r, ',') AS hist_ranks,
-       c.author_code, c.genre_code, c.group_code
-FROM w JOIN codes c ON w.asin = c.asin WHERE w.rn > 10"""
+       c.author_code, c.genre_code, c.group_code, coalesce(t.title_seq, '0,0,0,0,0,0,0,0,0,0') AS title_seq
+FROM w JOIN codes c ON w.asin = c.asin LEFT JOIN tseq t ON w.asin = t.asin WHERE w.rn > 10"""
 
 
 @query("sequence_static", _STATIC_SQL)
 def sequence_static(spark, sf_dir):
-    """Per-book daily histories with the book's static codes attached (W1 J7
-    A15); the padded title tokens ride along in the sample (not compared)."""
+    """Per-book daily histories with the book's static codes and its padded
+    first-title token sequence attached, zeros when missing (W1 J7 A15 X24)."""
     d = materialize(C.book_daily(spark, sf_dir))
     w = history_windows(d, ["timestamp"], ["rank"], "rank", key="asin")
     static = d.select("asin", "author", "genre", "group_name").distinct()
@@ -122,7 +144,8 @@ def sequence_static(spark, sf_dir):
                       F.array_join(F.transform("history", lambda s: s["rank"].cast("string")), ",")
                       .alias("hist_ranks"),
                       F.col("author_code").cast("int"), F.col("genre_code").cast("int"),
-                      F.col("group_code").cast("int"))
+                      F.col("group_code").cast("int"),
+                      F.array_join("title_seq", ",").alias("title_seq"))
 
 
 @query("nearest_prototype", """
