@@ -37,10 +37,9 @@ def rank_pipeline(features: list[str], label: str = "rank", max_iter: int = 10,
     validation error stops improving -- the model keeps the best iteration,
     as the notebooks keep the epoch with the lowest validation loss."""
     assembler = VectorAssembler(inputCols=features, outputCol="features", handleInvalid="keep")
+    extra = {"validationIndicatorCol": validation_col, "validationTol": 0.001} if validation_col else {}
     gbt = GBTRegressor(featuresCol="features", labelCol=label, predictionCol="prediction",
-                       maxIter=max_iter, maxDepth=max_depth, seed=seed, maxBins=64)
-    if validation_col:
-        gbt = gbt.setValidationIndicatorCol(validation_col).setValidationTol(0.001)
+                       maxIter=max_iter, maxDepth=max_depth, seed=seed, maxBins=64, **extra)
     return Pipeline(stages=[assembler, gbt])
 
 
