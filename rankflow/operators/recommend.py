@@ -52,6 +52,25 @@ def fit_serving_maps(daily: DataFrame) -> ServingMaps:
     return ServingMaps(codes, vocab, scaler)
 
 
+def save_serving_maps(maps: ServingMaps, path: str) -> None:
+    """Mapping tables (codes of every column, vocabulary, scaler) as parquet."""
+    from rankflow.sources.sinks import save_mapping
+    codes = None
+    for col, m in maps.codes.items():
+        part = m.select(F.lit(col).alias("column"), "value", "code")
+        codes = part if codes is None else codes.unionByName(part)
+    save_mapping(codes, f"{path}/codes")
+    save_mapping(maps.vocab, f"{path}/vocab")
+    save_mapping(maps.scaler, f"{path}/scaler")
+
+
+def load_serving_maps(spark, path: str) -> ServingMaps:
+    from rankflow.sources.sinks import load_mapping
+    codes = load_mapping(spark, f"{path}/codes")
+    return ServingMaps({c: codes.where(F.col("column") == c).select("value", "code") for c in CODED},
+                       load_mapping(spark, f"{path}/vocab"), load_mapping(spark, f"{path}/scaler"))
+
+
 def validate_request(maps: ServingMaps, req: Request) -> None:
     """Unknown genre or group is an error, as in the web form handler."""
     for col, val in (("genre", req.genre), ("group_name", req.group)):

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from rankflow.operators.learn import (RANK_FEATURES, fit, load_model, predictions,
                                       rank_feature_table, rank_pipeline, save_model)
 from rankflow.operators.ordering import position_split
-from rankflow.operators.recommend import fit_serving_maps
+from rankflow.operators.recommend import fit_serving_maps, load_serving_maps, save_serving_maps
 from rankflow.operators.sequences import flatten_history, history_windows
 from rankflow.plans import catalog as C
 from rankflow.plans.registry import query
@@ -17,21 +17,26 @@ from rankflow.session import materialize, scratch_path
 
 @query("train_score_rank")
 def train_score_rank(spark, sf_dir):
-    """Feature table -> chronological 80/20 split -> GBT fit on train with
-    the latest tenth of it as validation (early stop) -> save / load ->
-    score test -> one row per title (M1 M3 M5 M6 M7 S13 A18)."""
+    """Chronological 80/20 split of the daily fact -> label codes, title
+    vocabulary and scaler fitted on the training rows only (no leak, D11)
+    and saved as mapping tables -> feature table -> GBT fit with the latest
+    tenth of the training rows as validation (early stop) -> model saved and
+    re-loaded with the mappings -> score test -> one row per title
+    (M1 M3 M5 M6 M7 S13 A18)."""
     daily = materialize(C.book_daily(spark, sf_dir))
-    maps = fit_serving_maps(daily)
-    table = materialize(rank_feature_table(daily, maps))
-    split = position_split(table, ["timestamp", "asin"], total_col="n")
+    split = position_split(daily, ["timestamp", "asin"], total_col="n")
     # the last tenth of the training positions validates the boosting rounds
-    split = split.withColumn("is_val", F.col("pos") >= F.floor(F.col("n") * 0.8 * 0.9))
-    train = split.where(F.col("split") == "train")
-    test = split.where(F.col("split") == "test")
+    split = materialize(split.withColumn("is_val", F.col("pos") >= F.floor(F.col("n") * 0.8 * 0.9)))
+    maps = fit_serving_maps(split.where(F.col("split") == "train"))
+    base = scratch_path(spark, "rank-model")
+    save_serving_maps(maps, f"{base}/maps")
+    maps = load_serving_maps(spark, f"{base}/maps")
+    table = materialize(rank_feature_table(split, maps))
+    train = table.where(F.col("split") == "train")
+    test = table.where(F.col("split") == "test")
     model = fit(rank_pipeline(RANK_FEATURES, validation_col="is_val"), train)
-    path = scratch_path(spark, "rank-model")
-    save_model(model, path)
-    scored = predictions(load_model(path), test, ["asin", "title", "timestamp"], "rank")
+    save_model(model, f"{base}/model")
+    scored = predictions(load_model(f"{base}/model"), test, ["asin", "title", "timestamp"], "rank")
     best = scored.groupBy("title").agg(F.min(F.struct("timestamp", "asin", "actual", "predicted")).alias("b"))
     return best.select("title", F.col("b.actual").alias("actual_rank"),
                        F.col("b.predicted").alias("predicted_rank"))
