@@ -205,3 +205,14 @@ def test_whole_file_and_wide_json_readers(spark, tmpdir_path):
                 ["asin"])
     assert sorted((r.asin, r.timestamp, r["rank"]) for r in long.collect()) == [
         ("B01", "100", 7), ("B01", "200", 5), ("B02", "100", 1), ("B02", "200", None)]
+
+
+def test_single_file_csv_export(spark, tmpdir_path):
+    from rankflow.sources.readers import read_csv_strings
+    from rankflow.sources.sinks import write_single_csv
+    df = spark.createDataFrame([(i, f"n{i}") for i in range(20)], "k int, name string").repartition(4)
+    out = os.path.join(tmpdir_path, "one")
+    write_single_csv(df, out)
+    assert len([f for f in os.listdir(out) if f.endswith(".csv")]) == 1
+    back = read_csv_strings(spark, out)
+    assert sorted((int(r.k), r.name) for r in back.collect()) == [(i, f"n{i}") for i in range(20)]
