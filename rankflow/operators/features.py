@@ -25,7 +25,7 @@ def fit_label_codes(df: DataFrame, column: str, code_col: str = "code") -> DataF
 
 
 def fit_label_codes_multi(df: DataFrame, columns: list[str]) -> DataFrame:
-    """Label codes of several string columns in one positional pass:
+    """Label codes of several *string* columns in one positional pass:
     (column, value, code).  The distinct (column, value) pairs are ordered
     once; a column's codes are positions minus the column's first position
     (a table with one row per column)."""
@@ -56,8 +56,14 @@ def lookup(df: DataFrame, column: str, mapping: DataFrame, out: str,
 
 def encode_columns(df: DataFrame, columns: list[str], suffix: str = "_code") -> tuple[DataFrame, dict]:
     """Label-encode several columns; returns the coded frame and the mappings."""
-    multi = fit_label_codes_multi(df, columns)
-    maps = {c: codes_for(multi, c) for c in columns}
+    types = {df.schema[c].dataType.simpleString() for c in columns}
+    if types == {"string"}:
+        # one positional pass for all columns
+        multi = fit_label_codes_multi(df, columns)
+        maps = {c: codes_for(multi, c) for c in columns}
+    else:
+        # non-string columns keep their own ordering (numeric, not textual)
+        maps = {c: fit_label_codes(df, c) for c in columns}
     out = df
     for c in columns:
         out = lookup(out, c, maps[c], c + suffix)
