@@ -9,12 +9,18 @@ the data pass itself stays in Spark's aggregates.
 from __future__ import annotations
 
 import math
+import sys
 
 import numpy as np
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+# Ship these functions to the Python workers by value: the workers then need
+# numpy and pandas only, not this package on their path.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 
 def _betacf(a, b, x, iters: int = 300, eps: float = 1e-15):
     tiny = 1e-300
