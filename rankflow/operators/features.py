@@ -14,14 +14,18 @@ from pyspark.sql import functions as F
 
 from rankflow.functions.text import title_tokens
 from rankflow.operators.ordering import dense_codes, with_position
+from rankflow.session import materialize
 
 
 # ---- label codes and lookups ----------------------------------------------
 
 def fit_label_codes(df: DataFrame, column: str, code_col: str = "code") -> DataFrame:
-    """LabelEncoder: (value, code) with codes 0..k-1 in binary string order."""
+    """LabelEncoder: (value, code) with codes 0..k-1 in binary string order.
+    A fitted mapping is used many times (lookups, checks, saving), so it is
+    computed once and checkpointed."""
     m = dense_codes(df, column, code_col)
-    return m.select(F.col(column).alias("value"), F.col(code_col).cast("int").alias(code_col))
+    return materialize(m.select(F.col(column).alias("value"),
+                                F.col(code_col).cast("int").alias(code_col)))
 
 
 def fit_label_codes_multi(df: DataFrame, columns: list[str]) -> DataFrame:
@@ -34,8 +38,8 @@ def fit_label_codes_multi(df: DataFrame, columns: list[str]) -> DataFrame:
     stacked = df.select(pairs.alias("e")).select("e.*").where(F.col("value").isNotNull()).distinct()
     positioned = with_position(stacked, ["column", "value"], "_pos")
     firsts = positioned.groupBy("column").agg(F.min("_pos").alias("_first"))
-    return positioned.join(F.broadcast(firsts), "column").select(
-        "column", "value", (F.col("_pos") - F.col("_first")).cast("int").alias("code"))
+    return materialize(positioned.join(F.broadcast(firsts), "column").select(
+        "column", "value", (F.col("_pos") - F.col("_first")).cast("int").alias("code")))
 
 
 def codes_for(multi: DataFrame, column: str) -> DataFrame:
@@ -78,7 +82,7 @@ def fit_minmax(df: DataFrame, columns: list[str]) -> DataFrame:
     for c in columns:
         aggs += [F.min(F.col(c).cast("double")).alias(f"{c}__min"),
                  F.max(F.col(c).cast("double")).alias(f"{c}__max")]
-    return df.agg(*aggs)
+    return materialize(df.agg(*aggs))
 
 
 def apply_minmax(df: DataFrame, stats: DataFrame, columns: list[str], suffix: str = "",
@@ -115,7 +119,7 @@ def fit_word_index(texts: DataFrame, text_col: str) -> DataFrame:
     words = texts.select(F.explode(title_tokens(text_col)).alias("word"))
     counts = words.groupBy("word").agg(F.count(F.lit(1)).alias("n"))
     ranked = with_position(counts, [F.col("n").desc(), F.col("word")], "_pos")
-    return ranked.select("word", "n", (F.col("_pos") + 1).cast("int").alias("idx"))
+    return materialize(ranked.select("word", "n", (F.col("_pos") + 1).cast("int").alias("idx")))
 
 
 def first_token_index(df: DataFrame, text_col: str, vocab: DataFrame, out: str) -> DataFrame:

@@ -144,3 +144,12 @@ def halo_buckets(positioned: DataFrame, pos_col: str, before: int, after: int =
             .withColumn("_rf_bucket", F.col("_rf_t.bucket"))
             .withColumn("_rf_core", F.col("_rf_t.core"))
             .drop("_rf_t"))
+
+
+def bucket_size(df: DataFrame, halo: int, cap: int = 1_000_000) -> int:
+    """Rows per halo bucket: the input spread over the shuffle partitions,
+    at least the halo, at most ``cap`` (so no task ever holds more than
+    ``cap`` rows plus the halo)."""
+    parts = _default_partitions(df)
+    total = df.count()
+    return max(halo + 1, min(cap, -(-total // max(parts, 1))))

@@ -16,16 +16,17 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from rankflow.operators.ordering import halo_buckets, with_position
+from rankflow.operators.ordering import bucket_size, halo_buckets, with_position
 
 
 def history_windows(df: DataFrame, order_cols: list[str], features: list[str], target: str,
                     key: str | None = None, length: int = 10, history_col: str = "history",
-                    bucket_rows: int = 1_000_000) -> DataFrame:
+                    bucket_rows: int | None = None) -> DataFrame:
     """Rows with their ``length`` predecessors as an ordered array of
     structs of ``features``.  With ``key`` the predecessors must belong to
     the same item (keyed windows); without, the whole table is one series."""
     keys = ([key] if key else []) + list(order_cols)
+    bucket_rows = bucket_rows or bucket_size(df, length)
     positioned = with_position(df, keys, "_sq_pos")
     halo = halo_buckets(positioned, "_sq_pos", length, 0, bucket_rows)
     item = [F.col(key).alias("_sq_key")] if key else []
