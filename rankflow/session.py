@@ -72,8 +72,11 @@ def scratch_path(spark: SparkSession, name: str) -> str:
 
 
 def materialize(df):
-    """Compute ``df`` once and cut its lineage with a reliable checkpoint in
-    the shared checkpoint folder (survives the loss of an executor, unlike
-    a local checkpoint or a cache)."""
-    checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    """Compute ``df`` once and cut its lineage: written as a parquet table in
+    the shared checkpoint folder and read back.  Survives the loss of an
+    executor (unlike a local checkpoint or a cache), and later readers scan
+    only the columns they use."""
+    spark = df.sparkSession
+    path = scratch_path(spark, "table")
+    df.write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path)
