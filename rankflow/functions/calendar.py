@@ -21,12 +21,6 @@ def _c(c) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
-def epoch_text_to_time_string(epoch_text) -> Column:
-    """Epoch seconds held as text -> ``yyyy-MM-dd HH:mm:ss`` in the session
-    time zone; non-numeric text gives null instead of failing (ANSI mode)."""
-    return F.from_unixtime(_c(epoch_text).try_cast("bigint"), TIME_PATTERN)
-
-
 def calendar_parts(ts) -> dict[str, Column]:
     """Calendar strings of a timestamp (or ``yyyy-MM-dd HH:mm:ss`` string):
     zero-padded year/month/date/hour and the English weekday name."""

@@ -8,8 +8,6 @@ only the tail probability runs in Python, on those few rows.
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -146,7 +144,3 @@ def histogram(df: DataFrame, value: str, bins: int = 30, digits: int = 6) -> Dat
 
 def residuals(df: DataFrame, actual: str, predicted: str, out: str = "residual") -> DataFrame:
     return df.withColumn(out, F.col(actual) - F.col(predicted))
-
-
-def all_true(conds: list[Column]) -> Column:
-    return reduce(lambda x, y: x & y, conds)

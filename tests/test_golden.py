@@ -216,3 +216,26 @@ def test_single_file_csv_export(spark, tmpdir_path):
     assert len([f for f in os.listdir(out) if f.endswith(".csv")]) == 1
     back = read_csv_strings(spark, out)
     assert sorted((int(r.k), r.name) for r in back.collect()) == [(i, f"n{i}") for i in range(20)]
+
+
+def test_public_helpers(spark):
+    import datetime as dt
+
+    from rankflow.functions.calendar import calendar_parts, weekday_of
+    from rankflow.operators.cleaning import drop_any_null
+    from rankflow.operators.facts import typed_facts
+    from rankflow.schemas import features_excluding, missing_columns, require_columns
+
+    df = spark.createDataFrame([(dt.datetime(2017, 1, 2, 13, 5, 0), "a", None), (dt.datetime(2017, 1, 1), "b", 1)],
+                               "t timestamp, s string, n int")
+    parts = df.select(*[v.alias(k) for k, v in calendar_parts("t").items()], weekday_of("t").alias("w"))
+    got = sorted(tuple(r) for r in parts.collect())
+    assert got == [("2017", "01", "01", "Sunday", "00", 6), ("2017", "01", "02", "Monday", "13", 0)]
+    assert drop_any_null(df).count() == 1
+    assert features_excluding(df, ["s"]) == ["t", "n"] and missing_columns(df, ["n", "x"]) == ["x"]
+    with pytest.raises(ValueError):
+        require_columns(df, ["x"])
+    daily = spark.createDataFrame([("a", "2017-01-02 13:05:00", "01", "02")],
+                                  "asin string, timestamp string, month string, date string")
+    r = typed_facts(daily).first()
+    assert r.timestamp == dt.datetime(2017, 1, 2, 13, 5) and r.month == 1 and r.date == 2
