@@ -11,6 +11,7 @@ from rankflow.operators.stats import (anova, anova_by_target, error_metrics, his
 from rankflow.plans import catalog as C
 from rankflow.plans import sql as S
 from rankflow.plans.registry import query
+from rankflow.session import materialize
 
 _D = S.with_(S.META, S.OBS, S.FACTS, S.DAILY)
 
@@ -23,7 +24,8 @@ _CODE_COLS = ["title", "author", "publisher"]
 
 
 def _coded_daily(spark, sf_dir):
-    d = C.book_daily(spark, sf_dir)
+    # read twice (code fit, correlation pass): computed once
+    d = materialize(C.book_daily(spark, sf_dir))
     coded, _ = encode_columns(d, _CODE_COLS)
     return coded
 
