@@ -130,7 +130,8 @@ def daily_partitioned_read(spark, sf_dir):
     from rankflow.sources.sinks import write_parquet
 
     path = scratch_path(spark, "daily")
-    write_parquet(C.book_daily(spark, sf_dir), path, partition_by=["year", "month"])
+    write_parquet(C.book_daily(spark, sf_dir), path, partition_by=["year", "month"],
+                  cluster_by=["asin", "timestamp"])
     back = (spark.read.option("basePath", path)
             .schema("asin string, timestamp string, rank bigint, date string, day string, "
                     "group_name string, format string, title string, author string, "
