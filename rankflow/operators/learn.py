@@ -60,3 +60,11 @@ def predictions(model: PipelineModel, df: DataFrame, id_cols: list[str], actual:
     """(ids..., actual, predicted) for every scored row."""
     return model.transform(df).select(*id_cols, F.col(actual).cast("double").alias("actual"),
                                       F.col("prediction").alias("predicted"))
+
+
+def model_scorer(model: PipelineModel):
+    """A fitted pipeline as the scorer of :func:`rankflow.operators.recommend.recommend`:
+    the candidate feature columns carry the names the model was trained on."""
+    def score(df: DataFrame) -> DataFrame:
+        return model.transform(df).drop("features")
+    return score

@@ -239,3 +239,16 @@ def test_public_helpers(spark):
                                   "asin string, timestamp string, month string, date string")
     r = typed_facts(daily).first()
     assert r.timestamp == dt.datetime(2017, 1, 2, 13, 5) and r.month == 1 and r.date == 2
+
+
+def test_recommend_with_trained_model(spark):
+    from rankflow.operators.learn import RANK_FEATURES, fit, model_scorer, rank_feature_table, rank_pipeline
+    from rankflow.operators.recommend import Request, fit_serving_maps, recommend
+    from rankflow.plans import catalog as C
+    daily = C.book_daily(spark, "/root/testdata/sf0.001")
+    maps = fit_serving_maps(daily)
+    model = fit(rank_pipeline(RANK_FEATURES, max_iter=3, max_depth=3), rank_feature_table(daily, maps))
+    top = recommend(daily, maps, Request(2, 15, 6, "economy", "book"), model_scorer(model)).collect()
+    assert 0 < len(top) <= 10 and [r.position for r in top] == list(range(1, len(top) + 1))
+    ranks = [r.predicted_rank for r in top]
+    assert ranks == sorted(ranks)
