@@ -153,3 +153,14 @@ def bucket_size(df: DataFrame, halo: int, cap: int = 1_000_000) -> int:
     parts = _default_partitions(df)
     total = df.count()
     return max(halo + 1, min(cap, -(-total // max(parts, 1))))
+
+
+# The notebooks' "chronological" sort keys -- month, day of
+# month, then the weekday *name* (year already dropped).
+LITERAL_CHRONO_KEYS = ["month", "date", "day"]
+
+
+def literal_chronological_order(df: DataFrame) -> DataFrame:
+    """The reference's literal sort (month, date, weekday name), kept for
+    parity; splits and windows use the true timestamp instead."""
+    return df.orderBy(*[F.col(c) for c in LITERAL_CHRONO_KEYS])

@@ -252,3 +252,11 @@ def test_recommend_with_trained_model(spark):
     assert 0 < len(top) <= 10 and [r.position for r in top] == list(range(1, len(top) + 1))
     ranks = [r.predicted_rank for r in top]
     assert ranks == sorted(ranks)
+
+
+def test_literal_chronological_order(spark):
+    from rankflow.operators.ordering import literal_chronological_order
+    df = spark.createDataFrame([(2, 1, "Monday"), (1, 5, "Tuesday"), (1, 5, "Friday"), (1, 2, "Sunday")],
+                               "month int, date int, day string")
+    got = [tuple(r) for r in literal_chronological_order(df).collect()]
+    assert got == [(1, 2, "Sunday"), (1, 5, "Friday"), (1, 5, "Tuesday"), (2, 1, "Monday")]
