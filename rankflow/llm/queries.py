@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rankflow.llm import chat, decontaminate, mixing, oracles, quality, warc
+from rankflow.llm import (chat, decontaminate, lines, mixing, oracles, quality, repair, separators,
+                          warc)
 from rankflow.llm.common import written
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -27,6 +28,13 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+@_query("op1_repair_tokens")
+def op1(spark, sf_dir):
+    """Every text as token ids in compressed files, read back."""
+    shards = repair.write_tokens(_table(spark, sf_dir, "documents"))
+    return repair.read_tokens(shards, keep_ids=False)
+
+
 @_query("op2_warc", oracles.WARC)
 def op2(spark, sf_dir):
     """Every page written as a WARC record and read back."""
@@ -69,6 +77,21 @@ def op4(spark, sf_dir):
         "formatted_chars")
 
 
+@_query("op7_site_lines", oracles.SITE_LINES)
+def op7(spark, sf_dir):
+    """Boilerplate lines of each site dropped from its pages."""
+    out = lines.drop_site_lines(_table(spark, sf_dir, "pages"))
+    return out.select("page_id", "host", "n_lines", "n_dropped", F.sha2("kept_text", 256).alias("kept_sha256"))
+
+
+@_query("op8_token_counts")
+def op8(spark, sf_dir):
+    """Documents found in flat token files of all texts, with their lengths."""
+    files, dtype = separators.write_flat(_table(spark, sf_dir, "documents"))
+    found = separators.count_tokens(separators.with_length(files), dtype)
+    return found.withColumn("path", F.regexp_extract("path", "part-[0-9]+", 0)).withColumnRenamed("path", "file")
+
+
 @_query("op9_mix")
 def op9(spark, sf_dir):
     """All documents mixed to source weights 3, 1, 2 at 150% of their size."""
