@@ -10,7 +10,9 @@ from pyspark.sql import DataFrame, SparkSession
 from rankflow.llm.common import written
 from rankflow.llm.decontaminate import decontaminate
 from rankflow.llm.mixing import mixed_documents
+from rankflow.llm.neardup import drop_near_duplicates
 from rankflow.llm.quality import quality_filter
+from rankflow.llm.repair import read_tokens, write_tokens
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 
@@ -20,6 +22,11 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     return quality_filter(docs.select(*COLUMNS))
 
 
+def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each near-duplicate component."""
+    return drop_near_duplicates(docs.select(*COLUMNS))
+
+
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Benchmark passages cut; documents that are mostly benchmark text go."""
     benchmark = spark.read.parquet(f"{sf_dir.rstrip('/')}/benchmark.parquet")
@@ -31,10 +38,18 @@ def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return mixed_documents(docs.select(*COLUMNS))
 
 
+def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The documents' token ids written to compressed files and read back:
+    one row per document with its place, length and checksum."""
+    return read_tokens(write_tokens(docs.select(*COLUMNS)), keep_ids=False)
+
+
 STAGES = [
     ("quality_rules", quality_rules),
+    ("near_duplicates", near_duplicates),
     ("decontamination", decontamination),
     ("mixing", mixing),
+    ("tokens", tokens),
 ]
 
 # compression, minimum hashes, hashed rounding and tokenisation are beyond SQL

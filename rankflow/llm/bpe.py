@@ -110,19 +110,6 @@ def encoder(path: str, dtype: str = "<u2") -> Encoder:
     return cache[key]
 
 
-def in_parts(texts: list, chars: int = 1 << 21):
-    """Slices of a list of texts with about ``chars`` characters each."""
-    part, size = [], 0
-    for t in texts:
-        part.append(t)
-        size += len(t or "")
-        if size >= chars:
-            yield part
-            part, size = [], 0
-    if part:
-        yield part
-
-
 def id_type(path: str) -> str:
     """The smallest id type that holds the tokenizer's vocabulary."""
     from tokenizers import Tokenizer

@@ -109,28 +109,58 @@ def mixed(x):
     return x ^ (x >> np.uint64(32))
 
 
-class WordHashes(dict):
-    """word (bytes) -> 64-bit hash, remembered up to ``limit`` words."""
+_SPACE = b"\x20\x09\x0a\x0b\x0c\x0d"
+_LONG = 4096
 
-    limit = 1_000_000
 
-    def __missing__(self, word):
-        import xxhash
+def hash_words(texts: list, lower: bool = False):
+    """(64-bit hash of every word, its first byte, its end, words per text)
+    of a list of UTF-8 texts (null: none); positions are those in the texts
+    joined by single line breaks.  ``lower`` lower-cases A-Z first.
 
-        if len(self) >= self.limit:
-            self.clear()
-        h = self[word] = xxhash.xxh3_64_intdigest(word)
-        return h
-
-
-def word_hashes(words: list):
-    """numpy uint64 hashes of a list of byte words."""
+    Words are hashed together, eight bytes at a time, so no Python object is
+    made for a word.
+    """
     import numpy as np
-
-    cache = task_cache().get("words")
-    if cache is None:
-        cache = task_cache()["words"] = WordHashes()
-    return np.fromiter(map(cache.__getitem__, words), np.uint64, len(words))
+    import xxhash
+
+    joined = b"\n" + b"\n".join([t or b"" for t in texts]) + b"\n" * 9
+    if lower:
+        joined = joined.lower()
+    data = np.frombuffer(joined, np.uint8)
+    is_word = np.ones(256, bool)
+    is_word[list(_SPACE)] = False
+    inside = is_word[data]
+    edge = np.flatnonzero(inside[1:] != inside[:-1]) + 1
+    start, end = edge[0::2], edge[1::2]
+    size = end - start
+    h = mixed((size + 1).astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15))
+    eight = np.lib.stride_tricks.as_strided(data[:8].view(np.uint64), (len(data) - 7,), (1,), writeable=False)
+    todo = np.flatnonzero(size <= _LONG)
+    at, left = start[todo], size[todo]
+    while len(todo):
+        some = eight[at] & (np.uint64(0xFFFFFFFFFFFFFFFF) >> (np.uint64(8) * (8 - np.minimum(left, 8)).astype(np.uint64)))
+        h[todo] = mixed((h[todo] ^ some) * np.uint64(0xC2B2AE3D27D4EB4F) + np.uint64(0x165667B19E3779F9))
+        more = left > 8
+        todo, at, left = todo[more], at[more] + 8, left[more] - 8
+    for k in np.flatnonzero(size > _LONG).tolist():
+        h[k] = xxhash.xxh3_64_intdigest(joined[start[k]:end[k]])
+    firsts = np.cumsum([1] + [len(t or b"") + 1 for t in texts])
+    counts = np.diff(np.searchsorted(start, firsts))
+    return h, start - 1, end - 1, counts
+
+
+def in_parts(texts: list, size: int = 1 << 21):
+    """Slices of a list of texts (or bytes) of about ``size`` each."""
+    part, held = [], 0
+    for t in texts:
+        part.append(t)
+        held += len(t or "")
+        if held >= size:
+            yield part
+            part, held = [], 0
+    if part:
+        yield part
 
 
 ship(__name__)

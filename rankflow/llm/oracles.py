@@ -68,3 +68,29 @@ SELECT page_id, host, len(lines)::bigint AS n_lines, (len(lines) - len(kept))::b
        sha256(array_to_string(kept, chr(10))) AS kept_sha256
 FROM kept
 """
+
+NEAR_DUPLICATES = rf"""
+WITH RECURSIVE w AS (SELECT doc_id, regexp_extract_all({_LOWER}, '{_WORD}') AS w FROM documents),
+s AS MATERIALIZED (SELECT DISTINCT doc_id, array_to_string(w[i:i + 4], ' ') AS g
+      FROM (SELECT doc_id, w, unnest(range(1, greatest(len(w) - 3, 2)::bigint)) AS i FROM w WHERE len(w) > 0)),
+n AS MATERIALIZED (SELECT doc_id, count(*) AS n FROM s GROUP BY 1),
+links AS MATERIALIZED (SELECT a, b FROM (SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS c FROM s x JOIN s y ON x.g = y.g AND x.doc_id <> y.doc_id
+                GROUP BY 1, 2) p JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b WHERE 100 * c >= 75 * (x.n + y.n - c)),
+reach AS (SELECT doc_id, doc_id AS root FROM n UNION SELECT b, root FROM reach JOIN links ON a = doc_id),
+comp AS (SELECT doc_id, min(root) AS root FROM reach GROUP BY 1)
+SELECT d.doc_id, coalesce(n, 0)::bigint AS n_shingles, coalesce(root, d.doc_id) AS component_id,
+       coalesce(root, d.doc_id) = d.doc_id AS kept
+FROM documents d LEFT JOIN n USING (doc_id) LEFT JOIN comp USING (doc_id)
+"""
+
+SUBSTRINGS = rf"""
+WITH w AS MATERIALIZED (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '{_WORD}') AS w FROM documents),
+g AS MATERIALIZED (SELECT doc_id, i, sha256(array_to_string(w[i:i + 12], ' ')) AS g
+      FROM (SELECT doc_id, w, unnest(range(1, (len(w) - 11)::bigint)) AS i FROM w WHERE len(w) >= 13)),
+f AS (SELECT g, min(doc_id) AS first FROM g GROUP BY 1),
+gone AS (SELECT DISTINCT doc_id, unnest(range(i, i + 13)) AS p FROM g JOIN f USING (g) WHERE doc_id > first),
+words AS (SELECT doc_id, unnest(w) AS word, unnest(range(1, len(w) + 1)) AS p FROM w),
+kept AS (SELECT doc_id, count(*) AS n, string_agg(word, ' ' ORDER BY p) AS t FROM words ANTI JOIN gone USING (doc_id, p) GROUP BY 1)
+SELECT w.doc_id, len(w)::bigint AS n_words, (len(w) - coalesce(n, 0))::bigint AS n_removed, sha256(coalesce(t, '')) AS kept_sha256
+FROM w LEFT JOIN kept USING (doc_id)
+"""

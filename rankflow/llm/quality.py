@@ -19,7 +19,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from rankflow.llm.common import bytes_of, ship, word_hashes
+from rankflow.llm.common import bytes_of, hash_words, in_parts, ship
 
 LEVEL = 3
 CHUNK = 4096
@@ -43,16 +43,15 @@ _FIELDS = ("n_words long, word_chars long, n_symbols long, n_dup_lines long, n_r
            "base_failed boolean, ratio double, n_chunks long, n_bad_chunks long, kept boolean")
 
 
-def repeat_words(words: list) -> int:
-    """Words in 3-word windows that occur at least twice in the text."""
+def repeat_words(h) -> int:
+    """Words in 3-word windows that occur at least twice in the text, from
+    the hashes of its words."""
     import numpy as np
 
-    n = len(words)
+    n = len(h)
     if n < 4:
         return 0
-    h = word_hashes(words)
-    with np.errstate(over="ignore"):
-        tri = (h[:-2] * np.uint64(0x9E3779B97F4A7C15) + h[1:-1]) * np.uint64(0xC2B2AE3D27D4EB4F) + h[2:]
+    tri = (h[:-2] * np.uint64(0x9E3779B97F4A7C15) + h[1:-1]) * np.uint64(0xC2B2AE3D27D4EB4F) + h[2:]
     order = np.argsort(tri, kind="stable")
     s = tri[order]
     same = s[1:] == s[:-1]
@@ -75,23 +74,39 @@ def in_band(size: int, ratio: float, bands=BANDS) -> bool:
     return True
 
 
-def assess(text: bytes | None, pack, bands=BANDS, chunk: int = CHUNK, chunk_band=CHUNK_BAND,
+def assess(text: bytes | None, hashes, pack, bands=BANDS, chunk: int = CHUNK, chunk_band=CHUNK_BAND,
            chunk_share: float = CHUNK_SHARE, min_words: int = MIN_WORDS,
            max_repeat_pct: int = MAX_REPEAT_PCT) -> tuple:
-    """The counts and the verdict on one text; ``pack`` compresses bytes."""
+    """The counts and the verdict on one text, given the hashes of its words;
+    ``pack`` compresses bytes."""
     text = text or b""
-    words = text.split()
+    n = len(hashes)
     chars = len(text.translate(None, _SPACE).decode())
     symbols = len(text) - len(text.translate(None, _SYMBOLS))
     lines = [x for x in text.split(b"\n") if x.strip()]
-    repeats = repeat_words(words)
-    failed = len(words) < min_words or 100 * repeats > max_repeat_pct * len(words)
+    repeats = repeat_words(hashes)
+    failed = n < min_words or 100 * repeats > max_repeat_pct * n
     ratio = len(text) / len(pack(text)) if text else 0.0
     # a last part of less than half a chunk says little about its own
     parts = [p for k in range(0, len(text), chunk) if 2 * len(p := text[k:k + chunk]) >= chunk]
     bad = sum(not chunk_band[0] <= len(p) / len(pack(p)) <= chunk_band[1] for p in parts)
     kept = not failed and in_band(len(text), ratio, bands) and bad <= chunk_share * len(parts)
-    return (len(words), chars, symbols, len(lines) - len(set(lines)), repeats, failed, ratio, len(parts), bad, kept)
+    return (n, chars, symbols, len(lines) - len(set(lines)), repeats, failed, ratio, len(parts), bad, kept)
+
+
+def assess_all(texts: list, level: int = LEVEL, **rules) -> list:
+    """:func:`assess` of each text of a batch."""
+    import zstandard
+
+    pack = zstandard.ZstdCompressor(level=level).compress
+    out = []
+    for part in in_parts(texts):
+        h, _, _, counts = hash_words(part)
+        at = 0
+        for t, n in zip(part, counts.tolist()):
+            out.append(assess(t, h[at:at + n], pack, **rules))
+            at += n
+    return out
 
 
 def quality(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", level: int = LEVEL, **rules) -> DataFrame:
@@ -102,14 +117,12 @@ def quality(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lev
 
     def run(batches):
         import pyarrow as pa
-        import zstandard
 
-        pack = zstandard.ZstdCompressor(level=level).compress
         names = ["doc_id"] + [f.split()[0] for f in _FIELDS.split(", ")]
         kinds = {"long": pa.int64(), "boolean": pa.bool_(), "double": pa.float64()}
         types = [kinds[f.split()[1]] for f in _FIELDS.split(", ")]
         for b in batches:
-            rows = [assess(t, pack, **rules) for t in bytes_of(b.column(1))]
+            rows = assess_all(bytes_of(b.column(1)), level, **rules)
             cols = list(zip(*rows)) or [()] * len(types)
             yield pa.RecordBatch.from_arrays([b.column(0)] + [pa.array(c, t) for c, t in zip(cols, types)], names)
 
@@ -122,11 +135,9 @@ def quality_filter(docs: DataFrame, text_col: str = "text", level: int = LEVEL,
 
     def run(batches):
         import pyarrow as pa
-        import zstandard
 
-        pack = zstandard.ZstdCompressor(level=level).compress
         for b in batches:
-            yield b.filter(pa.array([assess(t, pack, **rules)[-1] for t in bytes_of(b.column(at))], pa.bool_()))
+            yield b.filter(pa.array([x[-1] for x in assess_all(bytes_of(b.column(at)), level, **rules)], pa.bool_()))
 
     return docs.mapInArrow(run, docs.schema)
 

@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rankflow.llm import (chat, decontaminate, lines, mixing, oracles, quality, repair, separators,
-                          warc)
+from rankflow.llm import (chat, decontaminate, lines, mixing, neardup, oracles, quality, recompress,
+                          repair, separators, warc)
 from rankflow.llm.common import written
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -77,6 +77,19 @@ def op4(spark, sf_dir):
         "formatted_chars")
 
 
+@_query("op5_near_duplicates", oracles.NEAR_DUPLICATES)
+def op5(spark, sf_dir):
+    """Components of near-duplicate documents."""
+    return neardup.near_duplicates(_table(spark, sf_dir, "documents"))
+
+
+@_query("op6_substrings", oracles.SUBSTRINGS)
+def op6(spark, sf_dir):
+    """Repeated 13-word passages removed from every later document."""
+    out = recompress.substring_dedup(_table(spark, sf_dir, "documents"))
+    return out.select("doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
+
+
 @_query("op7_site_lines", oracles.SITE_LINES)
 def op7(spark, sf_dir):
     """Boilerplate lines of each site dropped from its pages."""

@@ -33,8 +33,8 @@ import zlib
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from rankflow.llm.bpe import default_path, encoder, in_parts
-from rankflow.llm.common import attempt_name, file_system, ship, shuffle_partitions, written
+from rankflow.llm.bpe import default_path, encoder
+from rankflow.llm.common import attempt_name, file_system, in_parts, ship, shuffle_partitions, written
 from rankflow.session import scratch_path
 
 SHARD = 1 << 20

@@ -20,8 +20,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from rankflow.llm.bpe import default_path, encoder, id_type, in_parts
-from rankflow.llm.common import attempt_name, file_system, ship, shuffle_partitions, written
+from rankflow.llm.bpe import default_path, encoder, id_type
+from rankflow.llm.common import attempt_name, file_system, in_parts, ship, shuffle_partitions, written
 from rankflow.session import scratch_path
 
 BLOCK = 4 << 20
