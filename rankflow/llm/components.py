@@ -28,9 +28,12 @@ def components(links: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
         tree = written(both.groupBy("node").agg(F.min("to").alias("to"))
                        .select("node", F.least("node", "to").alias("root")), "hooks")
         while True:
-            up = tree.select(F.col("node").alias("u"), F.col("root").alias("u_root"))
-            tree = written(tree.join(up, F.col("root") == F.col("u"))
-                           .select("node", F.col("u_root").alias("root"), (F.col("root") != F.col("u_root")).alias("moved")), "jumps")
+            # four steps up at once; hooked trees are rarely deeper
+            one = tree.select(F.col("node").alias("u_node"), F.col("root").alias("u_root"))
+            twice = written(tree.join(one, F.col("root") == F.col("u_node")).select("node", F.col("u_root").alias("root")), "jumps")
+            two = twice.select(F.col("node").alias("v_node"), F.col("root").alias("v_root"))
+            tree = written(twice.join(two, F.col("root") == F.col("v_node"))
+                           .select("node", F.col("v_root").alias("root"), (F.col("root") != F.col("v_root")).alias("moved")), "jumps")
             if tree.where("moved").isEmpty():
                 break
             tree = tree.drop("moved")

@@ -15,10 +15,10 @@ at least one posting.  Documents that meet are merged (all common values are
 counted), those with enough matches are confirmed on their full sets.
 
 Dense groups: documents with equal sets are one class from the start.  Under
-a posting, documents are first compared with one pivot only (another one each
-round), and what is found to be connected is contracted; the last round takes
-up every pair of documents that meet in a posting, are not connected yet and
-were not compared yet.  So a group of thousands of near copies costs a few
+a posting, documents are first compared with one pivot only (in ``STARS``
+rounds, another one each), and what is found to be connected is contracted;
+the last round takes up every pair of documents that meet in a posting, are
+not connected yet and were not compared yet.  So a group of thousands of near copies costs a few
 comparisons per document, and yet no pair that could connect two components
 is left out: the components are those of all links.
 
@@ -45,7 +45,7 @@ SHINGLE = 5
 COORDINATES = 64
 MATCHES = 32
 PERCENT = 75
-STARS = 6
+STARS = 2
 
 
 def shingle_sets(texts: list, shingle: int = SHINGLE) -> list:
@@ -152,6 +152,10 @@ def _confirm(pairs: DataFrame, sets: DataFrame, matches: int, percent: int) -> D
     return met.select("a", "b"), written(links, "links")
 
 
+def _pairs(met: DataFrame, other: str) -> DataFrame:
+    return met.select(F.least("node", other).alias("a"), F.greatest("node", other).alias("b")).distinct()
+
+
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = SHINGLE,
                     percent: int = PERCENT, coordinates: int = COORDINATES, matches: int = MATCHES,
                     stars: int = STARS) -> DataFrame:
@@ -171,35 +175,38 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     shared = written(shared.select("node", F.col("by_rarity.posting").alias("shared")), "shared")
     sets = written(_sets(base.join(shared, F.col("doc_id") == F.col("node")).select("doc_id", "text", "shared"), shingle), "sets")
     posts = written(shared.select("node", F.explode(F.slice("shared", F.lit(1), F.size("shared") - matches + 1)).alias("posting")), "posts")
-    links = labels = seen = None
-    for turn in range(stars + 1):
-        now = posts.withColumn("label", F.col("node")) if labels is None else posts.join(
-            labels.withColumnRenamed("node", "l_node"), F.col("node") == F.col("l_node"), "left").select(
-            "node", "posting", F.coalesce("root", "node").alias("label"))
-        open_ = (now.groupBy("posting").agg(
-            F.min("label").alias("lo"), F.max("label").alias("hi"),
-            F.min_by(F.struct("node", "label"), F.xxhash64("node", F.lit(turn))).alias("pivot"))
-            .where("lo < hi").select(F.col("posting").alias("o_posting"), F.col("pivot.node").alias("p_node"), F.col("pivot.label").alias("p_label")))
-        if turn < stars:
-            met = now.join(open_, (F.col("posting") == F.col("o_posting")) & (F.col("label") != F.col("p_label")))
-        else:  # what the pivots left: every pair that meets and is not connected
-            rest = now.join(open_.select("o_posting"), F.col("posting") == F.col("o_posting"), "left_semi")
-            rest = written(rest, "rest")
-            other = rest.select(F.col("posting").alias("o_posting"), F.col("node").alias("p_node"), F.col("label").alias("p_label"))
-            met = rest.join(other, (F.col("posting") == F.col("o_posting")) & (F.col("label") < F.col("p_label")))
-        pairs = met.select(F.least("node", "p_node").alias("a"), F.greatest("node", "p_node").alias("b")).distinct()
+    seen = links = None
+    for turn in range(stars):
+        pivot = (posts.groupBy("posting").agg(F.min_by("node", F.xxhash64("node", F.lit(turn))).alias("pivot"))
+                 .withColumnRenamed("posting", "p_posting"))
+        met = posts.join(pivot, (F.col("posting") == F.col("p_posting")) & (F.col("node") != F.col("pivot")))
+        pairs = _pairs(met, "pivot")
         if seen is not None:
             pairs = pairs.join(seen, ["a", "b"], "left_anti")
         compared, found = _confirm(pairs, sets, matches, percent)
         seen = compared if seen is None else seen.union(compared)
-        fresh = not found.isEmpty()
-        if fresh:
-            links = found if links is None else links.union(found)
-            labels = components(links)
-        elif turn < stars and compared.isEmpty():
-            break  # no posting holds two components
-    roots = labels if labels is not None else classes.select("node", F.col("node").alias("root")).limit(0)
-    of_class = (classes.join(roots.withColumnRenamed("node", "r_node"), F.col("node") == F.col("r_node"), "left")
+        links = found if links is None else links.union(found)
+    labels = components(links)
+    # what the pivots left: every pair that meets and is not connected
+    l = labels.select(F.col("node").alias("l_node"), "root")
+    now = posts.join(l, F.col("node") == F.col("l_node"), "left").select("posting", "node", F.coalesce("root", "node").alias("label"))
+    now = written(now, "labelled")
+    several = (now.groupBy("posting").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).where("lo < hi")
+               .select(F.col("posting").alias("s_posting")))
+    rest = written(now.join(several, F.col("posting") == F.col("s_posting"), "left_semi"), "rest")
+    other = rest.select(F.col("posting").alias("o_posting"), F.col("node").alias("o_node"), F.col("label").alias("o_label"))
+    met = rest.join(other, (F.col("posting") == F.col("o_posting")) & (F.col("label") < F.col("o_label")))
+    _, found = _confirm(_pairs(met, "o_node").join(seen, ["a", "b"], "left_anti"), sets, matches, percent)
+    if not found.isEmpty():
+        # links between the components found so far, and nodes seen for the first time
+        a, b = (labels.select(F.col("node").alias(f"{k}_node"), F.col("root").alias(f"{k}_root")) for k in "ab")
+        between = (found.join(a, F.col("a") == F.col("a_node"), "left").join(b, F.col("b") == F.col("b_node"), "left")
+                   .select(F.coalesce("a_root", "a").alias("a"), F.coalesce("b_root", "b").alias("b")))
+        upper = components(between).withColumnRenamed("node", "u_node").withColumnRenamed("root", "u_root")
+        joined = labels.join(upper, F.col("root") == F.col("u_node"), "full")
+        labels = written(joined.select(F.coalesce("node", "u_node").alias("node"), F.coalesce("u_root", "root").alias("root"))
+                         .unionByName(upper.select(F.col("u_node").alias("node"), F.col("u_root").alias("root"))).distinct(), "labels")
+    of_class = (classes.join(labels.withColumnRenamed("node", "r_node"), F.col("node") == F.col("r_node"), "left")
                 .select(F.col("key1").alias("k1"), F.col("key2").alias("k2"), F.col("n_shingles").alias("k_n"),
                         F.coalesce("root", "node").alias("component")))
     mine = (F.col("key1") == F.col("k1")) & (F.col("key2") == F.col("k2")) & (F.col("n_shingles") == F.col("k_n"))
