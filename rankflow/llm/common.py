@@ -57,7 +57,17 @@ def written(df: DataFrame, name: str = "table") -> DataFrame:
             spark.conf.unset(_CLEAN)
         else:
             spark.conf.set(_CLEAN, before)
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out.written_path = path
+    return out
+
+
+def discard(*tables: DataFrame) -> None:
+    """Delete tables of :func:`written` that nothing reads any more."""
+    for t in tables:
+        jvm = t.sparkSession._jvm
+        path = jvm.org.apache.hadoop.fs.Path(t.written_path)
+        path.getFileSystem(t.sparkSession._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def shuffle_partitions(df: DataFrame) -> int:

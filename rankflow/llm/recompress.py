@@ -41,10 +41,10 @@ import hashlib
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from rankflow.llm.common import bytes_of, hash_words, in_parts, mixed, ship, written
+from rankflow.llm.common import bytes_of, discard, hash_words, in_parts, mixed, ship, written
 
 WINDOW = 13
-ROUNDS = 3
+ROUNDS = 4
 _FIRST = 2  # symbols of the first rounds are too common to stand for a window
 
 
@@ -168,11 +168,12 @@ def substring_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     posts = written(first.select("doc_id", "text").mapInArrow(post, "symbol long, doc_id long, place int, n int"), "posts")
     # symbol 0 marks windows that are one long run: always verified
     named = posts.where("symbol <> 0")
-    shared = (named.groupBy("symbol").agg(F.min("doc_id").alias("a"), F.max("doc_id").alias("z"))
-              .where("a < z").select(F.col("symbol").alias("s_symbol")))
+    shared = written(named.groupBy("symbol").agg(F.min("doc_id").alias("a"), F.max("doc_id").alias("z"))
+                     .where("a < z").select(F.col("symbol").alias("s_symbol")), "shared")
     revealed = (named.join(shared, F.col("symbol") == F.col("s_symbol")).select("doc_id", "place", "n")
                 .unionByName(posts.where("symbol = 0").select("doc_id", "place", "n")))
     ranges = written(revealed.groupBy("doc_id").agg(F.collect_list(F.struct("place", "n")).alias("ranges")), "revealed")
+    discard(posts, shared)
 
     def verify(batches):
         import numpy as np
@@ -194,20 +195,29 @@ def substring_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
                 p, n = places[a:z].astype(np.int64) + base[own], sizes[a:z].astype(np.int64)
                 at = np.repeat(p - (np.cumsum(n) - n), n) + np.arange(n.sum())
                 who = np.repeat(own, n)
-                w = window_hashes(h, window)
+                # a window repeated within its document is one row with all its places
+                w = window_hashes(h, window)[at]
+                order = np.lexsort((at, w, who))
+                w, who, at = w[order], who[order], at[order]
+                begin = np.ones(len(at), bool)
+                begin[1:] = (w[1:] != w[:-1]) | (who[1:] != who[:-1])
+                k = np.flatnonzero(begin)
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(w[at].view(np.int64)), pa.array(ids[rows][who], pa.int64()),
-                     pa.array((at - base[who]).astype(np.int32))], ["hash", "doc_id", "place"])
+                    [pa.array(w[k].view(np.int64)), pa.array(ids[rows][who[k]], pa.int64()),
+                     pa.ListArray.from_arrays(pa.array(np.append(k, len(at)), pa.int32()),
+                                              pa.array((at - base[who]).astype(np.int32)))], ["hash", "doc_id", "places"])
 
     r = ranges.select(F.col("doc_id").alias("r_id"), "ranges")
     seen = written(first.join(r, F.col("doc_id") == F.col("r_id")).select("doc_id", "text", "ranges")
-                   .mapInArrow(verify, "hash long, doc_id long, place int"), "windows")
-    owner = (seen.groupBy("hash").agg(F.min("doc_id").alias("a"), F.max("doc_id").alias("z"))
-             .where("a < z").select(F.col("hash").alias("o_hash"), F.col("a").alias("owner")))
+                   .mapInArrow(verify, "hash long, doc_id long, places array<int>"), "windows")
+    discard(ranges)
+    owner = written(seen.groupBy("hash").agg(F.min("doc_id").alias("a"), F.max("doc_id").alias("z"))
+             .where("a < z").select(F.col("hash").alias("o_hash"), F.col("a").alias("owner")), "owners")
     gone = (seen.join(owner, (F.col("hash") == F.col("o_hash")) & (F.col("doc_id") > F.col("owner")))
-            .groupBy("doc_id").agg(F.collect_list("place").alias("places")))
+            .groupBy("doc_id").agg(F.flatten(F.collect_list("places")).alias("places")))
     # a text that is not the first of its kind is covered by its own windows
     changed = written(gone.join(copies, "doc_id", "full"), "removed").withColumnRenamed("doc_id", "x_id")
+    discard(seen, owner)
     marked = (keyed.join(changed, F.col("doc_id") == F.col("x_id"), "left")
               .select("doc_id", "text", "places", F.coalesce(F.array_contains("copied", F.col("whole")), F.lit(False)).alias("copy")))
 
