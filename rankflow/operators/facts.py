@@ -33,8 +33,8 @@ def daily_min_rank(observations: DataFrame, metadata: DataFrame,
     instead of eleven and the join sees one row per item-day.
 
     For integral ranks (the reference's ``long``) the pair (rank, second of
-    day) is packed into one ``long`` so the aggregate buffer stays
-    fixed-width; other rank types use ``min(struct(rank, second))``.
+    day) is packed into one ``decimal(38,0)``, so any long rank fits and the
+    aggregate buffer stays fixed-width; other rank types use ``min(struct(rank, second))``.
     """
     obs = observations.select(key, "timestamp", "rank")
     # 'yyyy-MM-dd HH:mm:ss': the day and the second of day are slices of the
@@ -52,10 +52,10 @@ def daily_min_rank(observations: DataFrame, metadata: DataFrame,
     rank_type = obs.schema["rank"].dataType
     keyed = obs.select(key, day.alias("_day"), sod.alias("_sod"), "rank")
     if isinstance(rank_type, (T.LongType, T.IntegerType, T.ShortType, T.ByteType)):
-        packed = F.col("rank").cast("long") * F.lit(_DAY_SECONDS) + F.col("_sod")
+        packed = (F.col("rank").cast("decimal(20,0)") * F.lit(_DAY_SECONDS) + F.col("_sod")).cast("decimal(38,0)")
         agg = (keyed.groupBy(key, "_day").agg(F.min(packed).alias("_p"))
                .where(F.col("_p").isNotNull()))
-        sec = F.pmod(F.col("_p"), F.lit(_DAY_SECONDS))
+        sec = F.pmod(F.col("_p"), F.lit(_DAY_SECONDS)).cast("long")
         # exact integer division (``/`` would go through double)
         rank = F.expr(f"(_p - pmod(_p, {_DAY_SECONDS})) div {_DAY_SECONDS}").cast(rank_type)
     else:

@@ -30,10 +30,8 @@ from rankflow.session import checkpoint_dir
 
 _INDEX_BITS = 33  # monotonically_increasing_id: partition id in the upper 31 bits
 
-# Inputs proven (by a bounded count) to hold at most this many rows are
-# numbered with one single-partition window: a sort of <= 100k rows in one
-# task is cheaper than the checkpoint and extra jobs of the scalable path.
-SMALL_ROWS = 100_000
+# consecutive positions per halo bucket: what one window task holds at most
+BUCKET_ROWS = 100_000
 
 
 def _sort_cols(order_cols) -> list[Column]:
@@ -47,25 +45,15 @@ def _default_partitions(df: DataFrame) -> int:
 
 def with_position(df: DataFrame, order_cols, pos_col: str = "pos",
                   num_partitions: int | None = None,
-                  total_col: str | None = None,
-                  small_rows: int | None = None) -> DataFrame:
+                  total_col: str | None = None) -> DataFrame:
     """Append a 0-based global position of each row in ``order_cols`` order
     (and, if ``total_col`` is given, the total row count).
 
     ``order_cols`` must be a total order (append a unique tie-breaker);
-    otherwise positions among tied rows are not reproducible.  A bounded
-    count first checks whether the input is small (``small_rows``, default
-    the module's ``SMALL_ROWS``); only then is a single-partition window
-    used.  ``small_rows=0`` always takes the scalable path.
+    otherwise positions among tied rows are not reproducible.  One path for
+    every size of input.
     """
     keys = _sort_cols(order_cols)
-    limit = SMALL_ROWS if small_rows is None else small_rows
-    if limit and df.limit(limit + 1).count() <= limit:
-        w = Window.orderBy(*keys)
-        out = df.withColumn(pos_col, (F.row_number().over(w) - 1).cast("long"))
-        if total_col:
-            out = out.withColumn(total_col, F.count(F.lit(1)).over(Window.partitionBy()).cast("long"))
-        return out
     n = num_partitions or _default_partitions(df)
     ranged = df.repartitionByRange(n, *keys).sortWithinPartitions(*keys)
     mid = F.monotonically_increasing_id()
@@ -118,7 +106,7 @@ def position_split(df: DataFrame, order_cols, train_fraction: float = 0.8,
 
 
 def halo_buckets(positioned: DataFrame, pos_col: str, before: int, after: int = 0,
-                 bucket_rows: int = 1_000_000) -> DataFrame:
+                 bucket_rows: int = BUCKET_ROWS) -> DataFrame:
     """Cut a globally positioned table into buckets of ``bucket_rows``
     consecutive positions and copy the ``before`` rows preceding (and
     ``after`` rows following) each bucket into it, flagged ``_rf_core=False``.
@@ -146,15 +134,6 @@ def halo_buckets(positioned: DataFrame, pos_col: str, before: int, after: int =
             .drop("_rf_t"))
 
 
-def bucket_size(df: DataFrame, halo: int, cap: int = 1_000_000) -> int:
-    """Rows per halo bucket: the input spread over the shuffle partitions,
-    at least the halo, at most ``cap`` (so no task ever holds more than
-    ``cap`` rows plus the halo)."""
-    parts = _default_partitions(df)
-    total = df.count()
-    return max(halo + 1, min(cap, -(-total // max(parts, 1))))
-
-
 # The notebooks' "chronological" sort keys -- month, day of
 # month, then the weekday *name* (year already dropped).
 LITERAL_CHRONO_KEYS = ["month", "date", "day"]

@@ -16,7 +16,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from rankflow.operators.ordering import bucket_size, halo_buckets, with_position
+from rankflow.operators.ordering import BUCKET_ROWS, halo_buckets, with_position
 
 
 def history_windows(df: DataFrame, order_cols: list[str], features: list[str], target: str,
@@ -26,7 +26,7 @@ def history_windows(df: DataFrame, order_cols: list[str], features: list[str], t
     structs of ``features``.  With ``key`` the predecessors must belong to
     the same item (keyed windows); without, the whole table is one series."""
     keys = ([key] if key else []) + list(order_cols)
-    bucket_rows = bucket_rows or bucket_size(df, length)
+    bucket_rows = bucket_rows or max(BUCKET_ROWS, length + 1)
     positioned = with_position(df, keys, "_sq_pos")
     halo = halo_buckets(positioned, "_sq_pos", length, 0, bucket_rows)
     item = [F.col(key).alias("_sq_key")] if key else []

@@ -21,8 +21,8 @@ ALPHA = 0.05
 
 def sig_round(c: Column, digits: int = 6) -> Column:
     """Round to ``digits`` significant digits (text round trip, so the
-    result does not depend on the magnitude)."""
-    return F.format_string(f"%.{digits - 1}e", c).cast("double")
+    result does not depend on the magnitude).  A null stays null."""
+    return F.when(c.isNotNull(), F.format_string(f"%.{digits - 1}e", c).cast("double"))
 
 
 def pearson(df: DataFrame, target: str, columns: list[str]) -> DataFrame:
@@ -31,7 +31,10 @@ def pearson(df: DataFrame, target: str, columns: list[str]) -> DataFrame:
     aggs = []
     for i, c in enumerate(columns):
         both = F.col(target).isNotNull() & F.col(c).isNotNull()
-        aggs += [F.corr(F.col(target).cast("double"), F.col(c).cast("double")).alias(f"_r{i}"),
+        x, y = (F.when(both, F.col(k).cast("double")) for k in (target, c))
+        # a constant column has no correlation (the built-in would raise)
+        r = F.try_divide(F.covar_pop(x, y), F.stddev_pop(x) * F.stddev_pop(y))
+        aggs += [F.when(r.isNotNull(), F.least(F.lit(1.0), F.greatest(F.lit(-1.0), r))).alias(f"_r{i}"),
                  F.count(F.when(both, 1)).alias(f"_n{i}")]
     one = df.agg(*aggs)
     rows = F.explode(F.array(*[F.struct(F.lit(c).alias("column_name"), F.col(f"_r{i}").alias("r"),
@@ -43,64 +46,76 @@ def pearson(df: DataFrame, target: str, columns: list[str]) -> DataFrame:
 
 
 def with_pearson_p(res: DataFrame) -> DataFrame:
+    """p and the wording; a perfect correlation has p = 0, and where p cannot
+    be computed (fewer than three rows, a constant column) both are null."""
     p = t_pvalue(F.col("t_stat"), (F.col("n") - 2).cast("double"))
-    return (res.withColumn("p_value", p)
+    perfect = (F.abs("r") >= 1 - 1e-14) & (F.col("n") > 2)
+    return (res.withColumn("p_value", F.when(perfect, F.lit(0.0)).when(F.col("t_stat").isNotNull(), p))
             .withColumn("status", F.when(F.col("p_value") < ALPHA, F.lit(PEARSON_YES))
-                        .otherwise(F.lit(PEARSON_NO))))
+                        .when(F.col("p_value").isNotNull(), F.lit(PEARSON_NO))))
 
 
-def anova(df: DataFrame, value: str, groups: list[str], digits: int = 6) -> DataFrame:
+def anova(df: DataFrame, value: str, groups: list[str], digits: int | None = 6) -> DataFrame:
     """One-way ANOVA of ``value`` by each column in ``groups``."""
     return anova_pairs(df, [(g, value, g) for g in groups], digits)
 
 
-def anova_by_target(df: DataFrame, target: str, columns: list[str], digits: int = 6) -> DataFrame:
+def anova_by_target(df: DataFrame, target: str, columns: list[str], digits: int | None = 6) -> DataFrame:
     """The reverse test: each numeric column grouped by the target's values
     (the number of groups can approach the number of distinct targets; the
     aggregation is two-stage and never collects a group)."""
     return anova_pairs(df, [(c, c, target) for c in columns], digits)
 
 
-def anova_pairs(df: DataFrame, tests: list[tuple[str, str, str]], digits: int = 6) -> DataFrame:
+def anova_pairs(df: DataFrame, tests: list[tuple[str, str, str]], digits: int | None = 6) -> DataFrame:
     """One-way ANOVA for every (name, value column, group column) test.
 
-    All tests go through one shuffle: every row is expanded to one
-    (test, group) pair per test, aggregated to (n, sum, sum of squares) per
-    group with exact decimal sums, then to the between / within sums of
-    squares per test.  Tests with fewer than two groups are left out, as
-    the reference skips them."""
+    A first aggregation takes the exact mean of every value column; values
+    are shifted by it, so nothing cancels however large their offset.  All
+    tests then go through one shuffle: every row is expanded to one
+    (test, group) pair per test and aggregated to n, the exact sum and the
+    variance of the shifted values per group, then to the between / within
+    sums of squares per test.  Tests with fewer than two groups are left out,
+    as the reference skips them; without variance inside the groups F is
+    null.  ``digits=None`` leaves F unrounded."""
+    exact = lambda v: F.col(v).cast("decimal(38,6)")
+    values = list(dict.fromkeys(v for _, v, _ in tests))
+    means = df.select(F.struct(*[
+        F.try_divide(F.sum(exact(v)), F.count(exact(v))).cast("decimal(38,6)").alias(f"m{k}")
+        for k, v in enumerate(values)]).alias("m")).scalar()
+    df = df.withColumn("_an_mean", means)
     pairs = F.explode(F.array(*[
         F.struct(F.lit(name).alias("column_name"), F.col(g).cast("string").alias("grp"),
-                 F.col(v).cast("decimal(38,6)").alias("_v"))
+                 (exact(v) - F.col("_an_mean")[f"m{values.index(v)}"]).cast("decimal(38,6)").alias("_v"))
         for name, v, g in tests]))
     expanded = df.select(pairs.alias("p")).select("p.*")
     per = (expanded.where(F.col("_v").isNotNull() & F.col("grp").isNotNull())
            .groupBy("column_name", "grp")
            .agg(F.count("_v").alias("n"), F.sum("_v").alias("s"),
-                F.sum(F.col("_v") * F.col("_v")).alias("ss")))
+                F.var_pop(F.col("_v").cast("double")).alias("var")))
     s_d = F.col("s").cast("double")
     col = per.groupBy("column_name").agg(
-        F.count(F.lit(1)).alias("k"), F.sum("n").alias("n_total"),
-        F.sum("s").alias("s_total"), F.sum("ss").alias("ss_total"),
-        F.sum(s_d * s_d / F.col("n")).alias("between_raw"))
+        F.count(F.lit(1)).alias("k"), F.sum("n").alias("n_total"), F.sum("s").alias("s_total"),
+        F.sum(s_d * s_d / F.col("n")).alias("between"), F.sum(F.col("var") * F.col("n")).alias("within"))
     st = F.col("s_total").cast("double")
-    ssb = F.col("between_raw") - st * st / F.col("n_total")
-    ssw = F.col("ss_total").cast("double") - F.col("between_raw")
-    f = F.try_divide(ssb / (F.col("k") - 1), ssw / (F.col("n_total") - F.col("k")))
+    ssb = F.col("between") - st * st / F.col("n_total")
+    f = F.try_divide(F.try_divide(ssb, F.col("k") - 1), F.try_divide(F.col("within"), F.col("n_total") - F.col("k")))
     return (col.where(F.col("k") > 1)
             .select("column_name", F.col("k").cast("long").alias("k"),
                     F.col("n_total").cast("long").alias("n"),
-                    sig_round(f, digits).alias("f_stat"),
+                    (f if digits is None else sig_round(f, digits)).alias("f_stat"),
                     (F.col("k") - 1).cast("long").alias("df_between"),
                     (F.col("n_total") - F.col("k")).cast("long").alias("df_within")))
 
 
 def with_anova_p(res: DataFrame) -> DataFrame:
+    """p (5 digits), F (3 decimals) and the wording; takes the unrounded F.
+    Where F is null, p and the wording are null too."""
     p = f_pvalue(F.col("f_stat"), F.col("df_between").cast("double"), F.col("df_within").cast("double"))
-    return (res.withColumn("p_value", F.round(p, 5))
+    return (res.withColumn("p_value", F.when(F.col("f_stat").isNotNull(), F.round(p, 5)))
             .withColumn("f_stat", F.round("f_stat", 3))
             .withColumn("status", F.when(F.col("p_value") <= ALPHA, F.lit(ANOVA_YES))
-                        .otherwise(F.lit(ANOVA_NO))))
+                        .when(F.col("p_value").isNotNull(), F.lit(ANOVA_NO))))
 
 
 def error_metrics(pred: DataFrame, actual: str, predicted: str, digits: int = 6) -> DataFrame:
@@ -141,6 +156,3 @@ def histogram(df: DataFrame, value: str, bins: int = 30, digits: int = 6) -> Dat
         F.count(F.lit(1)).alias("n"))
     return counted.select("bin", "n", sig_round(lo + F.col("bin") * width, digits).alias("bin_start"))
 
-
-def residuals(df: DataFrame, actual: str, predicted: str, out: str = "residual") -> DataFrame:
-    return df.withColumn(out, F.col(actual) - F.col(predicted))

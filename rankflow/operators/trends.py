@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from rankflow.functions.calendar import weekday_index
-from rankflow.operators.ordering import bucket_size, halo_buckets, with_position
+from rankflow.operators.ordering import BUCKET_ROWS, halo_buckets, with_position
 
 _INTEGRAL = (T.LongType, T.IntegerType, T.ShortType, T.ByteType)
 
@@ -72,7 +72,7 @@ def centred_moving_mean(df: DataFrame, order_cols, value: str, half_width: int,
     """Mean of ``value`` over the rows ``half_width`` before to ``half_width``
     after each row in the global order, computed in bounded buckets (halo
     copies of neighbouring rows) rather than one un-partitioned window."""
-    bucket_rows = bucket_rows or bucket_size(df, half_width)
+    bucket_rows = bucket_rows or max(BUCKET_ROWS, half_width + 1)
     positioned = with_position(df, order_cols, pos_col)
     halo = halo_buckets(positioned, pos_col, half_width, half_width, bucket_rows)
     w = (Window.partitionBy("_rf_bucket").orderBy(pos_col)

@@ -28,29 +28,33 @@ def cosine(a: Column, b: Column, norm_a: Column | None = None, norm_b: Column |
 
 def nearest_prototype(df: DataFrame, vec_col: str, prototypes: DataFrame, label_col: str,
                       order_col: str, proto_vec_col: str = "embedding",
-                      max_prototypes: int = 1024) -> DataFrame:
+                      block_size: int = 1024) -> DataFrame:
     """Label of the most similar prototype (cosine), ties to the earlier
-    prototype in ``order_col`` order.
-
-    The prototype set is a fixed list of labels (eight genres in the
-    reference).  Its size is checked; the prototypes then travel as one
-    array-valued scalar subquery, so each row compares itself with every
-    prototype without a join."""
-    n = prototypes.limit(max_prototypes + 1).count()
-    if n > max_prototypes:
-        raise ValueError(f"more than {max_prototypes} prototypes")
-    protos = prototypes.select(
-        F.struct(F.col(order_col).alias("ord"), F.col(label_col).alias("label"),
-                 as_double_array(proto_vec_col).alias("v"),
-                 norm(as_double_array(proto_vec_col)).alias("nv")).alias("p"))
-    arr = protos.select(F.sort_array(F.collect_list("p")).alias("ps")).scalar()
+    prototype in ``order_col`` order (any sortable type).
+
+    The prototypes are numbered in that order and cut into blocks of
+    ``block_size``; each block travels as one array-valued scalar subquery,
+    and every row keeps its best of each block and then the best of those.
+    No join, and no task holds more than one block per subquery."""
+    from rankflow.operators.ordering import with_position
+    from rankflow.session import materialize
+
+    flat = prototypes.select(F.col(order_col).alias("given"), F.col(label_col).alias("label"),
+                             as_double_array(proto_vec_col).alias("v"))
+    placed = materialize(with_position(flat, ["given", "label", "v"], "ord"))
+    blocks = -(-placed.count() // block_size)
+    protos = placed.select(
+        F.floor(F.col("ord") / F.lit(block_size)).alias("block"),
+        F.struct("ord", "label", "v", norm(F.col("v")).alias("nv")).alias("p"))
     v = as_double_array(vec_col)
     nv = norm(v)
-    df = df.withColumn("_np_protos", arr)
-    scored = F.transform("_np_protos", lambda p: F.struct(
-        cosine(v, p["v"], nv, p["nv"]).alias("sim"), (-p["ord"]).alias("neg_ord"),
-        p["label"].alias("label")))
-    best = F.array_max(scored)
-    return df.withColumn("_np_best", best).select(
+    best = [F.lit(None).cast("struct<sim:double,neg_ord:bigint,label:string>")]
+    for k in range(blocks):
+        arr = protos.where(F.col("block") == k).select(F.sort_array(F.collect_list("p")).alias("ps")).scalar()
+        df = df.withColumn(f"_np_protos{k}", arr)
+        best.append(F.array_max(F.transform(f"_np_protos{k}", lambda p: F.struct(
+            cosine(v, p["v"], nv, p["nv"]).alias("sim"), (-p["ord"]).alias("neg_ord"),
+            p["label"].cast("string").alias("label")))))
+    return df.withColumn("_np_best", F.array_max(F.array(*best))).select(
         "*", F.col("_np_best.label").alias("predicted_label"),
-        F.col("_np_best.sim").alias("similarity")).drop("_np_best", "_np_protos")
+        F.col("_np_best.sim").alias("similarity")).drop("_np_best", *[f"_np_protos{k}" for k in range(blocks)])

@@ -20,20 +20,9 @@ TABLES = ["region", "nation", "customer", "supplier", "part", "orders", "lineite
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """A driver table.  A table stored as fewer files than the session has
-    cores (the single-file test layout: one row group, so one scan task) is
-    spread over the cores once after the scan; tables stored as many files
-    -- any table at cluster scale -- are read as they are."""
+    """A driver table, read as it is stored."""
     ensure_utc(spark)
-    df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
-    cores = spark.sparkContext.defaultParallelism
-    if len(df.inputFiles()) < cores and name not in _TINY:
-        df = df.repartition(cores)
-    return df
-
-
-# dimension tables with a handful of rows are never worth spreading
-_TINY = {"region", "nation"}
+    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
 def cents(c: str):

@@ -88,12 +88,16 @@ FROM keys k CROSS JOIN cols c
 LEFT JOIN counts n ON n.o_custkey = k.o_custkey AND n.priority = c.priority"""
 
 
+# The order priorities, which become the columns of the wide form.
+PRIORITIES = ["1-URGENT", "2-HIGH", "3-MEDIUM", "4-NOT SPECIFIED", "5-LOW"]
+
+
 @query("history_melt", _MELT_SQL)
 def history_melt(spark, sf_dir):
     """Wide -> long with a row for every (key, column), null when absent (X3):
     order counts pivoted by priority, then melted back."""
     orders = C.table(spark, sf_dir, "orders")
-    wide = orders.groupBy("o_custkey").pivot("o_orderpriority").count()
+    wide = orders.groupBy("o_custkey").pivot("o_orderpriority", PRIORITIES).count()
     return melt(wide, ["o_custkey"], key_name="priority", value_name="n_orders")
 
 

@@ -94,7 +94,7 @@ def anova_events(spark, sf_dir):
 def anova_test(spark, sf_dir):
     """ANOVA with F rounded to 3, p to 5 digits and the notebook's status
     wording (T2 X31 X32); p from the F tail (not in SQL)."""
-    return with_anova_p(anova(C.book_daily(spark, sf_dir), "rank", _CAT))
+    return with_anova_p(anova(C.book_daily(spark, sf_dir), "rank", _CAT, digits=None))
 
 
 _NUM = ["year", "month"]
@@ -110,6 +110,27 @@ def anova_by_target_query(spark, sf_dir):
     return anova_by_target(d, "rank", _NUM)
 
 
+@query("anova_by_target_test")
+def anova_by_target_test(spark, sf_dir):
+    """Reverse ANOVA with rounded F, p and status wording."""
+    d = C.book_daily(spark, sf_dir).select(F.col("year").cast("int").alias("year"),
+                                           F.col("month").cast("int").alias("month"), "rank")
+    return with_anova_p(anova_by_target(d, "rank", _NUM, digits=None))
+
+
+# values far from zero: the same test on prices moved up by a thousand million
+_FAR_SQL = "WITH far AS (SELECT o_totalprice + 1000000000 AS v, o_orderpriority AS g, o_totalprice AS v0 FROM orders)" + \
+    _anova_sql("far", [("v", "v0", "g")])
+
+
+@query("anova_offset", _FAR_SQL)
+def anova_offset(spark, sf_dir):
+    """ANOVA of order prices with a large offset: F does not depend on it."""
+    o = C.table(spark, sf_dir, "orders").select(
+        (F.col("o_totalprice") + F.lit(1_000_000_000)).alias("v"), F.col("o_orderpriority").alias("g"))
+    return anova(o, "v", ["g"]).withColumn("column_name", F.lit("v"))
+
+
 def _order_predictions(spark, sf_dir):
     """actual = order price, predicted = mean price of the customer's orders."""
     o = C.table(spark, sf_dir, "orders").select("o_custkey", "o_totalprice")

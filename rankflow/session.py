@@ -51,7 +51,7 @@ def checkpoint_dir(spark: SparkSession) -> str:
 
     On a cluster this is set by the operator of the cluster (a shared file
     system or object store).  Only when it is unset -- local tests and the
-    benchmark -- do we create one of our own.
+    benchmark -- do we create one of our own, and only in a single process.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
@@ -59,6 +59,8 @@ def checkpoint_dir(spark: SparkSession) -> str:
         if not sc.getCheckpointDir():
             sc.setCheckpointDir(current)
         return current
+    if not (sc.master == "local" or sc.master.startswith("local[")):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
     local = tempfile.mkdtemp(prefix="rankflow-ckpt-")
     spark.conf.set("spark.checkpoint.dir", local)
     sc.setCheckpointDir(local)

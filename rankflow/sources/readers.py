@@ -41,10 +41,14 @@ def read_rank_documents_wide(spark: SparkSession, path: str | list[str]) -> Data
 
 
 def read_csv_strings(spark: SparkSession, path: str, header: bool = True,
-                     encoding: str | None = None, columns: list[str] | None = None) -> DataFrame:
+                     encoding: str | None = None, columns: list[str] | None = None,
+                     multi_line: bool = False) -> DataFrame:
     """CSV with a header where every column is a string (no inference).
-    ``encoding`` e.g. ``ISO-8859-1`` for legacy exports."""
-    reader = spark.read.option("header", header).option("inferSchema", False)
+    ``encoding`` e.g. ``ISO-8859-1`` for legacy exports.  A quote inside a
+    quoted field is doubled.  ``multi_line`` allows line breaks inside quoted
+    fields; such a file cannot be split, so it is off by default."""
+    reader = (spark.read.option("header", header).option("inferSchema", False)
+              .option("escape", '"').option("multiLine", multi_line))
     if encoding:
         reader = reader.option("encoding", encoding)
     if columns:
@@ -54,19 +58,24 @@ def read_csv_strings(spark: SparkSession, path: str, header: bool = True,
 
 
 def read_csv_skip_long_rows(spark: SparkSession, path: str, columns: list[str],
-                            header: bool = True) -> DataFrame:
+                            header: bool = True, multi_line: bool = False) -> DataFrame:
     """pandas ``on_bad_lines='skip'``: rows with *more* fields than the header
     are dropped, shorter rows are kept and padded with nulls.
 
-    The schema carries one extra string column; it is filled exactly when a
-    line is over-long.  Filtering on it works whatever columns a later
-    projection keeps (``DROPMALFORMED`` drops nothing when the malformed
-    fields are pruned away, and drops short rows too)."""
-    extra = "_rf_extra_field"
-    schema = T.StructType([T.StructField(c, T.StringType()) for c in columns]
-                          + [T.StructField(extra, T.StringType())])
-    df = spark.read.option("header", header).option("mode", "PERMISSIVE").schema(schema).csv(path)
-    return df.where(F.col(extra).isNull()).drop(extra)
+    A line whose number of fields differs comes with its raw text; it is
+    over-long when it has at least as many separators outside quotes as there
+    are columns, whether or not the extra fields are empty.  Pruning is off in
+    the parser, so the test does not depend on what a later projection keeps."""
+    raw = "_rf_raw_line"
+    schema = T.StructType([T.StructField(c, T.StringType()) for c in [*columns, raw]])
+    df = (spark.read.option("header", header).option("mode", "PERMISSIVE").option("escape", '"')
+          .option("multiLine", multi_line).option("columnPruning", False)
+          .option("columnNameOfCorruptRecord", raw).schema(schema).csv(path))
+    outside = F.regexp_replace(F.col(raw), r'"(?:[^"]|"")*"', "")
+    separators = F.length(outside) - F.length(F.replace(outside, F.lit(","), F.lit("")))
+    # a query must name a column of the file besides the raw line
+    named = F.length(F.concat(F.coalesce(F.col(columns[0]), F.lit("")), F.lit("."))) > 0
+    return df.where((F.col(raw).isNull() | (separators < len(columns))) & named).drop(raw)
 
 
 def read_payloads(spark: SparkSession, path: str) -> DataFrame:

@@ -24,14 +24,14 @@ def write_parquet(df: DataFrame, path: str, partition_by: list[str] | None = Non
 
 
 def write_csv(df: DataFrame, path: str, header: bool = True, mode: str = "overwrite") -> None:
-    """CSV sink (UTF-8, no index), one file per partition."""
-    df.write.mode(mode).option("header", header).option("encoding", "UTF-8").csv(path)
+    """CSV sink (UTF-8, no index, quotes doubled), one file per partition."""
+    df.write.mode(mode).option("header", header).option("encoding", "UTF-8").option("escape", '"').csv(path)
 
 
 def write_single_csv(df: DataFrame, path: str, header: bool = True) -> None:
     """One CSV file, as the conversion job writes.  ``coalesce(1)`` funnels
     the final write through one task -- only for small exports."""
-    df.coalesce(1).write.mode("overwrite").option("header", header).csv(path)
+    df.coalesce(1).write.mode("overwrite").option("header", header).option("escape", '"').csv(path)
 
 
 def save_mapping(df: DataFrame, path: str) -> None:

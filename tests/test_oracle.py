@@ -27,7 +27,7 @@ def test_query_matches_oracle(spark, con, name):
     rows = [tuple(r) for r in df.collect()]
     sql = E.oracle_sql().get(name)
     if sql is None:
-        assert len(rows) >= 0
+        assert rows, name
         return
     r = con.execute(sql)
     ocols = [d[0] for d in r.description]

@@ -4,7 +4,6 @@ exact."""
 import pandas as pd
 from pyspark.sql import functions as F
 
-from rankflow.operators import ordering
 from rankflow.operators.sequences import history_windows
 
 SF = "/root/testdata/sf0.01"
@@ -24,8 +23,7 @@ def test_range_partitions_split_the_hot_key(spark):
     assert sum(sizes) == n and max(sizes) <= 2 * n / 8
 
 
-def test_windows_on_hot_key_match_brute_force(spark, monkeypatch):
-    monkeypatch.setattr(ordering, "SMALL_ROWS", 0)
+def test_windows_on_hot_key_match_brute_force(spark):
     df = _skewed(spark)
     got = history_windows(df, ["ts", "event_id"], ["rank"], "rank", key="asin", length=10,
                           bucket_rows=700)
