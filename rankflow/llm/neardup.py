@@ -16,9 +16,10 @@ counted), those with enough matches are confirmed on their full sets.
 
 Dense groups: documents with equal sets are one class from the start.  Under
 a posting, documents are first compared with one pivot only (in ``STARS``
-rounds, another one each), and what is found to be connected is contracted;
-the last round takes up every pair of documents that meet in a posting, are
-not connected yet and were not compared yet.  So a group of thousands of near copies costs a few
+rounds, another one each), and what is found to be connected is contracted.
+Documents that still meet others outside their component are filtered once
+more, by a prefix of their rarest shingles that no link can escape, and the
+last round takes up every such pair that was not compared yet.  So a group of thousands of near copies costs a few
 comparisons per document, and yet no pair that could connect two components
 is left out: the components are those of all links.
 
@@ -38,7 +39,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from rankflow.llm.common import bytes_of, hash_words, in_parts, mixed, ship, written
+from rankflow.llm.common import bytes_of, discard, hash_words, in_parts, mixed, ship, written
 from rankflow.llm.components import components
 
 SHINGLE = 5
@@ -152,6 +153,43 @@ def _confirm(pairs: DataFrame, sets: DataFrame, matches: int, percent: int) -> D
     return met.select("a", "b"), written(links, "links")
 
 
+def _rare_meetings(nodes: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """(node, o_node): nodes of different labels that share one of their
+    rarest shingles.  A linked pair has at least ``percent`` % of either set
+    in common, and only shingles of several nodes can be common; so a node
+    with fewer of those has no link at all, and of two linked nodes the
+    rarest ones meet (again a prefix, now of the full sets).  No link is lost.
+    """
+    mine = sets.join(nodes, "node").select("node", "label", "full")
+
+    def spread(batches):
+        import numpy as np
+        import pyarrow as pa
+
+        for b in batches:
+            for node, label, full in zip(*(c.to_pylist() for c in b.columns)):
+                v = np.frombuffer(full, np.int64)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(np.full(len(v), node)), pa.array(np.full(len(v), label)), pa.array(np.full(len(v), len(v))),
+                     pa.array(v)], ["node", "label", "n", "shingle"])
+
+    rows = written(mine.mapInArrow(spread, "node long, label long, n long, shingle long"), "shingles")
+    counted = rows.groupBy("shingle").agg(F.count(F.lit(1)).alias("n_nodes")).where("n_nodes > 1").withColumnRenamed("shingle", "c_shingle")
+    need = F.ceil(F.col("n") * F.lit(percent) / F.lit(100)).cast("int")
+    size = F.size("by_rarity")
+    rare = (rows.join(counted, F.col("shingle") == F.col("c_shingle")).groupBy("node", "label", "n")
+            .agg(F.array_sort(F.collect_set(F.struct("n_nodes", "shingle"))).alias("by_rarity"))
+            .where(size >= need)
+            .select("node", "label", F.explode(F.slice(F.col("by_rarity.shingle"), F.lit(1), size - need + 1)).alias("shingle")))
+    rare = written(rare, "rare")
+    discard(rows)
+    several = (rare.groupBy("shingle").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).where("lo < hi")
+               .select(F.col("shingle").alias("s_shingle")))
+    left = written(rare.join(several, F.col("shingle") == F.col("s_shingle"), "left_semi"), "meetings")
+    other = left.select(F.col("shingle").alias("o_shingle"), F.col("node").alias("o_node"), F.col("label").alias("o_label"))
+    return left.join(other, (F.col("shingle") == F.col("o_shingle")) & (F.col("label") < F.col("o_label")))
+
+
 def _pairs(met: DataFrame, other: str) -> DataFrame:
     return met.select(F.least("node", other).alias("a"), F.greatest("node", other).alias("b")).distinct()
 
@@ -187,15 +225,14 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         seen = compared if seen is None else seen.union(compared)
         links = found if links is None else links.union(found)
     labels = components(links)
-    # what the pivots left: every pair that meets and is not connected
+    # what the pivots left: documents under a posting with several components
     l = labels.select(F.col("node").alias("l_node"), "root")
     now = posts.join(l, F.col("node") == F.col("l_node"), "left").select("posting", "node", F.coalesce("root", "node").alias("label"))
     now = written(now, "labelled")
     several = (now.groupBy("posting").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).where("lo < hi")
                .select(F.col("posting").alias("s_posting")))
     rest = written(now.join(several, F.col("posting") == F.col("s_posting"), "left_semi"), "rest")
-    other = rest.select(F.col("posting").alias("o_posting"), F.col("node").alias("o_node"), F.col("label").alias("o_label"))
-    met = rest.join(other, (F.col("posting") == F.col("o_posting")) & (F.col("label") < F.col("o_label")))
+    met = _rare_meetings(rest.select("node", "label").distinct(), sets, percent)
     _, found = _confirm(_pairs(met, "o_node").join(seen, ["a", "b"], "left_anti"), sets, matches, percent)
     if not found.isEmpty():
         # links between the components found so far, and nodes seen for the first time

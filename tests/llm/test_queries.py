@@ -1,7 +1,6 @@
 """Every corpus query against its DuckDB SQL, or a brute-force version, on the
 small tables."""
 
-import hashlib
 import zlib
 
 import duckdb
@@ -124,7 +123,7 @@ def test_quality_keeps_labelled_good_documents(spark, con):
 
 def test_quality_rejects_repetition_and_noise():
     rng = np.random.default_rng(1)
-    noise = " ".join(rng.bytes(12).hex() for _ in range(0)).encode() + bytes(rng.integers(33, 127, 6000, np.uint8)).replace(b"<", b" ")
+    noise = bytes(rng.integers(33, 127, 6000, np.uint8)).replace(b"<", b" ")
     assert not quality.in_band(6000, 1.1)
     rows = quality.assess_all([b"spam and eggs with ham " * 400, noise])
     assert [r[-1] for r in rows] == [False, False]
@@ -163,4 +162,3 @@ def test_decontaminated_texts_hold_no_window(spark):
     for doc_id, text, _ in [tuple(r) for r in docs.select("doc_id", "text", "source").collect()]:
         if doc_id not in changed:
             assert clean[doc_id] == text
-    assert hashlib.sha256(b"").hexdigest()
