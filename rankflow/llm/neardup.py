@@ -19,9 +19,11 @@ a posting, documents are first compared with one pivot only (in ``STARS``
 rounds, another one each), and what is found to be connected is contracted.
 Documents that still meet others outside their component are filtered once
 more, by a prefix of their rarest shingles that no link can escape, and the
-last round takes up every such pair that was not compared yet.  So a group of thousands of near copies costs a few
-comparisons per document, and yet no pair that could connect two components
-is left out: the components are those of all links.
+last round takes up every such pair between components.  So a group of
+thousands of near copies costs a few comparisons per document, and yet no pair
+that could connect two components is left out: the components are those of all
+links.  Pairs are compared in cells of two blocks of documents with the same
+most common posting, so a set is sent to a cell once for all of its pairs there.
 
 Scale: postings are counted with map-side partial sums and joined by plain
 equi-joins; pairs arise only between components.  Full sets are kept (in the
@@ -39,7 +41,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from rankflow.llm.common import bytes_of, discard, hash_words, in_parts, mixed, ship, written
+from rankflow.llm.common import bytes_of, discard, hash_words, in_parts, mixed, ship, shuffle_partitions, written
 from rankflow.llm.components import components
 
 SHINGLE = 5
@@ -47,6 +49,9 @@ COORDINATES = 64
 MATCHES = 32
 PERCENT = 75
 STARS = 2
+BLOCK_SHINGLES = 1 << 16
+BLOCK_NODES = 512
+_COLUMNS = 1 << 14
 
 
 def shingle_sets(texts: list, shingle: int = SHINGLE) -> list:
@@ -111,87 +116,159 @@ def _profile(docs: DataFrame, shingle: int, coordinates: int) -> DataFrame:
 
 
 def _sets(docs: DataFrame, shingle: int) -> DataFrame:
-    """doc_id, n, shared and the full set (sorted u64, binary)."""
+    """node, the full set and the shared postings (sorted u64, binary)."""
 
     def run(batches):
+        import numpy as np
         import pyarrow as pa
 
         for b in batches:
             sets = [s.tobytes() for part in in_parts(bytes_of(b.column(1))) for s in shingle_sets(part, shingle)]
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(sets, pa.binary()), b.column(2)], ["node", "full", "shared"])
+            shared = [np.sort(np.array(x, np.int64).view(np.uint64)).tobytes() for x in b.column(2).to_pylist()]
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(sets, pa.binary()), pa.array(shared, pa.binary())],
+                                             ["node", "full", "shared"])
+
+    return docs.mapInArrow(run, "node long, full binary, shared binary")
+
 
-    return docs.mapInArrow(run, "node long, full binary, shared array<long>")
+def common_counts(sets: list, left, right):
+    """Number of common values of sets ``left[k]`` and ``right[k]`` (sorted
+    distinct u64 arrays).  Few pairs are merged one by one; for many, the
+    values of several sets become columns of a bit matrix."""
+    import numpy as np
+
+    out = np.zeros(len(left), np.int64)
+    if len(left) < 8:
+        for k, (i, j) in enumerate(zip(left.tolist(), right.tolist())):
+            both = np.concatenate([sets[i], sets[j]])
+            both.sort(kind="stable")
+            out[k] = (both[1:] == both[:-1]).sum()
+        return out
+    values = np.concatenate(sets)
+    owner = np.repeat(np.arange(len(sets)), [len(s) for s in sets])
+    _, which, counts = np.unique(values, return_inverse=True, return_counts=True)
+    several = counts > 1
+    some = several[which]
+    column, owner = (np.cumsum(several) - 1)[which[some]], owner[some]
+    order = np.argsort(column, kind="stable")
+    column, owner = column[order], owner[order]
+    for first in range(0, int(several.sum()), _COLUMNS):
+        a, z = np.searchsorted(column, [first, first + _COLUMNS])
+        grid = np.zeros((len(sets), _COLUMNS), bool)
+        grid[owner[a:z], column[a:z] - first] = True
+        bits = np.packbits(grid, axis=1).view(np.uint64)
+        for at in range(0, len(left), _COLUMNS):
+            both = bits[left[at:at + _COLUMNS]] & bits[right[at:at + _COLUMNS]]
+            out[at:at + _COLUMNS] += np.bitwise_count(both).sum(axis=1, dtype=np.int64)
+    return out
 
 
-def _confirm(pairs: DataFrame, sets: DataFrame, matches: int, percent: int) -> DataFrame:
-    """pairs (a, b) with ``linked``: enough matching coordinates, and enough
-    of the full sets in common."""
-    side = lambda c, x: sets.select(F.col("node").alias(f"{x}_node"), F.col(c).alias(f"{x}_{c}"))
-    met = (pairs.join(side("shared", "a"), F.col("a") == F.col("a_node")).join(side("shared", "b"), F.col("b") == F.col("b_node"))
-           .select("a", "b", (F.size(F.array_intersect("a_shared", "b_shared")) >= matches).alias("enough")))
-    met = written(met, "met")
-    full = (met.where("enough").join(side("full", "a"), F.col("a") == F.col("a_node"))
-            .join(side("full", "b"), F.col("b") == F.col("b_node"))
-            .where(F.lit(100) * F.least(F.length("a_full"), F.length("b_full"))
-                   >= F.lit(percent) * F.greatest(F.length("a_full"), F.length("b_full")))
-            .select("a", "b", "a_full", "b_full"))
+def _links(pairs: DataFrame, sets: DataFrame, matches: int, percent: int) -> DataFrame:
+    """The linked ones of pairs (cell, a, b): enough matching coordinates, and
+    enough of the full sets in common.  A set travels once to each cell in
+    which one of its pairs lies, not once per pair."""
+    met = written(pairs, "met")
+    asked = met.select("cell", F.col("a").alias("node")).union(met.select("cell", "b")).distinct()
+    given = asked.join(sets, "node").select("cell", F.col("node").alias("a"), F.lit(None).cast("long").alias("b"), "full", "shared")
+    empty = F.lit(None).cast("binary")
+    rows = given.unionByName(met.select("cell", "a", "b", empty.alias("full"), empty.alias("shared")))
+    # the sets of a cell come before its pairs
+    rows = rows.repartition(shuffle_partitions(sets), "cell").sortWithinPartitions("cell", F.col("b").asc_nulls_first(), "a")
 
-    def common(batches):
+    def confirm(batches):
         import numpy as np
         import pyarrow as pa
 
-        for b in batches:
-            ok = []
-            for x, y in zip(b.column(2).to_pylist(), b.column(3).to_pylist()):
-                both = np.concatenate([np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)])
-                both.sort(kind="stable")
-                inter = int((both[1:] == both[:-1]).sum())
-                ok.append(100 * inter >= percent * (len(both) - inter))
-            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1)], ["a", "b"]).filter(pa.array(ok, pa.bool_()))
-
-    links = full.mapInArrow(common, "a long, b long")
-    return met.select("a", "b"), written(links, "links")
+        cell, nodes, full, shared = None, [], [], []
+        for batch in batches:
+            cells = batch.column(0).to_numpy()
+            begin = np.flatnonzero(np.append(True, cells[1:] != cells[:-1]))
+            found_a, found_b = [], []
+            for lo, hi in zip(begin.tolist(), np.append(begin[1:], len(cells)).tolist()):
+                if cell != cells[lo]:
+                    cell, nodes, full, shared = cells[lo], [], [], []
+                part = batch.slice(lo, hi - lo)
+                n_sets = part.column(2).null_count
+                nodes += part.column(1)[:n_sets].to_pylist()
+                full += [np.frombuffer(x, np.uint64) for x in part.column(3)[:n_sets].to_pylist()]
+                shared += [np.frombuffer(x, np.uint64) for x in part.column(4)[:n_sets].to_pylist()]
+                if n_sets == len(part):
+                    continue
+                a, b = (part.column(k)[n_sets:].to_numpy() for k in (1, 2))
+                ids = np.array(nodes, np.int64)  # ascending
+                left, right = np.searchsorted(ids, a), np.searchsorted(ids, b)
+                ok = np.flatnonzero(common_counts(shared, left, right) >= matches)
+                left, right = left[ok], right[ok]
+                size = np.array([len(x) for x in full], np.int64)
+                both = common_counts(full, left, right)
+                ok = 100 * both >= percent * (size[left] + size[right] - both)
+                found_a.append(ids[left[ok]])
+                found_b.append(ids[right[ok]])
+            if found_a:
+                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(x)) for x in (found_a, found_b)], ["a", "b"])
+
+    return written(rows.mapInArrow(confirm, "a long, b long"), "links")
 
 
 def _rare_meetings(nodes: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """(node, o_node): nodes of different labels that share one of their
-    rarest shingles.  A linked pair has at least ``percent`` % of either set
-    in common, and only shingles of several nodes can be common; so a node
-    with fewer of those has no link at all, and of two linked nodes the
-    rarest ones meet (again a prefix, now of the full sets).  No link is lost.
+    """The pairs of nodes of different labels that share one of their rarest
+    shingles.  A linked pair has at least ``percent`` % of either set in
+    common, and only shingles of several nodes can be common; so a node with
+    fewer of those has no link at all, and of two linked nodes the rarest ones
+    meet (again a prefix, now of the full sets).  Where two linked nodes meet
+    first, enough shared shingles are left in both.  No link is lost.
     """
-    mine = sets.join(nodes, "node").select("node", "label", "full")
+    full = sets.join(nodes.select("node"), "node").select("node", "full")
 
     def spread(batches):
         import numpy as np
         import pyarrow as pa
 
         for b in batches:
-            for node, label, full in zip(*(c.to_pylist() for c in b.columns)):
-                v = np.frombuffer(full, np.int64)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.full(len(v), node)), pa.array(np.full(len(v), label)), pa.array(np.full(len(v), len(v))),
-                     pa.array(v)], ["node", "label", "n", "shingle"])
+            for node, data in zip(*(c.to_pylist() for c in b.columns)):
+                v = np.frombuffer(data, np.int64)
+                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(v), node)), pa.array(v)], ["node", "shingle"])
 
-    rows = written(mine.mapInArrow(spread, "node long, label long, n long, shingle long"), "shingles")
+    rows = written(full.mapInArrow(spread, "node long, shingle long"), "shingles")
     counted = rows.groupBy("shingle").agg(F.count(F.lit(1)).alias("n_nodes")).where("n_nodes > 1").withColumnRenamed("shingle", "c_shingle")
     need = F.ceil(F.col("n") * F.lit(percent) / F.lit(100)).cast("int")
     size = F.size("by_rarity")
-    rare = (rows.join(counted, F.col("shingle") == F.col("c_shingle")).groupBy("node", "label", "n")
+    rare = (rows.join(counted, F.col("shingle") == F.col("c_shingle")).groupBy("node")
             .agg(F.array_sort(F.collect_set(F.struct("n_nodes", "shingle"))).alias("by_rarity"))
-            .where(size >= need)
-            .select("node", "label", F.explode(F.slice(F.col("by_rarity.shingle"), F.lit(1), size - need + 1)).alias("shingle")))
+            .join(nodes, "node").where(size >= need)
+            .select("node", "label", "n", "block", size.alias("size"),
+                    F.posexplode(F.slice(F.col("by_rarity.shingle"), F.lit(1), size - need + 1)).alias("pos", "shingle"))
+            .withColumn("left", F.col("size") - F.col("pos")).drop("size", "pos"))
     rare = written(rare, "rare")
     discard(rows)
     several = (rare.groupBy("shingle").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).where("lo < hi")
                .select(F.col("shingle").alias("s_shingle")))
     left = written(rare.join(several, F.col("shingle") == F.col("s_shingle"), "left_semi"), "meetings")
-    other = left.select(F.col("shingle").alias("o_shingle"), F.col("node").alias("o_node"), F.col("label").alias("o_label"))
-    return left.join(other, (F.col("shingle") == F.col("o_shingle")) & (F.col("label") < F.col("o_label")))
+    other = left.select(*(F.col(c).alias(f"o_{c}") for c in left.columns))
+    met = left.join(other, (F.col("shingle") == F.col("o_shingle")) & (F.col("label") < F.col("o_label")) & _similar_size(percent)
+                    & (F.least("left", "o_left") * F.lit(100 + percent) >= (F.col("n") + F.col("o_n")) * F.lit(percent)))
+    return _pairs(met)
+
+
+def _similar_size(percent: int):
+    return F.lit(100) * F.least("n", "o_n") >= F.lit(percent) * F.greatest("n", "o_n")
+
+
+def _pairs(met: DataFrame) -> DataFrame:
+    """Distinct pairs and the cell of their blocks."""
+    cell = F.xxhash64(F.least("block", "o_block"), F.greatest("block", "o_block"))
+    return met.select(cell.alias("cell"), F.least("node", "o_node").alias("a"), F.greatest("node", "o_node").alias("b")).distinct()
 
 
-def _pairs(met: DataFrame, other: str) -> DataFrame:
-    return met.select(F.least("node", other).alias("a"), F.greatest("node", other).alias("b")).distinct()
+def _with_block(shared: DataFrame) -> DataFrame:
+    """Adds ``block``: nodes with the same most common posting lie in as many
+    blocks as keep each at about ``BLOCK_SHINGLES`` and ``BLOCK_NODES``."""
+    total = (shared.groupBy("common").agg(F.sum("n").alias("t_n"), F.count(F.lit(1)).alias("t_nodes"))
+             .withColumnRenamed("common", "t_common"))
+    blocks = F.ceil(F.greatest(F.col("t_n") / F.lit(BLOCK_SHINGLES), F.col("t_nodes") / F.lit(BLOCK_NODES)))
+    return (shared.join(total, F.col("common") == F.col("t_common"))
+            .withColumn("block", F.xxhash64("common", F.pmod(F.xxhash64("node"), blocks)))
+            .drop("t_common", "t_n", "t_nodes", "common"))
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = SHINGLE,
@@ -204,36 +281,36 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     some = profile.where("n_shingles > 0 and doc_id is not null")
     classes = written(some.groupBy("key1", "key2", "n_shingles").agg(
         F.min("doc_id").alias("node"), F.first("signature").alias("signature")), "classes")
-    posted = classes.select("node", F.explode("signature").alias("posting"))
+    posted = classes.select("node", F.col("n_shingles").alias("n"), F.explode("signature").alias("posting"))
     counted = (posted.groupBy("posting").agg(F.count(F.lit(1)).alias("n_docs")).where("n_docs > 1")
                .withColumnRenamed("posting", "c_posting"))
     shared = (posted.join(counted, F.col("posting") == F.col("c_posting"))
-              .groupBy("node").agg(F.array_sort(F.collect_set(F.struct("n_docs", "posting"))).alias("by_rarity"))
-              .where(F.size("by_rarity") >= matches))
-    shared = written(shared.select("node", F.col("by_rarity.posting").alias("shared")), "shared")
+              .groupBy("node", "n").agg(F.array_sort(F.collect_set(F.struct("n_docs", "posting"))).alias("by_rarity"))
+              .where(F.size("by_rarity") >= matches)
+              .select("node", "n", F.col("by_rarity.posting").alias("shared"), F.element_at("by_rarity", -1)["posting"].alias("common")))
+    shared = written(_with_block(written(shared, "shared")), "blocks")
     sets = written(_sets(base.join(shared, F.col("doc_id") == F.col("node")).select("doc_id", "text", "shared"), shingle), "sets")
-    posts = written(shared.select("node", F.explode(F.slice("shared", F.lit(1), F.size("shared") - matches + 1)).alias("posting")), "posts")
-    seen = links = None
+    posts = written(shared.select("node", "n", "block", F.explode(
+        F.slice("shared", F.lit(1), F.size("shared") - matches + 1)).alias("posting")), "posts")
+    links = None
     for turn in range(stars):
-        pivot = (posts.groupBy("posting").agg(F.min_by("node", F.xxhash64("node", F.lit(turn))).alias("pivot"))
-                 .withColumnRenamed("posting", "p_posting"))
-        met = posts.join(pivot, (F.col("posting") == F.col("p_posting")) & (F.col("node") != F.col("pivot")))
-        pairs = _pairs(met, "pivot")
-        if seen is not None:
-            pairs = pairs.join(seen, ["a", "b"], "left_anti")
-        compared, found = _confirm(pairs, sets, matches, percent)
-        seen = compared if seen is None else seen.union(compared)
+        pivot = (posts.groupBy("posting").agg(F.min_by(F.struct("node", "n", "block"), F.xxhash64("node", F.lit(turn))).alias("p"))
+                 .select(F.col("posting").alias("o_posting"), F.col("p.node").alias("o_node"), F.col("p.n").alias("o_n"),
+                         F.col("p.block").alias("o_block")))
+        met = posts.join(pivot, (F.col("posting") == F.col("o_posting")) & (F.col("node") != F.col("o_node")) & _similar_size(percent))
+        found = _links(_pairs(met), sets, matches, percent)
         links = found if links is None else links.union(found)
     labels = components(links)
     # what the pivots left: documents under a posting with several components
     l = labels.select(F.col("node").alias("l_node"), "root")
-    now = posts.join(l, F.col("node") == F.col("l_node"), "left").select("posting", "node", F.coalesce("root", "node").alias("label"))
+    now = (posts.join(l, F.col("node") == F.col("l_node"), "left")
+           .select("posting", "node", "n", "block", F.coalesce("root", "node").alias("label")))
     now = written(now, "labelled")
     several = (now.groupBy("posting").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).where("lo < hi")
                .select(F.col("posting").alias("s_posting")))
-    rest = written(now.join(several, F.col("posting") == F.col("s_posting"), "left_semi"), "rest")
-    met = _rare_meetings(rest.select("node", "label").distinct(), sets, percent)
-    _, found = _confirm(_pairs(met, "o_node").join(seen, ["a", "b"], "left_anti"), sets, matches, percent)
+    rest = now.join(several, F.col("posting") == F.col("s_posting"), "left_semi")
+    rest = written(rest.select("node", "n", "block", "label").distinct(), "rest")
+    found = _links(_rare_meetings(rest, sets, percent), sets, matches, percent)
     if not found.isEmpty():
         # links between the components found so far, and nodes seen for the first time
         a, b = (labels.select(F.col("node").alias(f"{k}_node"), F.col("root").alias(f"{k}_root")) for k in "ab")
