@@ -19,11 +19,13 @@ a posting, documents are first compared with one pivot only (in ``STARS``
 rounds, another one each), and what is found to be connected is contracted.
 Documents that still meet others outside their component are filtered once
 more, by a prefix of their rarest shingles that no link can escape, and the
-last round takes up every such pair between components.  So a group of
+last round takes up every such pair between components, found within a cell
+and not listed as a row.  So a group of
 thousands of near copies costs a few comparisons per document, and yet no pair
 that could connect two components is left out: the components are those of all
 links.  Pairs are compared in cells of two blocks of documents with the same
-most common posting, so a set is sent to a cell once for all of its pairs there.
+most common posting (a block holds 2,048 documents or 262,144 shingles, or one
+longer document), so a set is sent to a cell once for all of its pairs there.
 
 Scale: postings are counted with map-side partial sums and joined by plain
 equi-joins; pairs arise only between components.  Full sets are kept (in the
@@ -49,9 +51,9 @@ COORDINATES = 64
 MATCHES = 32
 PERCENT = 75
 STARS = 2
-BLOCK_SHINGLES = 1 << 16
-BLOCK_NODES = 512
-_COLUMNS = 1 << 14
+BLOCK_SHINGLES = 1 << 18
+BLOCK_NODES = 2048
+_COLUMNS = 1 << 13
 
 
 def shingle_sets(texts: list, shingle: int = SHINGLE) -> list:
@@ -133,7 +135,7 @@ def _sets(docs: DataFrame, shingle: int) -> DataFrame:
 
 def common_counts(sets: list, left, right):
     """Number of common values of sets ``left[k]`` and ``right[k]`` (sorted
-    distinct u64 arrays).  Few pairs are merged one by one; for many, the
+    distinct u64 arrays, never a set with itself).  Few pairs are merged one by one; for many, the
     values of several sets become columns of a bit matrix."""
     import numpy as np
 
@@ -163,6 +165,17 @@ def common_counts(sets: list, left, right):
     return out
 
 
+def linked(full: list, shared: list, left, right, matches: int, percent: int):
+    """Which of the pairs (places of sets) are links, as places in ``left``."""
+    import numpy as np
+
+    ok = np.flatnonzero(common_counts(shared, left, right) >= matches)
+    left, right = left[ok], right[ok]
+    size = np.array([len(x) for x in full], np.int64)
+    both = common_counts(full, left, right)
+    return ok[100 * both >= percent * (size[left] + size[right] - both)]
+
+
 def _links(pairs: DataFrame, sets: DataFrame, matches: int, percent: int) -> DataFrame:
     """The linked ones of pairs (cell, a, b): enough matching coordinates, and
     enough of the full sets in common.  A set travels once to each cell in
@@ -197,11 +210,7 @@ def _links(pairs: DataFrame, sets: DataFrame, matches: int, percent: int) -> Dat
                 a, b = (part.column(k)[n_sets:].to_numpy() for k in (1, 2))
                 ids = np.array(nodes, np.int64)  # ascending
                 left, right = np.searchsorted(ids, a), np.searchsorted(ids, b)
-                ok = np.flatnonzero(common_counts(shared, left, right) >= matches)
-                left, right = left[ok], right[ok]
-                size = np.array([len(x) for x in full], np.int64)
-                both = common_counts(full, left, right)
-                ok = 100 * both >= percent * (size[left] + size[right] - both)
+                ok = linked(full, shared, left, right, matches, percent)
                 found_a.append(ids[left[ok]])
                 found_b.append(ids[right[ok]])
             if found_a:
@@ -210,8 +219,33 @@ def _links(pairs: DataFrame, sets: DataFrame, matches: int, percent: int) -> Dat
     return written(rows.mapInArrow(confirm, "a long, b long"), "links")
 
 
-def _rare_meetings(nodes: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """The pairs of nodes of different labels that share one of their rarest
+def meeting_pairs(node, left, begin, size, label, block, percent: int):
+    """Pairs of places (in parts of bounded size) that meet under a shingle:
+    ``node`` and ``left`` list its nodes and what is left of them from there,
+    ``begin`` says where each shingle's list begins."""
+    import numpy as np
+
+    m = len(size)
+    meets = np.zeros((m, m), bool)
+    for a, z in zip(begin.tolist(), np.append(begin[1:], len(node)).tolist()):
+        own, rest, n = node[a:z], left[a:z], size[node[a:z]]
+        for at in range(0, z - a, 256):
+            some = slice(at, at + 256)
+            meets[np.ix_(own[some], own)] |= ((100 + percent) * np.minimum(rest[some, None], rest) >= percent * (n[some, None] + n))
+    two = len(np.unique(block)) > 1
+    for at in range(0, m, 512):
+        x = slice(at, at + 512)
+        ok = meets[x] & (label[x, None] != label) & (np.arange(m)[x, None] < np.arange(m))
+        ok &= 100 * np.minimum(size[x, None], size) >= percent * np.maximum(size[x, None], size)
+        if two:  # pairs within a block belong to that block's own cell
+            ok &= block[x, None] != block
+        i, j = np.nonzero(ok)
+        if len(i):
+            yield i + at, j
+
+
+def _rare_links(nodes: DataFrame, sets: DataFrame, matches: int, percent: int) -> DataFrame:
+    """The links among nodes of different labels that share one of their rarest
     shingles.  A linked pair has at least ``percent`` % of either set in
     common, and only shingles of several nodes can be common; so a node with
     fewer of those has no link at all, and of two linked nodes the rarest ones
@@ -244,20 +278,67 @@ def _rare_meetings(nodes: DataFrame, sets: DataFrame, percent: int) -> DataFrame
     several = (rare.groupBy("shingle").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).where("lo < hi")
                .select(F.col("shingle").alias("s_shingle")))
     left = written(rare.join(several, F.col("shingle") == F.col("s_shingle"), "left_semi"), "meetings")
-    other = left.select(*(F.col(c).alias(f"o_{c}") for c in left.columns))
-    met = left.join(other, (F.col("shingle") == F.col("o_shingle")) & (F.col("label") < F.col("o_label")) & _similar_size(percent)
-                    & (F.least("left", "o_left") * F.lit(100 + percent) >= (F.col("n") + F.col("o_n")) * F.lit(percent)))
-    return _pairs(met)
+    # a node goes to the cell of its block and each block that shares a shingle with it
+    other = left.groupBy("shingle", "block").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).select(
+        F.col("shingle").alias("o_shingle"), F.col("block").alias("o_block"), "lo", "hi")
+    asked = left.join(other, (F.col("shingle") == F.col("o_shingle")) & ((F.col("lo") != F.col("label")) | (F.col("hi") != F.col("label"))))
+    asked = written(asked.select(_cell(), "node", "label", "block", "shingle", "left"), "asked")
+    given = asked.select("cell", "node", "label", "block").distinct().join(sets, "node")
+    cols = ["cell", "node", "label", "block", "shingle", "left", "full", "shared"]
+    given = given.withColumn("shingle", F.lit(None).cast("long")).withColumn("left", F.lit(None).cast("int")).select(*cols)
+    empty = F.lit(None).cast("binary")
+    rows = given.unionByName(asked.withColumn("full", empty).withColumn("shared", empty).select(*cols))
+    # the sets of a cell come before the lists of its shingles
+    rows = (rows.repartition(shuffle_partitions(sets), "cell")
+            .sortWithinPartitions("cell", F.col("shingle").asc_nulls_first(), "node"))
+
+    def confirm(batches):
+        import numpy as np
+        import pyarrow as pa
+
+        def found(parts):
+            col = lambda k, kind: np.concatenate([p.column(k).to_numpy(zero_copy_only=False) for p in parts]).astype(kind)
+            ids, label, block = (col(k, np.int64) for k in (1, 2, 3))
+            is_set = np.concatenate([p.column(6).is_valid().to_numpy(zero_copy_only=False) for p in parts])
+            full, shared = ([np.frombuffer(x, np.uint64) for p in parts for x in p.column(k).drop_null().to_pylist()] for k in (6, 7))
+            shingle = np.concatenate([p.column(4).drop_null().to_numpy() for p in parts])
+            rest = np.concatenate([p.column(5).drop_null().to_numpy() for p in parts]).astype(np.int64)
+            places = np.searchsorted(ids[is_set], ids[~is_set])
+            begin = np.flatnonzero(np.append(True, shingle[1:] != shingle[:-1]))
+            size = np.array([len(x) for x in full], np.int64)
+            ids, label, block = ids[is_set], label[is_set], block[is_set]
+            for i, j in meeting_pairs(places, rest, begin, size, label, block, percent):
+                ok = linked(full, shared, i, j, matches, percent)
+                yield pa.RecordBatch.from_arrays([pa.array(ids[i[ok]]), pa.array(ids[j[ok]])], ["a", "b"])
+
+        cell, parts = None, []
+        for batch in batches:
+            cells = batch.column(0).to_numpy()
+            begin = np.flatnonzero(np.append(True, cells[1:] != cells[:-1]))
+            for lo, hi in zip(begin.tolist(), np.append(begin[1:], len(cells)).tolist()):
+                if parts and cell != cells[lo]:
+                    yield from found(parts)
+                    parts = []
+                cell = cells[lo]
+                parts.append(batch.slice(lo, hi - lo))
+        if parts:
+            yield from found(parts)
+
+    return written(rows.mapInArrow(confirm, "a long, b long"), "links")
 
 
 def _similar_size(percent: int):
     return F.lit(100) * F.least("n", "o_n") >= F.lit(percent) * F.greatest("n", "o_n")
 
 
+def _cell():
+    """The cell of two blocks."""
+    return F.xxhash64(F.least("block", "o_block"), F.greatest("block", "o_block")).alias("cell")
+
+
 def _pairs(met: DataFrame) -> DataFrame:
     """Distinct pairs and the cell of their blocks."""
-    cell = F.xxhash64(F.least("block", "o_block"), F.greatest("block", "o_block"))
-    return met.select(cell.alias("cell"), F.least("node", "o_node").alias("a"), F.greatest("node", "o_node").alias("b")).distinct()
+    return met.select(_cell(), F.least("node", "o_node").alias("a"), F.greatest("node", "o_node").alias("b")).distinct()
 
 
 def _with_block(shared: DataFrame) -> DataFrame:
@@ -310,7 +391,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
                .select(F.col("posting").alias("s_posting")))
     rest = now.join(several, F.col("posting") == F.col("s_posting"), "left_semi")
     rest = written(rest.select("node", "n", "block", "label").distinct(), "rest")
-    found = _links(_rare_meetings(rest, sets, percent), sets, matches, percent)
+    found = _rare_links(rest, sets, matches, percent)
     if not found.isEmpty():
         # links between the components found so far, and nodes seen for the first time
         a, b = (labels.select(F.col("node").alias(f"{k}_node"), F.col("root").alias(f"{k}_root")) for k in "ab")

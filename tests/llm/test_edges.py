@@ -112,7 +112,9 @@ def test_near_duplicates(odd, none):
     assert sorted(r.doc_id or -1 for r in left.collect()) == [-1, 1, 2, 3, 5, 7, 9, 10, 11, 12]
 
 
-def test_near_duplicates_against_brute_force(spark):
+@pytest.mark.parametrize("nodes_per_block, stars", [(neardup.BLOCK_NODES, neardup.STARS), (5, 1)])
+def test_near_duplicates_against_brute_force(spark, monkeypatch, nodes_per_block, stars):
+    monkeypatch.setattr(neardup, "BLOCK_NODES", nodes_per_block)
     r = random.Random(8)
     rows = []
     for group in range(6):
@@ -135,11 +137,32 @@ def test_near_duplicates_against_brute_force(spark):
             if 100 * len(sets[a] & sets[b]) >= 75 * len(sets[a] | sets[b]):
                 x, y = find(a), find(b)
                 root[max(x, y)] = min(x, y)
-    got = {r.doc_id: r.component_id for r in neardup.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    got = {r.doc_id: r.component_id for r in neardup.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string"), stars=stars).collect()}
     assert got == {k: find(k) for k in range(len(rows))}
     assert 6 < len(set(got.values())) < len(rows)
 
 
+def test_common_counts_and_meetings_against_brute_force(monkeypatch):
+    monkeypatch.setattr(neardup, "_COLUMNS", 64)
+    r = np.random.default_rng(4)
+    sets = [np.unique(r.integers(0, 400, r.integers(0, 150))).astype(np.uint64) for _ in range(30)]
+    left = r.integers(0, 30, 200)
+    right = (left + r.integers(1, 30, 200)) % 30  # pairs of different sets
+    want = [len(np.intersect1d(sets[i], sets[j])) for i, j in zip(left, right)]
+    assert neardup.common_counts(sets, left, right).tolist() == want
+    assert neardup.common_counts(sets, left[:5], right[:5]).tolist() == want[:5]
+    size = np.array([len(s) for s in sets])
+    rows = sorted((v, k, len(s) - at) for k, s in enumerate(sets) for at, v in enumerate(s.tolist()))
+    value, node, rest = (np.array(c) for c in zip(*rows))
+    begin = np.flatnonzero(np.append(True, value[1:] != value[:-1]))
+    label, block = np.arange(30) // 2, np.arange(30) % 2
+    got = {(a, b) for i, j in neardup.meeting_pairs(node, rest, begin, size, label, block, 20) for a, b in zip(i.tolist(), j.tolist())}
+    met = {(i, j) for i in range(30) for j in range(i + 1, 30) if label[i] != label[j] and block[i] != block[j]}
+    linked = {(i, j) for i, j in met
+              if 100 * len(np.intersect1d(sets[i], sets[j])) >= 20 * len(np.union1d(sets[i], sets[j])) > 0}
+    assert linked and linked <= got <= met
+
+
 def test_components_of_a_chain_and_of_nothing(spark):
     links = spark.createDataFrame([(k, k + 1) for k in range(40)] + [(100, 90), (90, 90)], "a long, b long")
     got = {r.node: r.root for r in components.components(links).collect()}
