@@ -216,7 +216,9 @@ def _links(pairs: DataFrame, sets: DataFrame, matches: int, percent: int) -> Dat
             if found_a:
                 yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(x)) for x in (found_a, found_b)], ["a", "b"])
 
-    return written(rows.mapInArrow(confirm, "a long, b long"), "links")
+    links = written(rows.mapInArrow(confirm, "a long, b long"), "links")
+    discard(met)
+    return links
 
 
 def meeting_pairs(node, left, begin, size, label, block, percent: int):
@@ -324,7 +326,9 @@ def _rare_links(nodes: DataFrame, sets: DataFrame, matches: int, percent: int) -
         if parts:
             yield from found(parts)
 
-    return written(rows.mapInArrow(confirm, "a long, b long"), "links")
+    links = written(rows.mapInArrow(confirm, "a long, b long"), "links")
+    discard(rare, left, asked)
+    return links
 
 
 def _similar_size(percent: int):
@@ -369,10 +373,13 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
               .groupBy("node", "n").agg(F.array_sort(F.collect_set(F.struct("n_docs", "posting"))).alias("by_rarity"))
               .where(F.size("by_rarity") >= matches)
               .select("node", "n", F.col("by_rarity.posting").alias("shared"), F.element_at("by_rarity", -1)["posting"].alias("common")))
-    shared = written(_with_block(written(shared, "shared")), "blocks")
+    unblocked = written(shared, "shared")
+    shared = written(_with_block(unblocked), "blocks")
+    discard(unblocked)
     sets = written(_sets(base.join(shared, F.col("doc_id") == F.col("node")).select("doc_id", "text", "shared"), shingle), "sets")
     posts = written(shared.select("node", "n", "block", F.explode(
         F.slice("shared", F.lit(1), F.size("shared") - matches + 1)).alias("posting")), "posts")
+    discard(shared)
     links = None
     for turn in range(stars):
         pivot = (posts.groupBy("posting").agg(F.min_by(F.struct("node", "n", "block"), F.xxhash64("node", F.lit(turn))).alias("p"))
@@ -387,11 +394,14 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     now = (posts.join(l, F.col("node") == F.col("l_node"), "left")
            .select("posting", "node", "n", "block", F.coalesce("root", "node").alias("label")))
     now = written(now, "labelled")
+    discard(posts)
     several = (now.groupBy("posting").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).where("lo < hi")
                .select(F.col("posting").alias("s_posting")))
     rest = now.join(several, F.col("posting") == F.col("s_posting"), "left_semi")
     rest = written(rest.select("node", "n", "block", "label").distinct(), "rest")
+    discard(now)
     found = _rare_links(rest, sets, matches, percent)
+    discard(rest, sets)
     if not found.isEmpty():
         # links between the components found so far, and nodes seen for the first time
         a, b = (labels.select(F.col("node").alias(f"{k}_node"), F.col("root").alias(f"{k}_root")) for k in "ab")
