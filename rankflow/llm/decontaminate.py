@@ -38,7 +38,9 @@ from rankflow.session import scratch_path
 BLOCK_WORDS = 200_000
 _TABLE = bytes((c + 32 if 65 <= c <= 90 else c) if 48 <= c <= 57 or 65 <= c <= 90 or 97 <= c <= 122 or c >= 128
                else 32 for c in range(256))
-_PAIR_BITS = 22
+# slots of the table of neighbouring item words: a power of two, so many for each word
+_PAIR_ROOM = 16
+_PAIR_BITS = 10
 
 
 def words_of(text: bytes) -> list:
@@ -129,17 +131,17 @@ class Automaton:
     def _pairs(self, coded: list) -> None:
         import numpy as np
 
-        self.pairs = np.zeros(1 << _PAIR_BITS, bool)
+        self.pair_bits = max(_PAIR_BITS, (_PAIR_ROOM * sum(map(len, (seq for _, seq in coded)))).bit_length())
+        self.pairs = np.zeros(1 << self.pair_bits, bool)
         for _, seq in coded:
             a = np.array(seq, np.uint64)
             self.pairs[self._pair(a[:-1], a[1:])] = True
 
-    @staticmethod
-    def _pair(a, b):
+    def _pair(self, a, b):
         import numpy as np
 
         return ((a * np.uint64(0x9E3779B97F4A7C15) + b * np.uint64(0xC2B2AE3D27D4EB4F))
-                >> np.uint64(64 - _PAIR_BITS)).astype(np.int64)
+                >> np.uint64(64 - self.pair_bits)).astype(np.int64)
 
     def runs(self, words: list):
         """(first, end) of stretches that may hold a window."""
