@@ -40,7 +40,7 @@ and is kept; an empty table gives an empty result.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from rankflow.llm.common import bytes_of, discard, hash_words, in_parts, mixed, ship, shuffle_partitions, written
@@ -422,10 +422,15 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
 
 def drop_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
-    """The rows of ``docs`` that stand for their component, one per id."""
+    """The rows of ``docs`` that stand for their component, one per id and
+    text (of several the one whose columns have the smallest hash), and every
+    row without an id."""
     kept = near_duplicates(docs, id_col, text_col, **options).where("kept").select(F.col("doc_id").alias("kept_id"))
-    same = F.col(id_col).cast("long").eqNullSafe(F.col("kept_id"))
-    return docs.join(kept, same, "left_semi").dropDuplicates([id_col])
+    named = docs.join(kept, F.col(id_col).cast("long") == F.col("kept_id"), "left_semi")
+    plain = [F.col(c) for c, kind in docs.dtypes if "map<" not in kind and "variant" not in kind]
+    same = Window.partitionBy(id_col, F.md5(F.col(text_col).cast("binary"))).orderBy(F.xxhash64(*plain))
+    named = named.withColumn("_copy", F.row_number().over(same)).where("_copy = 1").drop("_copy")
+    return named.unionByName(docs.where(F.col(id_col).isNull()))
 
 
 ship(__name__)

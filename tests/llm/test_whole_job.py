@@ -4,7 +4,7 @@ import base64
 
 import numpy as np
 
-from rankflow.llm import quality
+from rankflow.llm import neardup, quality
 from rankflow.llm.queries import QUERIES
 
 SF = "/root/testdata/sf0.01"  # enough labelled documents
@@ -25,3 +25,14 @@ def test_quality_chunks_reject_encoded_data_within_a_text(spark):
     plain, mixed = (quality.assess_all([t], bands=())[0] for t in (text, text + b"\n" + data[:len(text)]))
     assert plain[-2] == 0 and plain[-1]
     assert not mixed[5] and 4 * mixed[-2] > mixed[-3] and not mixed[-1]
+
+
+def test_near_duplicates_keep_rows_without_an_id_and_other_texts_of_an_id(spark):
+    rows = [(None, f"text {k} without an id", "a") for k in range(5)] + [(None, None, "a"), (None, "text 0 without an id", "b")]
+    rows += [(1, "the first text", "a"), (1, "another text under that id", "a"), (1, "the first text", "a"), (2, "alone", "b"), (2, "alone", "a")]
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    got = [sorted(map(str, neardup.drop_near_duplicates(df.repartition(n)).collect())) for n in (1, 3, 7)]
+    assert got[0] == got[1] == got[2] and len(got[0]) == 10
+    left = neardup.drop_near_duplicates(df).collect()
+    assert sorted(str(r.text) for r in left if r.doc_id is None) == sorted(str(t) for d, t, _ in rows if d is None)
+    assert sorted(r.text for r in left if r.doc_id == 1) == ["another text under that id", "the first text"]
