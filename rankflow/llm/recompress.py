@@ -30,7 +30,7 @@ texts; what is gathered per document is bounded by its length.
 
 Defined cases: a null or empty text has no words; texts shorter than a window
 lose nothing; rows that repeat a document id count as one document with that
-id (each row is returned); rows with a null id are neither compared nor
+id (each row is returned, and each of its texts is cut on its own); rows with a null id are neither compared nor
 changed; an empty table gives an empty result.
 """
 
@@ -135,14 +135,20 @@ def substring_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     base = docs.select(F.col(id_col).cast("long").alias("doc_id"),
                        F.coalesce(F.col(text_col).cast("binary"), F.lit(b"")).alias("text"))
     keyed = base.withColumn("whole", F.unhex(F.md5("text")))
-    # equal texts: the smallest id stands for all of them
-    ids = keyed.where("doc_id is not null").select("doc_id", "whole")
+    # equal texts: the smallest id stands for all of them; an id with several
+    # texts is told apart by ``version``, which is 0 for all other ids
+    ids = keyed.where("doc_id is not null").select("doc_id", "whole", F.xxhash64("whole").alias("v"))
     stands = ids.groupBy("whole").agg(F.min("doc_id").alias("least")).withColumnRenamed("whole", "l_whole")
-    copies = written(ids.join(stands, (F.col("whole") == F.col("l_whole")) & (F.col("doc_id") > F.col("least")))
-                     .groupBy("doc_id").agg(F.collect_set("whole").alias("copied")), "copies")
-    c = copies.select(F.col("doc_id").alias("c_id"), "copied")
-    first = (keyed.where("doc_id is not null").join(c, F.col("doc_id") == F.col("c_id"), "left")
-             .where(F.col("copied").isNull() | ~F.array_contains("copied", F.col("whole"))))
+    several = (ids.groupBy("doc_id").agg(F.min("v").alias("a"), F.max("v").alias("z")).where("a <> z")
+               .select(F.col("doc_id").alias("s_id")))
+    texts = written(ids.distinct().join(stands, F.col("whole") == F.col("l_whole"))
+                    .join(several, F.col("doc_id") == F.col("s_id"), "left")
+                    .select("doc_id", "whole", F.when(F.col("s_id").isNotNull(), F.col("v")).otherwise(F.lit(0)).alias("version"),
+                            (F.col("doc_id") > F.col("least")).alias("copy")), "texts")
+    c = texts.where("copy or version <> 0").select(F.col("doc_id").alias("c_id"), F.col("whole").alias("c_whole"), "version", "copy")
+    first = (keyed.where("doc_id is not null").join(c, (F.col("doc_id") == F.col("c_id")) & (F.col("whole") == F.col("c_whole")), "left")
+             .where(~F.coalesce("copy", F.lit(False)))
+             .select("doc_id", F.coalesce("version", F.lit(0)).cast("long").alias("version"), "text"))
 
     def post(batches):
         import numpy as np
@@ -150,8 +156,8 @@ def substring_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
         np.seterr(over="ignore")
         for b in batches:
-            ids = b.column(0).to_numpy(zero_copy_only=False)
-            for rows, h, doc, counts in _batches(b, 1):
+            ids, versions = (b.column(k).to_numpy(zero_copy_only=False) for k in (0, 1))
+            for rows, h, doc, counts in _batches(b, 2):
                 starts, name = representatives(h, doc, window, rounds)
                 if not len(starts):
                     continue
@@ -163,16 +169,17 @@ def substring_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
                 place = starts[at] - (np.cumsum(counts) - counts)[own]
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(name[at].view(np.int64)), pa.array(ids[rows][own], pa.int64()),
-                     pa.array(place.astype(np.int32)), pa.array(n.astype(np.int32))], ["symbol", "doc_id", "place", "n"])
+                     pa.array(versions[rows][own], pa.int64()), pa.array(place.astype(np.int32)), pa.array(n.astype(np.int32))],
+                    ["symbol", "doc_id", "version", "place", "n"])
 
-    posts = written(first.select("doc_id", "text").mapInArrow(post, "symbol long, doc_id long, place int, n int"), "posts")
+    posts = written(first.mapInArrow(post, "symbol long, doc_id long, version long, place int, n int"), "posts")
     # symbol 0 marks windows that are one long run: always verified
     named = posts.where("symbol <> 0")
     shared = written(named.groupBy("symbol").agg(F.min("doc_id").alias("a"), F.max("doc_id").alias("z"))
                      .where("a < z").select(F.col("symbol").alias("s_symbol")), "shared")
-    revealed = (named.join(shared, F.col("symbol") == F.col("s_symbol")).select("doc_id", "place", "n")
-                .unionByName(posts.where("symbol = 0").select("doc_id", "place", "n")))
-    ranges = written(revealed.groupBy("doc_id").agg(F.collect_list(F.struct("place", "n")).alias("ranges")), "revealed")
+    revealed = (named.join(shared, F.col("symbol") == F.col("s_symbol")).select("doc_id", "version", "place", "n")
+                .unionByName(posts.where("symbol = 0").select("doc_id", "version", "place", "n")))
+    ranges = written(revealed.groupBy("doc_id", "version").agg(F.collect_list(F.struct("place", "n")).alias("ranges")), "revealed")
     discard(posts, shared)
 
     def verify(batches):
@@ -181,12 +188,12 @@ def substring_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
         np.seterr(over="ignore")
         for b in batches:
-            ids = b.column(0).to_numpy(zero_copy_only=False)
-            lists = b.column(2)
+            ids, versions = (b.column(k).to_numpy(zero_copy_only=False) for k in (0, 1))
+            lists = b.column(3)
             ends = lists.offsets.to_numpy()
             flat = lists.values
             places, sizes = (flat.field(k).to_numpy(zero_copy_only=False) for k in (0, 1))
-            for rows, h, doc, counts in _batches(b, 1):
+            for rows, h, doc, counts in _batches(b, 2):
                 if len(h) < window:
                     continue
                 a, z = ends[rows.start], ends[rows.stop]
@@ -204,22 +211,25 @@ def substring_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
                 k = np.flatnonzero(begin)
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(w[k].view(np.int64)), pa.array(ids[rows][who[k]], pa.int64()),
+                     pa.array(versions[rows][who[k]], pa.int64()),
                      pa.ListArray.from_arrays(pa.array(np.append(k, len(at)), pa.int32()),
-                                              pa.array((at - base[who]).astype(np.int32)))], ["hash", "doc_id", "places"])
+                                              pa.array((at - base[who]).astype(np.int32)))], ["hash", "doc_id", "version", "places"])
 
-    r = ranges.select(F.col("doc_id").alias("r_id"), "ranges")
-    seen = written(first.join(r, F.col("doc_id") == F.col("r_id")).select("doc_id", "text", "ranges")
-                   .mapInArrow(verify, "hash long, doc_id long, places array<int>"), "windows")
+    r = ranges.select(F.col("doc_id").alias("r_id"), F.col("version").alias("r_version"), "ranges")
+    seen = written(first.join(r, (F.col("doc_id") == F.col("r_id")) & (F.col("version") == F.col("r_version")))
+                   .select("doc_id", "version", "text", "ranges")
+                   .mapInArrow(verify, "hash long, doc_id long, version long, places array<int>"), "windows")
     discard(ranges)
     owner = written(seen.groupBy("hash").agg(F.min("doc_id").alias("a"), F.max("doc_id").alias("z"))
              .where("a < z").select(F.col("hash").alias("o_hash"), F.col("a").alias("owner")), "owners")
     gone = (seen.join(owner, (F.col("hash") == F.col("o_hash")) & (F.col("doc_id") > F.col("owner")))
-            .groupBy("doc_id").agg(F.flatten(F.collect_list("places")).alias("places")))
+            .groupBy("doc_id", "version").agg(F.flatten(F.collect_list("places")).alias("places")))
     # a text that is not the first of its kind is covered by its own windows
-    changed = written(gone.join(copies, "doc_id", "full"), "removed").withColumnRenamed("doc_id", "x_id")
+    changed = written(texts.join(gone, ["doc_id", "version"], "left").where("copy or places is not null")
+                      .select(F.col("doc_id").alias("x_id"), F.col("whole").alias("x_whole"), "places", "copy"), "removed")
     discard(seen, owner)
-    marked = (keyed.join(changed, F.col("doc_id") == F.col("x_id"), "left")
-              .select("doc_id", "text", "places", F.coalesce(F.array_contains("copied", F.col("whole")), F.lit(False)).alias("copy")))
+    marked = (keyed.join(changed, (F.col("doc_id") == F.col("x_id")) & (F.col("whole") == F.col("x_whole")), "left")
+              .select("doc_id", "text", "places", F.coalesce("copy", F.lit(False)).alias("copy")))
 
     def cut(batches):
         import numpy as np

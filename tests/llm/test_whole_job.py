@@ -1,10 +1,11 @@
 """Cases in which an operator once did less than its whole job."""
 
 import base64
+import random
 
 import numpy as np
 
-from rankflow.llm import neardup, quality
+from rankflow.llm import neardup, quality, recompress
 from rankflow.llm.queries import QUERIES
 
 SF = "/root/testdata/sf0.01"  # enough labelled documents
@@ -36,3 +37,28 @@ def test_near_duplicates_keep_rows_without_an_id_and_other_texts_of_an_id(spark)
     left = neardup.drop_near_duplicates(df).collect()
     assert sorted(str(r.text) for r in left if r.doc_id is None) == sorted(str(t) for d, t, _ in rows if d is None)
     assert sorted(r.text for r in left if r.doc_id == 1) == ["another text under that id", "the first text"]
+
+
+def test_substrings_of_an_id_with_texts_of_different_length(spark):
+    r = random.Random(11)
+    prose = lambda n: [f"w{r.randrange(400)}" for _ in range(n)]
+    passage, other, short = prose(40), prose(30), prose(20)
+    rows = [(1, prose(50) + passage), (2, prose(5) + other), (3, short),
+            (5, prose(300) + passage + prose(10) + short), (5, short[:6] + prose(14)), (5, prose(9) + other),
+            (7, prose(25)), (8, passage), (5, passage), (2, prose(5) + other)]
+    rows.append((9, rows[4][1] + prose(3)))  # begins with a whole text of id 5
+    rows += [(6, rows[6][1]), (None, passage), (9, prose(4))]
+    df = spark.createDataFrame([(d, " ".join(w)) for d, w in rows], "doc_id long, text string")
+    first = {}
+    for d, w in rows:
+        for i in range(len(w) - 12):
+            if d is not None:
+                g = tuple(w[i:i + 13])
+                first[g] = min(first.get(g, d), d)
+    want = []
+    for d, w in rows:
+        gone = {i + j for i in range(len(w) - 12) if d is not None and first[tuple(w[i:i + 13])] < d for j in range(13)}
+        want.append((d, len(w), len(gone), " ".join(x for k, x in enumerate(w) if k not in gone)))
+    for n in (1, 4):
+        got = recompress.substring_dedup(df.repartition(n)).collect()
+        assert sorted(map(str, map(tuple, got))) == sorted(map(str, want))
