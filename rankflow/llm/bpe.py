@@ -4,7 +4,8 @@ A byte-level tokenizer with the usual pattern always ends a piece before a
 single space that stands between two other non-space characters, and on
 either side of a single line break.  So a text is cut there, each distinct
 piece is encoded once by the library, and the ids are joined.  A text with
-any other white space (doubled, leading, trailing) is encoded as a whole.
+any other white space (doubled, leading, trailing) is encoded as a whole, and
+so is one that contains an added token, unless these are ordinary text.
 """
 
 from __future__ import annotations
@@ -27,13 +28,17 @@ def default_path() -> str:
 
 
 class Encoder:
-    """Texts to little-endian unsigned ids (``dtype``) as bytes."""
+    """Texts to little-endian unsigned ids (``dtype``) as bytes.  With
+    ``added_as_text`` the string of an added token in a text is ordinary text,
+    else it becomes that token, as in the library's plain call."""
 
-    def __init__(self, path: str, dtype: str):
+    def __init__(self, path: str, dtype: str, added_as_text: bool = True):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
+        self.tokenizer.encode_special_tokens = added_as_text
+        added = [] if added_as_text else [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
+        self.whole = re.compile("|".join([_ODD.pattern, *map(re.escape, added)]))
         self.dtype = dtype
         # ids (as bytes) of pieces that begin a line, and of those after a space
         self.first: dict = {}
@@ -78,7 +83,7 @@ class Encoder:
 
     def __call__(self, texts: list) -> list:
         """The ids of each text (null: none)."""
-        odd = [t for t in texts if t and _ODD.search(t)]
+        odd = [t for t in texts if t and self.whole.search(t)]
         whole = dict(zip(odd, self._ids(odd))) if odd else {}
         cut = [None if not t or t in whole else [x.split(" ") for x in t.split("\n")] for t in texts]
         heads, rest = set(), set()
@@ -100,13 +105,13 @@ class Encoder:
         return out
 
 
-def encoder(path: str, dtype: str = "<u2") -> Encoder:
+def encoder(path: str, dtype: str = "<u2", added_as_text: bool = True) -> Encoder:
     """The encoder of ``path``, kept for the life of the worker process."""
     cache = task_cache()
-    key = ("bpe", path, dtype)
+    key = ("bpe", path, dtype, added_as_text)
     if key not in cache:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark has a task for every core
-        cache[key] = Encoder(path, dtype)
+        cache[key] = Encoder(path, dtype, added_as_text)
     return cache[key]
 
 

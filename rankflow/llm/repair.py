@@ -190,7 +190,7 @@ def write_tokens(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
         import pyarrow as pa
         from pyspark import TaskContext
 
-        encode = encoder(path, "<u4")
+        encode = encoder(path, "<u4", added_as_text=False)
         end = np.array([end_id], "<u4").tobytes()
         part, fs, out, name, at, first = TaskContext.get().partitionId(), None, None, None, 0, 0
         ids, keys, counts = [], [], []

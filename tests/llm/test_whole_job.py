@@ -5,7 +5,7 @@ import random
 
 import numpy as np
 
-from rankflow.llm import neardup, quality, recompress
+from rankflow.llm import bpe, neardup, quality, recompress, repair, separators
 from rankflow.llm.queries import QUERIES
 
 SF = "/root/testdata/sf0.01"  # enough labelled documents
@@ -62,3 +62,16 @@ def test_substrings_of_an_id_with_texts_of_different_length(spark):
     for n in (1, 4):
         got = recompress.substring_dedup(df.repartition(n)).collect()
         assert sorted(map(str, map(tuple, got))) == sorted(map(str, want))
+
+
+def test_tokens_of_an_added_token_are_those_of_the_plain_call(spark):
+    from tokenizers import Tokenizer
+
+    t = Tokenizer.from_file(bpe.default_path())
+    texts = ["a<|endoftext|>b", "<|endoftext|>", "one two <|endoftext|> three\nfour<|endoftext|>", "a<|endoftext|", "<|endoftext|><|endoftext|>\n\nx", "plain text"]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r.doc_id: r.ids for r in repair.read_tokens(repair.write_tokens(df)).collect()}
+    assert got == {k: t.encode(x, add_special_tokens=False).ids + [0] for k, x in enumerate(texts)}
+    files, dtype = separators.write_flat(df)
+    rows = separators.count_tokens(separators.with_length(files), dtype).collect()
+    assert len(rows) == len(texts) and all(r.complete for r in rows)
