@@ -4,7 +4,9 @@ Documents are dealt to tasks by ranges of their id, encoded, and written in
 ascending id order.  A file is a sequence of shards of about ``SHARD`` ids
 (whole documents).  Within a shard frequent neighbouring ids are repeatedly
 replaced by new symbols: each round counts all pairs, names the frequent ones
-and replaces their occurrences, left to right, without overlap.  Stored are
+and replaces their occurrences, left to right, without overlap, until no pair
+occurs ``MIN_COUNT`` times.  A round leaves no occurrence of the pairs that it
+names, so the next one only counts pairs with a symbol named last.  Stored are
 the rules, the length to which each rule expands, the remaining sequence and
 the start of each document.  Since every symbol's expansion length is known,
 any range of ids is found by a search in the running sum of lengths and only
@@ -39,7 +41,6 @@ from rankflow.session import scratch_path
 
 SHARD = 1 << 20
 MIN_COUNT = 32
-ROUNDS = 6
 _MAGIC = b"RPT1"
 _HASH_BITS = 20
 
@@ -51,18 +52,16 @@ def _mixed_pairs(a, b):
     return code, ((code * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(64 - _HASH_BITS)).astype(np.int64)
 
 
-def compress(ids, base: int, min_count: int = MIN_COUNT, rounds: int = ROUNDS):
+def compress(ids, base: int, min_count: int = MIN_COUNT):
     """(rules as two arrays, expansion lengths, sequence) of uint32 ids; the
     first new symbol is ``base``."""
     import numpy as np
 
     seq = np.ascontiguousarray(ids, np.uint32)
     left, right, length = [], [], np.zeros(0, np.uint32)
-    made = 0
-    for _ in range(rounds):
-        if len(seq) < 2:
-            break
-        code, slot = _mixed_pairs(seq[:-1], seq[1:])
+    made, near = 0, np.arange(max(len(seq) - 1, 0))
+    while len(near) >= min_count:
+        code, slot = _mixed_pairs(seq[near], seq[near + 1])
         # a coarse count rules out most pairs; the rest are counted exactly
         often = np.bincount(slot, minlength=1 << _HASH_BITS)[slot] >= min_count
         at = np.flatnonzero(often)
@@ -70,7 +69,7 @@ def compress(ids, base: int, min_count: int = MIN_COUNT, rounds: int = ROUNDS):
         chosen = counts >= min_count
         if not chosen.any():
             break
-        at, which = at[chosen[which]], which[chosen[which]]
+        at, which = near[at[chosen[which]]], which[chosen[which]]
         # neighbours overlap: in a stretch of touching matches take every other one
         start = np.ones(len(at), bool)
         start[1:] = at[1:] != at[:-1] + 1
@@ -88,11 +87,12 @@ def compress(ids, base: int, min_count: int = MIN_COUNT, rounds: int = ROUNDS):
         seq[at] = (base + made + symbol).astype(np.uint32)
         keep = np.ones(len(seq), bool)
         keep[at + 1] = False
-        before, seq = len(seq), seq[keep]
+        seq = seq[keep]
+        new = at - np.arange(len(at))  # places of the new symbols
+        near = np.union1d(new - 1, new)
+        near = near[(near >= 0) & (near < len(seq) - 1)]
         length = np.concatenate([length, grown])
         made += len(used)
-        if before - len(seq) < before // 200:
-            break
     join = lambda x: np.concatenate(x) if x else np.zeros(0, np.uint32)
     return join(left), join(right), length, seq
 

@@ -75,3 +75,14 @@ def test_tokens_of_an_added_token_are_those_of_the_plain_call(spark):
     files, dtype = separators.write_flat(df)
     rows = separators.count_tokens(separators.with_length(files), dtype).collect()
     assert len(rows) == len(texts) and all(r.complete for r in rows)
+
+
+def test_grammar_ends_only_when_no_pair_is_frequent():
+    rng = np.random.default_rng(5)
+    one = rng.integers(0, 50_000, 700)
+    for ids in (np.tile(one, 900), rng.integers(0, 12, 60_000), np.repeat(7, 9000), np.tile([1, 2, 1], 5000)):
+        left, right, length, seq = repair.compress(ids.astype(np.uint32), 50_257)
+        shard = repair.Shard(repair.pack([1], [len(ids)], ids.astype(np.uint32), 50_257))
+        assert (shard.ids() == ids).all() and len(left) == len(right) == len(length)
+        pairs = np.unique(np.stack([seq[:-1], seq[1:]]), axis=1, return_counts=True)[1]
+        assert pairs.max(initial=0) < repair.MIN_COUNT
