@@ -94,3 +94,55 @@ kept AS (SELECT doc_id, count(*) AS n, string_agg(word, ' ' ORDER BY p) AS t FRO
 SELECT w.doc_id, len(w)::bigint AS n_words, (len(w) - coalesce(n, 0))::bigint AS n_removed, sha256(coalesce(t, '')) AS kept_sha256
 FROM w LEFT JOIN kept USING (doc_id)
 """
+
+NEAR_VECTORS = """
+WITH RECURSIVE v AS (SELECT vec_id, label, embedding::double[] AS v FROM embeddings),
+ok AS MATERIALIZED (SELECT vec_id, label, v, sqrt(list_dot_product(v, v)) AS norm FROM v
+       WHERE vec_id IS NOT NULL AND label IS NOT NULL AND len(v) > 0
+         AND len(list_filter(v, lambda x: x IS NULL OR NOT isfinite(x))) = 0 AND len(list_filter(v, lambda x: x <> 0)) > 0),
+links AS MATERIALIZED (SELECT x.vec_id AS a, y.vec_id AS b FROM ok x JOIN ok y ON x.label = y.label AND x.vec_id <> y.vec_id
+          WHERE list_dot_product(x.v, y.v) / (x.norm * y.norm) >= 0.93),
+n AS (SELECT a, count(*) AS n FROM links GROUP BY 1),
+reach AS (SELECT vec_id, vec_id AS root FROM ok UNION SELECT b, root FROM reach JOIN links ON a = vec_id),
+comp AS (SELECT vec_id, min(root) AS root FROM reach GROUP BY 1)
+SELECT vec_id, coalesce(n, 0)::bigint AS n_links, coalesce(root, vec_id) AS component_id, coalesce(root, vec_id) = vec_id AS kept
+FROM v LEFT JOIN n ON a = vec_id LEFT JOIN comp USING (vec_id)
+"""
+
+
+def _row_digest(text: str) -> str:
+    def part(c):
+        return f"coalesce(octet_length(encode({c}::varchar)) || ':' || {c}::varchar, '-')"
+    return f"sha256({' || '.join(part(c) for c in ('doc_id', 'source', 'lang', 'n_chars', text))})"
+
+
+_UP = "list_transform(range(0, (len(nodes) + 7) // 8), lambda i: sha256(array_to_string(nodes[8 * i + 1:8 * i + 8], '')))"
+# siblings left and right of node {at} on a level, as list slices
+_SIDES = """array_to_string(nodes[({at} >> (3 * level)) - ({at} >> (3 * level)) % 8 + 1:({at} >> (3 * level))], '') AS l,
+            array_to_string(nodes[({at} >> (3 * level)) + 2:({at} >> (3 * level)) - ({at} >> (3 * level)) % 8 + 8], '') AS r"""
+
+MANIFEST = f"""
+WITH RECURSIVE d AS MATERIALIZED (
+  SELECT doc_id, lang, {_row_digest('text')} AS leaf, {_row_digest(_LOWER)} AS changed,
+         xor(list_reduce(list_concat([4294967295], flatten(list_transform(string_split(doc_id::varchar, ''),
+             lambda c: [ord(c)::bigint, -1, -1, -1, -1, -1, -1, -1, -1]))),
+             lambda c, b: CASE WHEN b >= 0 THEN xor(c, b) ELSE xor(c >> 1, 3988292384 * (c & 1)) END), 4294967295) AS crc
+  FROM documents),
+p AS MATERIALIZED (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY doc_id, leaf) - 1 AS i FROM d),
+up AS MATERIALIZED (SELECT lang, 0 AS level, list(leaf ORDER BY i) AS nodes FROM p GROUP BY lang
+       UNION ALL SELECT lang, level + 1, {_UP} FROM up WHERE len(nodes) > 1),
+subs AS MATERIALIZED (SELECT lang, nodes[1] AS subroot, row_number() OVER (ORDER BY encode(lang) NULLS FIRST) - 1 AS k
+         FROM up WHERE len(nodes) = 1),
+top AS MATERIALIZED (SELECT 0 AS level, list(subroot ORDER BY k) AS nodes FROM subs
+        UNION ALL SELECT level + 1, {_UP} FROM top WHERE len(nodes) > 1),
+steps AS (SELECT doc_id, level, {_SIDES.format(at='i')} FROM p JOIN up ON p.lang IS NOT DISTINCT FROM up.lang WHERE len(nodes) > 1
+          UNION ALL SELECT doc_id, 100 + level, {_SIDES.format(at='k')}
+          FROM p JOIN subs ON p.lang IS NOT DISTINCT FROM subs.lang CROSS JOIN top WHERE len(nodes) > 1),
+proof AS (SELECT doc_id, list({{'l': l, 'r': r, 'h': ''}} ORDER BY level) AS steps, string_agg(l || r, '' ORDER BY level) AS sides
+          FROM steps GROUP BY 1),
+whole AS (SELECT p.doc_id, leaf, subroot, (SELECT nodes[1] FROM top WHERE len(nodes) = 1) AS root, coalesce(sides, '') AS sides,
+                 list_reduce(list_concat([{{'l': '', 'r': '', 'h': CASE WHEN crc % 3 = 0 THEN changed ELSE leaf END}}], coalesce(steps, [])),
+                             lambda a, s: {{'l': '', 'r': '', 'h': sha256(s.l || a.h || s.r)}}).h AS folded_root
+          FROM p JOIN subs ON p.lang IS NOT DISTINCT FROM subs.lang LEFT JOIN proof USING (doc_id))
+SELECT doc_id, leaf, subroot, root, sha256(sides) AS proof_sha256, folded_root, folded_root = root AS verified FROM whole
+"""

@@ -7,9 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rankflow.llm import (chat, decontaminate, lines, mixing, neardup, oracles, quality, recompress,
-                          repair, separators, warc)
-from rankflow.llm.common import written
+from rankflow.llm import (chat, decontaminate, gridjoin, lines, manifest, mixing, neardup, oracles, quality, recompress,
+                          repair, runs, separators, warc)
+from rankflow.llm.common import WORD, written
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -115,3 +115,48 @@ def op9(spark, sf_dir):
 def op10(spark, sf_dir):
     """Counts, compression bands and verdict for every document."""
     return quality.quality(_table(spark, sf_dir, "documents"))
+
+
+@_query("op11_near_vectors", oracles.NEAR_VECTORS)
+def op11(spark, sf_dir):
+    """Components of vectors of one label with a cosine of 0.93 or more."""
+    return gridjoin.near_vectors(_table(spark, sf_dir, "embeddings"))
+
+
+@_query("op12_manifest", oracles.MANIFEST)
+def op12(spark, sf_dir):
+    """Every document's place in a hash tree per language, its proof, and the
+    root that the proof gives for a tampered row."""
+    docs = _table(spark, sf_dir, "documents")
+
+    def digest(text):
+        return manifest.row_digest([*[F.col(c) for c in ("doc_id", "source", "lang", "n_chars")], text])
+
+    text, name = F.col("text"), F.col("doc_id").cast("string")
+    upper = "".join(map(chr, range(65, 91)))
+    changed = F.when(F.crc32(name) % 3 == 0, digest(F.translate(text, upper, upper.lower()))).otherwise(digest(text))
+    leaves = docs.select("doc_id", "lang", digest(text).alias("leaf"), changed.alias("changed"))
+    proofs = manifest.proofs(manifest.build(leaves, "lang", ["doc_id"], "leaf", keys=["doc_id", "changed"]))
+    folded = manifest.fold(F.col("changed"), F.col("proof"))
+    return proofs.select("doc_id", "leaf", "subroot", "root", manifest.proof_digest(F.col("proof")).alias("proof_sha256"),
+                         folded.alias("folded_root")).withColumn("verified", F.col("folded_root") == F.col("root"))
+
+
+@_query("op13_runs")
+def op13(spark, sf_dir):
+    """Periodic runs of every document, after the contract's repeats have been
+    written into one document in ten."""
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    h = F.crc32(F.col("doc_id").cast("string"))
+    words, g = F.col("words"), F.floor(h / 10).cast("long")
+    n = F.size(words)
+    a = F.col("a")
+    p = F.lit(1) + F.floor((n - a) / (3 + g % 8)).cast("int")
+    # words read once, from one document in ten
+    planted = (docs.withColumn("words", F.when(h % 10 == 0, F.regexp_extract_all("text", F.lit(f"({WORD})"), 1)))
+               .withColumn("a", F.when(n > 0, (g % n).cast("int"))).withColumn("p", p))
+    copied = F.transform(F.sequence(F.lit(0), n - a - 1), lambda i: F.get(words, a + i % F.col("p")))
+    text = F.when(a.isNotNull(), F.array_join(F.concat(F.slice(words, F.lit(1), a), copied), " ")).otherwise(F.col("text"))
+    out = runs.periodic_runs(planted.select("doc_id", text.alias("text")))
+    return out.select("doc_id", "n_runs", "start", "length", "period", "exponent_milli", "runs_sha256",
+                      F.sha2("collapsed_text", 256).alias("collapsed_sha256"))

@@ -109,7 +109,7 @@ def test_near_duplicates(odd, none):
     assert all(r.kept and r.component_id is None for r in rows if r.doc_id is None)
     left = neardup.drop_near_duplicates(odd)
     assert left.columns == odd.columns
-    assert sorted(r.doc_id or -1 for r in left.collect()) == [-1, 1, 2, 3, 5, 7, 9, 10, 11, 12]
+    assert sorted(r.doc_id or -1 for r in left.collect()) == [-1, -1, 1, 2, 3, 5, 7, 9, 10, 11, 12]
 
 
 @pytest.mark.parametrize("nodes_per_block, stars", [(neardup.BLOCK_NODES, neardup.STARS), (5, 1)])
