@@ -123,11 +123,14 @@ def fit_word_index(texts: DataFrame, text_col: str) -> DataFrame:
 
 
 def first_token_index(df: DataFrame, text_col: str, vocab: DataFrame, out: str) -> DataFrame:
-    """Index of a text's first token, 0 when it has none (or it is unknown)."""
-    first = F.try_element_at(title_tokens(text_col), F.lit(1))
+    """Index of a text's first *known* token, 0 when it has none.  Each
+    distinct text is looked up once; texts are told apart by their value."""
+    toks = (df.select(F.col(text_col).alias("_ft_text")).where(F.col(text_col).isNotNull()).distinct()
+            .select("_ft_text", F.posexplode(title_tokens("_ft_text")).alias("_ft_p", "_ft_word")))
     v = vocab.select(F.col("word").alias("_ft_word"), F.col("idx").alias("_ft_idx"))
-    joined = df.join(v, first == v["_ft_word"], "left")
-    return joined.withColumn(out, F.coalesce(F.col("_ft_idx"), F.lit(0))).drop("_ft_word", "_ft_idx")
+    first = toks.join(v, "_ft_word").groupBy("_ft_text").agg(F.min(F.struct("_ft_p", "_ft_idx")).alias("_ft_first"))
+    joined = df.join(first, F.col(text_col) == F.col("_ft_text"), "left")
+    return joined.withColumn(out, F.coalesce(F.col("_ft_first._ft_idx"), F.lit(0))).drop("_ft_text", "_ft_first")
 
 
 def token_sequences(df: DataFrame, id_col: str, text_col: str, vocab: DataFrame,
@@ -184,6 +187,18 @@ def kfold_target_encode(df: DataFrame, category: str, target: str, fold_col: str
     return enc, mapping
 
 
+# ---- first rows -----------------------------------------------------------
+
+def first_per_key(df, key, order_cols, value_cols):
+    """First row per key in a declared order, as an aggregate:
+    ``min(struct(order..., values...))`` is combined map-side, so a hot key
+    never gathers its rows in one task (no per-key window sort)."""
+    packed = F.min(F.struct(*[F.col(c).alias(f"o{i}") for i, c in enumerate(order_cols)],
+                            *[F.col(c).alias(f"v{i}") for i, c in enumerate(value_cols)]))
+    return df.groupBy(key).agg(packed.alias("_fp")).select(
+        key, *[F.col(f"_fp.v{i}").alias(c) for i, c in enumerate(value_cols)])
+
+
 # ---- splits --------------------------------------------------------------
 
 def hash_fraction(key: Column | str, seed: str = "42") -> Column:

@@ -43,16 +43,11 @@ def _default_partitions(df: DataFrame) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
 
 
-def with_position(df: DataFrame, order_cols, pos_col: str = "pos",
-                  num_partitions: int | None = None,
-                  total_col: str | None = None) -> DataFrame:
-    """Append a 0-based global position of each row in ``order_cols`` order
-    (and, if ``total_col`` is given, the total row count).
-
-    ``order_cols`` must be a total order (append a unique tie-breaker);
-    otherwise positions among tied rows are not reproducible.  One path for
-    every size of input.
-    """
+def sorted_runs(df: DataFrame, order_cols, num_partitions: int | None = None) -> tuple[DataFrame, DataFrame]:
+    """``df`` range-partitioned and sorted, each row tagged with its partition
+    ``_rf_part`` and place ``_rf_idx`` in it (checkpointed: the partitions are
+    read back as they are), and per non-empty partition its rows ``_rf_n``,
+    the rows before it ``_rf_off`` and all rows ``_rf_all``."""
     keys = _sort_cols(order_cols)
     n = num_partitions or _default_partitions(df)
     ranged = df.repartitionByRange(n, *keys).sortWithinPartitions(*keys)
@@ -67,7 +62,7 @@ def with_position(df: DataFrame, order_cols, pos_col: str = "pos",
     counts = tagged.groupBy("_rf_part").agg(F.count(F.lit(1)).alias("_rf_n"))
     # one row per partition: these single-partition windows are bounded by n
     offsets = counts.select(
-        "_rf_part",
+        "_rf_part", "_rf_n",
         F.coalesce(
             F.sum("_rf_n").over(
                 Window.orderBy("_rf_part").rowsBetween(Window.unboundedPreceding, -1)),
@@ -75,11 +70,25 @@ def with_position(df: DataFrame, order_cols, pos_col: str = "pos",
         ).alias("_rf_off"),
         F.sum("_rf_n").over(Window.partitionBy()).alias("_rf_all"),
     )
+    return tagged, offsets
+
+
+def with_position(df: DataFrame, order_cols, pos_col: str = "pos",
+                  num_partitions: int | None = None,
+                  total_col: str | None = None) -> DataFrame:
+    """Append a 0-based global position of each row in ``order_cols`` order
+    (and, if ``total_col`` is given, the total row count).
+
+    ``order_cols`` must be a total order (append a unique tie-breaker);
+    otherwise positions among tied rows are not reproducible.  One path for
+    every size of input.
+    """
+    tagged, offsets = sorted_runs(df, order_cols, num_partitions)
     out = tagged.join(F.broadcast(offsets), "_rf_part", "inner")
     out = out.withColumn(pos_col, (F.col("_rf_off") + F.col("_rf_idx")).cast("long"))
     if total_col:
         out = out.withColumn(total_col, F.col("_rf_all").cast("long"))
-    return out.drop("_rf_part", "_rf_idx", "_rf_off", "_rf_all")
+    return out.drop("_rf_part", "_rf_idx", "_rf_off", "_rf_n", "_rf_all")
 
 
 def dense_codes(values: DataFrame, value_col: str, code_col: str = "code",

@@ -5,18 +5,39 @@ same item when keyed) become its history and the row's own value its
 target; rows with fewer than ``length`` predecessors emit nothing, so an
 item with n rows yields max(n - length, 0) samples.
 
-The windows are computed on a global position (see
-:mod:`rankflow.operators.ordering`) cut into bounded buckets with a halo of
-``length`` rows, so a single item holding a third of all rows is spread
-over many tasks instead of one.
+The table is sorted into range partitions once.  A partition's rows are
+turned into windows in the order they lie there; only the last ``length``
+rows before each partition travel to it (a broadcast of at most ``length``
+rows per partition), so there is one full exchange and an item holding a
+third of all rows is spread over as many partitions as its rows fill.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+import sys
+
+from pyspark import cloudpickle
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from rankflow.operators.ordering import sorted_runs
+
+# the window function goes to the Python workers by value
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 
-from rankflow.operators.ordering import BUCKET_ROWS, halo_buckets, with_position
+def _edges(tagged: DataFrame, offsets: DataFrame, columns: list[str], length: int) -> DataFrame:
+    """Per partition the ``length`` rows before its first one, in order (they
+    may come from several short partitions)."""
+    tails = (tagged.join(F.broadcast(offsets), "_rf_part")
+             .where(F.col("_rf_idx") >= F.col("_rf_n") - length)
+             .select((F.col("_rf_off") + F.col("_rf_idx")).alias("_rf_pos"), *columns))
+    needed = tails.withColumn("_rf_at", F.explode(F.sequence(F.col("_rf_pos") + 1, F.col("_rf_pos") + length)))
+    starts = offsets.select(F.col("_rf_part").alias("_rf_to"), F.col("_rf_off").alias("_rf_at"))
+    row = F.struct("_rf_pos", *columns)
+    return (needed.join(F.broadcast(starts), "_rf_at").groupBy("_rf_to")
+            .agg(F.array_sort(F.collect_list(row)).alias("_rf_edge")))
 
 
 def history_windows(df: DataFrame, order_cols: list[str], features: list[str], target: str,
@@ -24,24 +45,50 @@ def history_windows(df: DataFrame, order_cols: list[str], features: list[str], t
                     bucket_rows: int | None = None) -> DataFrame:
     """Rows with their ``length`` predecessors as an ordered array of
     structs of ``features``.  With ``key`` the predecessors must belong to
-    the same item (keyed windows); without, the whole table is one series."""
+    the same item (keyed windows); without, the whole table is one series.
+    ``bucket_rows`` sets the partitions by their mean size (default: the
+    session's shuffle partitions)."""
     keys = ([key] if key else []) + list(order_cols)
-    bucket_rows = bucket_rows or max(BUCKET_ROWS, length + 1)
-    positioned = with_position(df, keys, "_sq_pos")
-    halo = halo_buckets(positioned, "_sq_pos", length, 0, bucket_rows)
-    item = [F.col(key).alias("_sq_key")] if key else []
-    w = Window.partitionBy("_rf_bucket").orderBy("_sq_pos").rowsBetween(-length, -1)
-    hist = F.collect_list(F.struct(*item, *[F.col(f) for f in features])).over(w)
-    out = halo.withColumn("_sq_hist", hist).where(F.col("_rf_core"))
-    ok = F.size("_sq_hist") == length
-    if key:
-        ok = ok & (F.try_element_at("_sq_hist", F.lit(1))["_sq_key"] == F.col(key))
-        hist_clean = F.transform("_sq_hist", lambda s: F.struct(*[s[f].alias(f) for f in features]))
-    else:
-        hist_clean = F.col("_sq_hist")
-    return (out.where(ok).withColumn(history_col, hist_clean)
-            .withColumn("target", F.col(target))
-            .drop("_sq_hist", "_rf_bucket", "_rf_core"))
+    parts = -(-df.count() // bucket_rows) if bucket_rows else None
+    tagged, offsets = sorted_runs(df, keys, max(parts, 1) if parts is not None else None)
+    used = list(dict.fromkeys(([key] if key else []) + features))
+    edges = _edges(tagged, offsets, used, length)
+    rows = (tagged.join(F.broadcast(edges), F.col("_rf_part") == F.col("_rf_to"), "left")
+            .select(*df.columns, F.when(F.col("_rf_idx") == 0, F.col("_rf_edge")).alias("_rf_edge")))
+    kept = [f for f in df.schema.fields if f.name not in (history_col, "target")]
+    struct = T.StructType([T.StructField(f, df.schema[f].dataType) for f in features])
+    schema = T.StructType([*kept, T.StructField(history_col, T.ArrayType(struct)),
+                           T.StructField("target", df.schema[target].dataType)])
+    names = [f.name for f in kept]
+
+    def windows(batches):
+        import numpy as np
+        import pyarrow as pa
+        import pyarrow.compute as pc
+
+        before = None
+        for b in batches:
+            if not b.num_rows:
+                continue
+            if before is None:
+                edge = b.column("_rf_edge")[0]
+                before = {c: edge.values.field(c) if edge.is_valid else b.column(c).slice(0, 0) for c in used}
+            both = {c: pa.concat_arrays([before[c], b.column(c)]) for c in used}
+            n = len(both[used[0]])
+            at = np.arange(max(n - b.num_rows, length), n)          # rows with enough predecessors
+            if key and len(at):
+                same = pc.equal(both[key].take(pa.array(at - length)), both[key].take(pa.array(at)))
+                at = at[pc.fill_null(same, False).to_numpy(zero_copy_only=False)]
+            own = pa.array(at - (n - b.num_rows))
+            past = pa.array((at[:, None] + np.arange(-length, 0)).ravel())
+            hist = pa.ListArray.from_arrays(
+                pa.array(np.arange(0, len(past) + 1, length), pa.int32()),
+                pa.StructArray.from_arrays([both[f].take(past) for f in features], features))
+            out = [b.column(c).take(own) for c in names] + [hist, b.column(target).take(own)]
+            yield pa.RecordBatch.from_arrays(out, [*names, history_col, "target"])
+            before = {c: both[c].slice(max(n - length, 0)) for c in used}
+
+    return rows.mapInArrow(windows, schema)
 
 
 def attach_static(samples: DataFrame, static: DataFrame, key: str, array_cols: dict[str, int],

@@ -38,7 +38,7 @@ def book_metadata(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("p_size").cast("string").alias("format"),
         F.col("p_name").alias("title"),
         F.col("p_brand").alias("author"),
-        F.col("p_brand").alias("publisher"),
+        F.element_at(F.split("p_name", " "), -1).alias("publisher"),
         F.lower("p_type").alias("genre"),
     )
 

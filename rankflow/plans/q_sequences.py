@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from rankflow.operators.features import encode_columns, fit_word_index, token_sequences
+from rankflow.operators.features import encode_columns, first_per_key, fit_word_index, token_sequences
 from rankflow.operators.sequences import attach_static, history_windows
 from rankflow.operators.vectors import nearest_prototype
 from rankflow.plans import catalog as C
@@ -71,16 +71,6 @@ SELECT asin, title FROM (
 WHERE rn = 1"""
 
 
-def first_per_key(df, key, order_cols, value_cols):
-    """First row per key in a declared order, as an aggregate:
-    ``min(struct(order..., values...))`` is combined map-side, so a hot key
-    never gathers its rows in one task (no per-key window sort)."""
-    packed = F.min(F.struct(*[F.col(c).alias(f"o{i}") for i, c in enumerate(order_cols)],
-                            *[F.col(c).alias(f"v{i}") for i, c in enumerate(value_cols)]))
-    return df.groupBy(key).agg(packed.alias("_fp")).select(
-        key, *[F.col(f"_fp.v{i}").alias(c) for i, c in enumerate(value_cols)])
-
-
 @query("first_title", _FIRST_TITLE_SQL)
 def first_title(spark, sf_dir):
     """First title per item (earliest time, then title)."""

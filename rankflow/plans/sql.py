@@ -4,7 +4,7 @@ META = """meta AS (
   SELECT CAST(p_partkey AS VARCHAR) AS asin,
          CASE WHEN p_size <= 25 THEN 'book' ELSE 'kindle' END AS group_name,
          CAST(p_size AS VARCHAR) AS format, p_name AS title, p_brand AS author,
-         p_brand AS publisher, lower(p_type) AS genre
+         string_split(p_name, ' ')[-1] AS publisher, lower(p_type) AS genre
   FROM part)"""
 
 OBS = """obs AS (

@@ -37,3 +37,26 @@ def test_windows_on_hot_key_match_brute_force(spark):
             expected[(asin, ids[i])] = ranks[i - 10:i]
     assert spark_rows == expected
     assert sum(1 for k in expected if k[0] == "hot") > 3000
+
+
+def test_windows_over_partitions_shorter_than_the_history(spark):
+    """Partitions of about three rows: a history of ten spans several."""
+    rows = [("a" if i % 3 else None, i, float(i) if i % 7 else None) for i in range(60)] + [("b", i, 1.0) for i in range(11)]
+    df = spark.createDataFrame(rows, "k string, t long, v double")
+    got = {(r.k, r.t): (r.target, [h.v for h in r.history])
+           for r in history_windows(df, ["t"], ["v"], "v", key="k", length=10, bucket_rows=3).collect()}
+    expected = {}
+    for k in ("a", "b"):
+        own = sorted((t, v) for kk, t, v in rows if kk == k)
+        expected |= {(k, own[i][0]): (own[i][1], [v for _, v in own[i - 10:i]]) for i in range(10, len(own))}
+    assert got == expected
+    assert history_windows(df.limit(0), ["t"], ["v"], "v", key="k").count() == 0
+    assert history_windows(df, ["t", "k"], ["v"], "v", length=71).count() == 0
+
+
+def test_windows_need_one_exchange_of_the_rows(spark):
+    df = spark.range(1000).selectExpr("id % 3 AS k", "id AS t", "id * 2 AS v")
+    plan = history_windows(df, ["t"], ["v"], "v", key="k")._jdf.queryExecution().executedPlan().toString()
+    # the rows are read from the sorted checkpoint; only edges and counts move
+    assert "rangepartitioning" not in plan and "Window [collect_list" not in plan
+    assert plan.index("MapInArrow") < plan.index("BroadcastHashJoin")
