@@ -12,7 +12,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.ml import Pipeline, PipelineModel
+from pyspark.ml import PipelineModel
 from pyspark.ml.evaluation import RegressionEvaluator
 from pyspark.ml.feature import OneHotEncoder, VectorAssembler
 from pyspark.ml.functions import array_to_vector
@@ -84,15 +84,14 @@ def sequence_samples(daily: DataFrame, items: DataFrame, length: int = 10) -> Da
 
 # ---- vectors -----------------------------------------------------------------
 
-def one_hot_stage(codes: dict[str, int], out: str, df: DataFrame) -> Pipeline:
+def one_hot_stage(codes: dict[str, int], out: str, df: DataFrame) -> PipelineModel:
     """One-hot encoding of code columns with ``n`` values each into one sparse
-    vector; a code outside 0 .. n - 1 has a place of its own.  The sizes are
-    those of the fitted maps, not of the rows at hand."""
-    spark = df.sparkSession
+    vector, a place more per column for other codes.  The sizes are those of
+    the fitted maps, not of the rows at hand."""
     names = list(codes)
     # the encoder takes its sizes from the largest code it sees
-    sizes = spark.createDataFrame([[float(max(codes[c], 1) - 1) for c in names]], names)
-    hot = OneHotEncoder(inputCols=names, outputCols=[f"{c}_hot" for c in names], handleInvalid="keep", dropLast=False)
+    sizes = df.sparkSession.createDataFrame([[float(max(codes[c], 1)) for c in names]], names)
+    hot = OneHotEncoder(inputCols=names, outputCols=[f"{c}_hot" for c in names], dropLast=False)
     return PipelineModel([hot.fit(sizes), VectorAssembler(inputCols=[f"{c}_hot" for c in names], outputCol=out)])
 
 
@@ -178,17 +177,14 @@ def fit_scale(train: DataFrame, target: str) -> Scale:
     return Scale(r.m or 0.0, r.s or 1.0)
 
 
-def factor_machine(factors: int, reg: float, iterations: int = 40, step: float = 0.1, seed: int = 7):
-    """A factorisation machine on ``features`` with its parameter map."""
-    fm = FMRegressor(featuresCol="features", labelCol="scaled", factorSize=factors, regParam=reg, maxIter=iterations,
-                     stepSize=step, seed=seed, initStd=0.05)
-    return fm, {fm.factorSize: factors, fm.regParam: reg}
+def factor_machine(iterations: int = 40, step: float = 0.1, seed: int = 7) -> FMRegressor:
+    """A factorisation machine on ``features`` for the scaled target."""
+    return FMRegressor(featuresCol="features", labelCol="scaled", maxIter=iterations, stepSize=step, seed=seed, initStd=0.05)
 
 
-def elastic_net(reg: float, mix: float = 0.5, iterations: int = 60):
-    lr = LinearRegression(featuresCol="features", labelCol="scaled", regParam=reg, elasticNetParam=mix, maxIter=iterations,
-                          solver="l-bfgs")
-    return lr, {lr.regParam: reg, lr.elasticNetParam: mix}
+def elastic_net(mix: float = 0.5, iterations: int = 60) -> LinearRegression:
+    """An elastic-net regression on ``features`` for the scaled target."""
+    return LinearRegression(featuresCol="features", labelCol="scaled", elasticNetParam=mix, maxIter=iterations, solver="l-bfgs")
 
 
 def category_factors(model: PipelineModel, spark, sizes: dict[str, int], first: int) -> DataFrame:

@@ -4,7 +4,7 @@ weekday trends of the recommended titles."""
 from __future__ import annotations
 
 from rankflow.functions.text import TOKEN_FILTERS
-from rankflow.operators.recommend import (Request, fit_serving_maps, linear_scorer, recommend,
+from rankflow.operators.recommend import (CODED, Request, fit_serving_maps, linear_scorer, recommend,
                                           title_trends)
 from rankflow.plans import catalog as C
 from rankflow.plans import sql as S
@@ -26,7 +26,9 @@ def top10(spark, sf_dir):
     # the daily fact is the pipeline's stored table: computed once here
     daily = materialize(C.book_daily(spark, sf_dir))
     maps = fit_serving_maps(daily)
-    return recommend(daily, maps, REQUEST, linear_scorer(COEFFICIENTS, INTERCEPT), 10), daily
+    # scores depend on the item and the request: one row per item is scored
+    items = daily.select("asin", "title", *CODED).distinct()
+    return recommend(items, maps, REQUEST, linear_scorer(COEFFICIENTS, INTERCEPT), 10), daily
 
 
 def _lit(s: str) -> str:
@@ -112,3 +114,70 @@ def trend_title_weekday(spark, sf_dir):
     """Weekday mean rank of each recommended title."""
     top, daily = top10(spark, sf_dir)
     return title_trends(top, daily, "day")
+
+
+# coefficients without common fractions: no score lies on a whole number
+_SERVE = {"author_code": -900.0, "publisher_code": -500.0, "format_code": 300.0, "title_code": 50.0, "genre_code": 20.0,
+          "group_code": 10.0, "month_sin": 10007.313, "month_cos": 9973.727, "date_sin": 10009.119, "date_cos": 9967.531,
+          "day_sin": 10037.977, "day_cos": 9949.389}
+_ITEM_CODES = {"author": "author_code", "publisher": "publisher_code", "format": "format_code", "genre": "genre_code",
+               "group_name": "group_code"}
+
+
+def _requests(spark, sf_dir):
+    """A user's first event asks, on its date, for the genre and group of the
+    book numbered like the user; errors ask for a genre that is not listed."""
+    from pyspark.sql import functions as F
+    from rankflow.functions.calendar import weekday_of
+    from rankflow.operators.features import first_per_key
+    ev = C.event_series(spark, sf_dir)
+    first = first_per_key(ev, "asin", ["ts", "event_id", "event_type"], ["ts", "event_type"])
+    books = C.book_metadata(spark, sf_dir).select("asin", "genre", "group_name")
+    return first.join(books, "asin", "left").select(
+        F.col("asin").alias("request_id"), weekday_of("ts").alias("day"), F.dayofmonth("ts").alias("date"),
+        F.month("ts").alias("month"),
+        F.when(F.col("event_type") == "error", F.lit("unlisted")).otherwise(F.col("genre")).alias("genre"), "group_name")
+
+
+_SERVE_SQL = S.with_(S.META, S.OBS, S.FACTS, S.DAILY, S.EVENTS).rstrip() + ",\n" + ",\n".join([
+    f"cat AS (SELECT *, CAST(month AS INTEGER) AS m, CAST(date AS INTEGER) AS dd, "
+    f"list_position({_DAYS}, day) - 1 AS wd FROM daily)",
+    "sc AS (SELECT " + ", ".join(f"min({e}) AS {k}_lo, max({e}) AS {k}_hi" for k, e in _CYC.items()) + " FROM cat)",
+    *[_codes(c) for c in ("author", "publisher", "format", "genre", "group_name")],
+    f"vocab AS (SELECT word, row_number() OVER (ORDER BY n DESC, word) AS idx FROM ("
+    f"SELECT word, count(*) AS n FROM (SELECT unnest({_TOK_ALL}) AS word FROM daily) GROUP BY word))",
+    "firsts AS (SELECT * FROM (SELECT user, ts, event_type, row_number() OVER (PARTITION BY user ORDER BY ts, event_id, event_type) AS rn "
+    "FROM (SELECT asin AS user, * EXCLUDE asin FROM ev)) WHERE rn = 1)",
+    "req AS (SELECT user AS request_id, CAST(isodow(ts) - 1 AS INTEGER) AS wd, CAST(day(ts) AS INTEGER) AS dd, "
+    "CAST(month(ts) AS INTEGER) AS m, CASE WHEN event_type = 'error' THEN 'unlisted' ELSE genre END AS genre, group_name "
+    "FROM firsts LEFT JOIN meta ON user = asin)",
+    "checked AS (SELECT *, CASE WHEN genre IS NULL OR genre NOT IN (SELECT value FROM c_genre) THEN 'unknown genre' "
+    "WHEN group_name IS NULL OR group_name NOT IN (SELECT value FROM c_group_name) THEN 'unknown group' ELSE 'ok' END AS status FROM req)",
+    f"items AS (SELECT c.asin, c.title, c.genre, c.group_name, {' + '.join(f'{_SERVE[k]} * c_{c}.code' for c, k in _ITEM_CODES.items())} "
+    f"+ {_SERVE['title_code']} * coalesce(v.idx, 0) AS s FROM (SELECT DISTINCT asin, title, author, publisher, format, genre, group_name "
+    f"FROM daily) c {' '.join(f'JOIN c_{c} ON c.{c} = c_{c}.value' for c in _ITEM_CODES)} LEFT JOIN vocab v ON v.word = {_TOK}[1])",
+    "asked AS (SELECT checked.*, " + " + ".join(
+        f"{_SERVE[k]} * coalesce(({e} - {k}_lo) / nullif({k}_hi - {k}_lo, 0), 0)" for k, e in _CYC.items())
+    + " AS cyc FROM checked, sc WHERE status = 'ok')",
+    f"scored AS (SELECT request_id, title, min(abs(CAST(trunc({INTERCEPT} + s + cyc) AS BIGINT))) AS predicted_rank "
+    "FROM asked JOIN items ON asked.genre = items.genre AND asked.group_name = items.group_name GROUP BY 1, 2)",
+    "top AS (SELECT * FROM (SELECT *, CAST(row_number() OVER (PARTITION BY request_id ORDER BY predicted_rank, title) AS INTEGER) "
+    "AS position FROM scored) WHERE position <= 10)",
+]) + """
+SELECT c.request_id, CASE WHEN status = 'ok' AND position IS NULL THEN 'no titles' ELSE status END AS status,
+       position, title, predicted_rank
+FROM checked c LEFT JOIN top USING (request_id)"""
+
+
+@query("recommend_requests", _SERVE_SQL)
+def recommend_requests(spark, sf_dir):
+    """Top ten titles for every user's request, from the stored catalogue and
+    maps; requests for a genre that is not listed say so (M8 F8 F9 S13 J2 O4
+    W8)."""
+    from rankflow.operators.serving import load_store, save_store, serve
+    from rankflow.session import scratch_path
+    path = scratch_path(spark, "store")
+    daily = materialize(C.book_daily(spark, sf_dir))
+    save_store(daily, fit_serving_maps(daily), path)
+    catalogue, maps = load_store(spark, path)
+    return serve(_requests(spark, sf_dir), catalogue, maps, linear_scorer(_SERVE, INTERCEPT))
