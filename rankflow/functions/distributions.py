@@ -1,105 +1,66 @@
-"""Tail probabilities of the t and F distributions.
+"""Tail probabilities of the t and F distributions as column expressions.
 
-Spark SQL has no t / F distribution functions, so these are Arrow-batched
-pandas UDFs (vectorised numpy, continued-fraction incomplete beta).  They
-are applied to *aggregated* rows only -- one row per tested column -- so
-the data pass itself stays in Spark's aggregates.
+Both are regularised incomplete beta functions.  The continued fraction is
+evaluated from its last term to its first by a fold over a sequence, with more
+terms the larger the degrees of freedom; log-gamma is Stirling's series eight
+steps up.  Everything stays in the JVM.
 """
 
 from __future__ import annotations
 
 import math
-import sys
 
-import numpy as np
-import pandas as pd
-from pyspark import cloudpickle
+from pyspark.sql import Column
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
-
-# Ship these functions to the Python workers by value: the workers then need
-# numpy and pandas only, not this package on their path.
-cloudpickle.register_pickle_by_value(sys.modules[__name__])
-
-
-def _betacf(a, b, x, iters: int = 300, eps: float = 1e-15):
-    tiny = 1e-300
-    qab, qap, qam = a + b, a + 1.0, a - 1.0
-    c = np.ones_like(x)
-    d = 1.0 - qab * x / qap
-    d = np.where(np.abs(d) < tiny, tiny, d)
-    d = 1.0 / d
-    h = d.copy()
-    for m in range(1, iters + 1):
-        m2 = 2 * m
-        aa = m * (b - m) * x / ((qam + m2) * (a + m2))
-        d = 1.0 + aa * d
-        d = np.where(np.abs(d) < tiny, tiny, d)
-        c = 1.0 + aa / c
-        c = np.where(np.abs(c) < tiny, tiny, c)
-        d = 1.0 / d
-        h *= d * c
-        aa = -(a + m) * (qab + m) * x / ((a + m2) * (qap + m2))
-        d = 1.0 + aa * d
-        d = np.where(np.abs(d) < tiny, tiny, d)
-        c = 1.0 + aa / c
-        c = np.where(np.abs(c) < tiny, tiny, c)
-        d = 1.0 / d
-        delta = d * c
-        h *= delta
-        if np.all(np.abs(delta - 1.0) < eps):
-            break
-    return h
-
-
-def betainc(a, b, x):
-    """Regularised incomplete beta I_x(a, b), vectorised over numpy arrays."""
-    a = np.asarray(a, dtype=float)
-    b = np.asarray(b, dtype=float)
-    x = np.asarray(x, dtype=float)
-    out = np.full(np.broadcast(a, b, x).shape, np.nan)
-    a, b, x = np.broadcast_arrays(a, b, x)
-    ok = (x >= 0) & (x <= 1) & (a > 0) & (b > 0)
-    out[ok & (x == 0)] = 0.0
-    out[ok & (x == 1)] = 1.0
-    mid = ok & (x > 0) & (x < 1)
-    if mid.any():
-        am, bm, xm = a[mid], b[mid], x[mid]
-        lbeta = (np.vectorize(math.lgamma)(am + bm) - np.vectorize(math.lgamma)(am)
-                 - np.vectorize(math.lgamma)(bm))
-        front = np.exp(lbeta + am * np.log(xm) + bm * np.log1p(-xm))
-        direct = xm < (am + 1.0) / (am + bm + 2.0)
-        res = np.empty_like(xm)
-        if direct.any():
-            res[direct] = front[direct] * _betacf(am[direct], bm[direct], xm[direct]) / am[direct]
-        if (~direct).any():
-            nd = ~direct
-            res[nd] = 1.0 - front[nd] * _betacf(bm[nd], am[nd], 1.0 - xm[nd]) / bm[nd]
-        out[mid] = res
-    return out
-
-
-def t_two_sided_p(t, dof):
-    t = np.asarray(t, dtype=float)
-    dof = np.asarray(dof, dtype=float)
-    return betainc(dof / 2.0, 0.5, dof / (dof + t * t))
-
-
-def f_upper_p(f, d1, d2):
-    f = np.asarray(f, dtype=float)
-    d1 = np.asarray(d1, dtype=float)
-    d2 = np.asarray(d2, dtype=float)
-    return betainc(d2 / 2.0, d1 / 2.0, d2 / (d2 + d1 * f))
-
-
-@F.pandas_udf(T.DoubleType())
-def t_pvalue(t: pd.Series, dof: pd.Series) -> pd.Series:
-    """Two-sided p-value of Student's t with ``dof`` degrees of freedom."""
-    return pd.Series(t_two_sided_p(t.to_numpy(dtype=float), dof.to_numpy(dtype=float)))
-
-
-@F.pandas_udf(T.DoubleType())
-def f_pvalue(f: pd.Series, d1: pd.Series, d2: pd.Series) -> pd.Series:
-    """Upper-tail p-value of the F distribution."""
-    return pd.Series(f_upper_p(f.to_numpy(dtype=float), d1.to_numpy(dtype=float),
-                               d2.to_numpy(dtype=float)))
+
+_STEPS = 8
+
+
+def log_gamma(z: Column) -> Column:
+    """Logarithm of the gamma function for positive ``z``."""
+    up = z + _STEPS
+    series = ((up - 0.5) * F.log(up) - up + 0.5 * math.log(2 * math.pi) + 1 / (12 * up) - 1 / (360 * F.pow(up, 3.0))
+              + 1 / (1260 * F.pow(up, 5.0)) - 1 / (1680 * F.pow(up, 7.0)) + 1 / (1188 * F.pow(up, 9.0)))
+    below = z
+    for k in range(1, _STEPS):
+        below = below * (z + k)
+    return series - F.log(below)
+
+
+def _term(p: Column, q: Column, k: Column) -> Column:
+    """Coefficient ``k`` of the continued fraction of the incomplete beta function."""
+    m = F.floor(k / 2).cast("double")
+    even = m * (q - m) / ((p + 2 * m - 1) * (p + 2 * m))
+    odd = -(p + m) * (p + q + m) / ((p + 2 * m) * (p + 2 * m + 1))
+    return F.when(k % 2 == 0, even).otherwise(odd)
+
+
+def _lower_part(p: Column, q: Column, u: Column, v: Column) -> Column:
+    """I_u(p, q) with v = 1 - u, for ``u`` up to the mean of the distribution."""
+    terms = (F.ceil(F.sqrt(F.greatest(p, q))) * 4 + 64).cast("int")
+    fraction = F.aggregate(F.sequence(terms, F.lit(1), F.lit(-1)), F.lit(1.0),
+                           lambda t, k: F.coalesce(1 + F.try_divide(_term(p, q, k) * u, t), F.lit(1.0)))
+    front = F.exp(p * F.log(u) + q * F.log(v) + log_gamma(p + q) - log_gamma(p) - log_gamma(q))
+    return F.try_divide(front / p, fraction)
+
+
+def incomplete_beta(a: Column, b: Column, x: Column, rest: Column) -> Column:
+    """Regularised incomplete beta I_x(a, b), ``rest`` = 1 - x (given apart,
+    so that neither end loses digits); null outside its range."""
+    small = x * (a + b + 2) < a + 1
+    inner = F.when(small, _lower_part(a, b, x, rest)).otherwise(1 - _lower_part(b, a, rest, x))
+    value = F.when(x <= 0, F.lit(0.0)).when(rest <= 0, F.lit(1.0)).otherwise(inner)
+    valid = (a > 0) & (b > 0) & (x >= 0) & (rest >= 0) & ~F.isnan(x)
+    return F.when(valid, F.least(F.greatest(value, F.lit(0.0)), F.lit(1.0)))
+
+
+def f_pvalue(f: Column, d1: Column, d2: Column) -> Column:
+    """Upper tail of the F distribution; null for degrees of freedom below 1."""
+    f, d1, d2 = (c.cast("double") for c in (f, d1, d2))
+    total = F.nullif(d2 + d1 * f, F.lit(0.0))
+    return F.when((d1 > 0) & (d2 > 0), incomplete_beta(d2 / 2, d1 / 2, F.try_divide(d2, total), F.try_divide(d1 * f, total)))
+
+
+def t_pvalue(t: Column, dof: Column) -> Column:
+    """Two-sided tail of Student's t: its square is F with 1 and ``dof``."""
+    return f_pvalue(t * t, F.lit(1.0), dof)

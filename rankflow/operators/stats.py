@@ -2,16 +2,18 @@
 one-way ANOVA (both directions), regression error metrics and an
 equal-width residual histogram.
 
-Every test is one Spark aggregation producing a row per tested column;
-only the tail probability runs in Python, on those few rows.
+Every test is one Spark aggregation producing a row per tested column; the
+tail probabilities are column expressions over those few rows.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from rankflow.functions.distributions import f_pvalue, t_pvalue
+from rankflow.session import materialize
 
 # Significance wording and thresholds of the analysis notebook.
 PEARSON_YES, PEARSON_NO = "Correlation", "No Correlation"        # p < 0.05
@@ -70,36 +72,37 @@ def anova_by_target(df: DataFrame, target: str, columns: list[str], digits: int
 def anova_pairs(df: DataFrame, tests: list[tuple[str, str, str]], digits: int | None = 6) -> DataFrame:
     """One-way ANOVA for every (name, value column, group column) test.
 
-    A first aggregation takes the exact mean of every value column; values
-    are shifted by it, so nothing cancels however large their offset.  All
-    tests then go through one shuffle: every row is expanded to one
-    (test, group) pair per test and aggregated to n, the exact sum and the
-    variance of the shifted values per group, then to the between / within
-    sums of squares per test.  Tests with fewer than two groups are left out,
-    as the reference skips them; without variance inside the groups F is
-    null.  ``digits=None`` leaves F unrounded."""
-    exact = lambda v: F.col(v).cast("decimal(38,6)")
-    values = list(dict.fromkeys(v for _, v, _ in tests))
-    means = df.select(F.struct(*[
-        F.try_divide(F.sum(exact(v)), F.count(exact(v))).cast("decimal(38,6)").alias(f"m{k}")
-        for k, v in enumerate(values)]).alias("m")).scalar()
-    df = df.withColumn("_an_mean", means)
+    All tests go through one shuffle: every row is expanded to one (test,
+    group) pair per test and aggregated to the number, the mean and the
+    variance of the group's values.  Means of integral and decimal values come
+    from exact sums, others from sums in double; variances are merged around
+    their means, so no magnitude is lost.  These few numbers per group are
+    stored, the mean of each test is taken from them, and the sums of squares
+    between and within follow around it.  Nulls, NaN and infinite values are
+    left out, and so are tests with fewer than two groups, as the reference
+    skips them; without variance inside the groups F is null.  ``digits=None``
+    leaves F unrounded."""
+    def exact(v):
+        dtype = df.schema[v].dataType
+        return isinstance(dtype, T.IntegralType | T.DecimalType)
+
     pairs = F.explode(F.array(*[
         F.struct(F.lit(name).alias("column_name"), F.col(g).cast("string").alias("grp"),
-                 (exact(v) - F.col("_an_mean")[f"m{values.index(v)}"]).cast("decimal(38,6)").alias("_v"))
+                 (F.col(v).cast("decimal(38,6)") if exact(v) else F.lit(None).cast("decimal(38,6)")).alias("_e"),
+                 F.col(v).cast("double").alias("_v"))
         for name, v, g in tests]))
-    expanded = df.select(pairs.alias("p")).select("p.*")
-    per = (expanded.where(F.col("_v").isNotNull() & F.col("grp").isNotNull())
-           .groupBy("column_name", "grp")
-           .agg(F.count("_v").alias("n"), F.sum("_v").alias("s"),
-                F.var_pop(F.col("_v").cast("double")).alias("var")))
-    s_d = F.col("s").cast("double")
-    col = per.groupBy("column_name").agg(
-        F.count(F.lit(1)).alias("k"), F.sum("n").alias("n_total"), F.sum("s").alias("s_total"),
-        F.sum(s_d * s_d / F.col("n")).alias("between"), F.sum(F.col("var") * F.col("n")).alias("within"))
-    st = F.col("s_total").cast("double")
-    ssb = F.col("between") - st * st / F.col("n_total")
-    f = F.try_divide(F.try_divide(ssb, F.col("k") - 1), F.try_divide(F.col("within"), F.col("n_total") - F.col("k")))
+    rows = df.select(pairs.alias("p")).select("p.*")
+    finite = F.col("_v").isNotNull() & ~F.isnan("_v") & (F.abs("_v") != float("inf"))
+    mean = F.coalesce(F.try_divide(F.sum("_e").cast("double"), F.count("_e")), F.avg("_v"))
+    per = materialize(rows.where(finite & F.col("grp").isNotNull()).groupBy("column_name", "grp")
+                      .agg(F.count("_v").alias("n"), mean.alias("mean"), F.var_pop("_v").alias("var")))
+    # one row per test
+    centre = per.groupBy("column_name").agg((F.sum(F.col("n") * F.col("mean")) / F.sum("n")).alias("centre"))
+    off = F.col("mean") - F.col("centre")
+    col = per.join(F.broadcast(centre), "column_name").groupBy("column_name").agg(
+        F.count(F.lit(1)).alias("k"), F.sum("n").alias("n_total"),
+        F.sum(F.col("n") * off * off).alias("between"), F.sum(F.col("var") * F.col("n")).alias("within"))
+    f = F.try_divide(F.try_divide(F.col("between"), F.col("k") - 1), F.try_divide(F.col("within"), F.col("n_total") - F.col("k")))
     return (col.where(F.col("k") > 1)
             .select("column_name", F.col("k").cast("long").alias("k"),
                     F.col("n_total").cast("long").alias("n"),
@@ -121,7 +124,8 @@ def with_anova_p(res: DataFrame) -> DataFrame:
 def error_metrics(pred: DataFrame, actual: str, predicted: str, digits: int = 6) -> DataFrame:
     """MAE, MSE, RMSE, R^2 and the percentage forms of the notebooks
     (MAE and RMSE as % of the mean actual, MAE % of the max, MSE % of the
-    max squared, R^2 x 100) from one aggregation pass."""
+    max squared, R^2 x 100) from one aggregation pass.  A form whose divisor is
+    zero is null."""
     e = F.col(actual).cast("double") - F.col(predicted).cast("double")
     a = F.col(actual).cast("double")
     agg = pred.agg(F.count(e).alias("n"), F.avg(F.abs(e)).alias("mae"), F.avg(e * e).alias("mse"),
@@ -132,10 +136,10 @@ def error_metrics(pred: DataFrame, actual: str, predicted: str, digits: int = 6)
     cols = {
         "n": F.col("n"),
         "mae": F.col("mae"), "mse": F.col("mse"), "rmse": rmse, "r2": r2,
-        "mae_pct_mean": F.col("mae") / F.col("mean_actual") * 100,
-        "rmse_pct_mean": rmse / F.col("mean_actual") * 100,
-        "mae_pct_max": F.col("mae") / F.col("max_actual") * 100,
-        "mse_pct_max_sq": F.col("mse") / (F.col("max_actual") * F.col("max_actual")) * 100,
+        "mae_pct_mean": F.try_divide(F.col("mae"), F.col("mean_actual")) * 100,
+        "rmse_pct_mean": F.try_divide(rmse, F.col("mean_actual")) * 100,
+        "mae_pct_max": F.try_divide(F.col("mae"), F.col("max_actual")) * 100,
+        "mse_pct_max_sq": F.try_divide(F.col("mse"), F.col("max_actual") * F.col("max_actual")) * 100,
         "r2_pct": r2 * 100,
         "min_actual": F.col("min_actual"), "max_actual": F.col("max_actual"),
     }

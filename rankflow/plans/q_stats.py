@@ -20,6 +20,28 @@ def _sig(expr: str, digits: int = 6) -> str:
     return f"CAST(printf('%.{digits - 1}e', {expr}) AS DOUBLE)"
 
 
+def _p_sql(f: str, d1: str, d2: str) -> str:
+    """Upper tail of F by integration of its density: with x = sin^2, I_x(d2/2,
+    d1/2) is the integral of sin^(d2-1) cos^(d1-1), taken by Simpson's rule
+    where the integrand is not negligible."""
+    lo, hi = "g.lo", "g.hi"
+    height = ("exp((g.d2 - 1) * ln(greatest(sin(th), 1e-300)) + (g.d1 - 1) * ln(greatest(cos(th), 1e-300)) "
+              "+ lgamma((g.d1 + g.d2) / 2) - lgamma(g.d1 / 2) - lgamma(g.d2 / 2))").replace("th", "TH")
+    height = height.replace("TH", f"({lo} + i * ({hi} - {lo}) / 20000)")
+    return f"""(SELECT greatest(least(2 * ({hi} - {lo}) / 60000 * list_sum(list_transform(range(0, 20001),
+      lambda i: CASE WHEN i = 0 OR i = 20000 THEN 1 WHEN i % 2 = 1 THEN 4 ELSE 2 END * {height})), 1), 0)
+    FROM (SELECT greatest(least(th, peak) - 40 / sqrt(d1 + d2), 0) AS lo, least(th, peak + 40 / sqrt(d1 + d2)) AS hi, d1, d2
+          FROM (SELECT CAST({d1} AS DOUBLE) AS d1, CAST({d2} AS DOUBLE) AS d2, atan2(sqrt({d2}), sqrt({d1} * ({f}))) AS th,
+                       atan2(sqrt({d2} - 1), sqrt({d1} - 1)) AS peak)) g)"""
+
+
+_TESTED_SQL = f""",
+tested AS (SELECT *, {_p_sql('f_stat', 'df_between', 'df_within')} AS p FROM raw)
+SELECT column_name, k, n, round(f_stat, 3) AS f_stat, df_between, df_within, round(p, 5) AS p_value,
+       CASE WHEN round(p, 5) <= 0.05 THEN 'Columns correlated' ELSE 'Columns not correlated' END AS status
+FROM tested"""
+
+
 _CODE_COLS = ["title", "author", "publisher"]
 
 
@@ -48,16 +70,28 @@ def pearson_codes(spark, sf_dir):
                       sig_round(F.col("t_stat")).alias("t_stat"))
 
 
-@query("pearson_test")
+def _pearson_test_sql() -> str:
+    r = "SELECT column_name, count(*) AS n, corr(CAST(rank AS DOUBLE), CAST(code AS DOUBLE)) AS r FROM long GROUP BY 1"
+    long = " UNION ALL ".join(f"SELECT '{c}_code' AS column_name, rank, dense_rank() OVER (ORDER BY {c}) - 1 AS code FROM daily"
+                              for c in _CODE_COLS)
+    return _D.rstrip() + f""",
+long AS ({long}), r AS ({r}),
+p AS (SELECT *, {_p_sql('r * r * (n - 2) / (1 - r * r)', '1', '(n - 2)')} AS p FROM r)
+SELECT column_name, round(r, 4) AS r, round(p, 5) AS p_value,
+       CASE WHEN p < 0.05 THEN 'Correlation' ELSE 'No Correlation' END AS status FROM p"""
+
+
+@query("pearson_test", _pearson_test_sql())
 def pearson_test(spark, sf_dir):
     """Pearson with the two-sided p-value and the notebook's wording (T1 X31
-    X32); the p-value comes from the t tail, not expressible in SQL."""
+    X32)."""
     res = pearson(_coded_daily(spark, sf_dir), "rank", [f"{c}_code" for c in _CODE_COLS])
     return with_pearson_p(res).select("column_name", F.round("r", 4).alias("r"),
                                       F.round("p_value", 5).alias("p_value"), "status")
 
 
-def _anova_sql(source: str, tests: list[tuple[str, str, str]]) -> str:
+def _anova_sql(source: str, tests: list[tuple[str, str, str]], tested: bool = False) -> str:
+    """CTEs and SELECT of the test; ``tested`` adds p and the wording."""
     unions = " UNION ALL ".join(
         f"SELECT '{name}' AS column_name, CAST({g} AS VARCHAR) AS grp, "
         f"CAST({v} AS DECIMAL(38,6)) AS v FROM {source}" for name, v, g in tests)
@@ -66,12 +100,13 @@ x AS ({unions}),
 per AS (SELECT column_name, grp, count(v) AS n, sum(v) AS s, sum(v * v) AS ss FROM x
         WHERE v IS NOT NULL AND grp IS NOT NULL GROUP BY 1, 2),
 col AS (SELECT column_name, count(*) AS k, sum(n) AS n_total, sum(s) AS s_total, sum(ss) AS ss_total,
-               sum(CAST(s AS DOUBLE) * CAST(s AS DOUBLE) / n) AS between_raw FROM per GROUP BY 1)
-SELECT column_name, CAST(k AS BIGINT) AS k, CAST(n_total AS BIGINT) AS n,
-  {_sig("((between_raw - CAST(s_total AS DOUBLE) * CAST(s_total AS DOUBLE) / n_total) / (k - 1)) / "
-        "((CAST(ss_total AS DOUBLE) - between_raw) / (n_total - k))")} AS f_stat,
+               sum(CAST(s AS DOUBLE) * CAST(s AS DOUBLE) / n) AS between_raw FROM per GROUP BY 1),
+raw AS (SELECT column_name, CAST(k AS BIGINT) AS k, CAST(n_total AS BIGINT) AS n,
+  ((between_raw - CAST(s_total AS DOUBLE) * CAST(s_total AS DOUBLE) / n_total) / (k - 1)) /
+    ((CAST(ss_total AS DOUBLE) - between_raw) / (n_total - k)) AS f_stat,
   CAST(k - 1 AS BIGINT) AS df_between, CAST(n_total - k AS BIGINT) AS df_within
-FROM col WHERE k > 1"""
+FROM col WHERE k > 1)""" + (_TESTED_SQL if tested else f"""
+SELECT column_name, k, n, {_sig("f_stat")} AS f_stat, df_between, df_within FROM raw""")
 
 
 _CAT = ["group_name", "format", "genre"]
@@ -90,19 +125,21 @@ def anova_events(spark, sf_dir):
     return anova(C.event_series(spark, sf_dir), "rank", ["event_type"])
 
 
-@query("anova_test")
+@query("anova_test", _D.rstrip() + _anova_sql("daily", [(c, "rank", c) for c in _CAT], tested=True))
 def anova_test(spark, sf_dir):
     """ANOVA with F rounded to 3, p to 5 digits and the notebook's status
-    wording (T2 X31 X32); p from the F tail (not in SQL)."""
+    wording (T2 X31 X32)."""
     return with_anova_p(anova(C.book_daily(spark, sf_dir), "rank", _CAT, digits=None))
 
 
 _NUM = ["year", "month"]
 
 
-@query("anova_by_target", _D.rstrip() + ",\nnum AS (SELECT CAST(year AS INTEGER) AS year, "
-       "CAST(month AS INTEGER) AS month, rank FROM daily)" +
-       _anova_sql("num", [(c, c, "rank") for c in _NUM]))
+_NUM_SQL = _D.rstrip() + (",\nnum AS (SELECT CAST(year AS INTEGER) AS year, "
+                          "CAST(month AS INTEGER) AS month, rank FROM daily)")
+
+
+@query("anova_by_target", _NUM_SQL + _anova_sql("num", [(c, c, "rank") for c in _NUM]))
 def anova_by_target_query(spark, sf_dir):
     """Reverse ANOVA: year and month grouped by rank value."""
     d = C.book_daily(spark, sf_dir).select(F.col("year").cast("int").alias("year"),
@@ -110,7 +147,7 @@ def anova_by_target_query(spark, sf_dir):
     return anova_by_target(d, "rank", _NUM)
 
 
-@query("anova_by_target_test")
+@query("anova_by_target_test", _NUM_SQL + _anova_sql("num", [(c, c, "rank") for c in _NUM], tested=True))
 def anova_by_target_test(spark, sf_dir):
     """Reverse ANOVA with rounded F, p and status wording."""
     d = C.book_daily(spark, sf_dir).select(F.col("year").cast("int").alias("year"),

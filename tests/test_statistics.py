@@ -102,3 +102,27 @@ def test_prototypes_in_blocks_and_with_a_string_order(spark):
     assert [(r.predicted_label, r.similarity) for r in one] == [(r.predicted_label, r.similarity) for r in many]
     assert one[-1].predicted_label == "twin"
     assert one[0].similarity is not None
+
+
+@pytest.mark.parametrize("scale", [1e-8, 1.0, 1e33])
+def test_anova_at_any_magnitude(spark, scale):
+    rng = np.random.default_rng(3)
+    groups = [rng.normal(m, 1, 500) * scale for m in (0, 0.2, 0.5)]
+    rows = [(f"g{k}", float(x)) for k, g in enumerate(groups) for x in g]
+    rows += [("g0", float("nan")), ("g1", float("inf")), ("g2", None), (None, 1.0)]
+    r = anova(spark.createDataFrame(rows, "g string, v double"), "v", ["g"]).first()
+    assert r.f_stat == pytest.approx(_f(groups), rel=1e-5) and r.n == 1500
+
+
+def test_anova_computes_its_input_once(spark):
+    df = spark.range(100).selectExpr("cast(id % 3 as string) AS g", "cast(id as double) AS v")
+    plan = anova(df, "v", ["g"])._jdf.queryExecution().executedPlan().toString()
+    assert "Range (" not in plan and "Subquery" not in plan
+
+
+def test_error_metrics_with_zero_mean_and_zero_maximum(spark):
+    df = spark.createDataFrame([(-1.0, 0.0), (1.0, 0.0)], "a double, p double")
+    r = error_metrics(df, "a", "p").first()
+    assert r.mae_pct_mean is None and r.rmse_pct_mean is None and r.mae_pct_max == 100 and r.mse_pct_max_sq == 100
+    r = error_metrics(spark.createDataFrame([(-1.0, 0.0), (0.0, 0.0)], "a double, p double"), "a", "p").first()
+    assert r.mae_pct_max is None and r.mse_pct_max_sq is None and r.mae == 0.5
