@@ -46,10 +46,11 @@ def enrich_titles(books: DataFrame, payloads: DataFrame, title_col: str = "TITLE
     """Every book row with a ``book_details`` struct.  Each distinct title is
     parsed once; a title with no stored response gets the defaults.  Of
     several responses for a title a successful one counts, of several of
-    those the one with the smallest body."""
+    those one with a body, the smallest."""
     titles = books.select(F.col(title_col).alias("title")).distinct()
     one = payloads.groupBy("title").agg(F.min(F.struct(
-        (~F.coalesce(F.col("status") == 200, F.lit(False))).alias("failed"), "body", "status")).alias("_best"))
+        (~F.coalesce(F.col("status") == 200, F.lit(False))).alias("failed"),
+        F.col("body").isNull().alias("empty"), "body", "status")).alias("_best"))
     resp = titles.join(one.select("title", "_best.status", "_best.body"), "title", "left")
     details = resp.select(F.col("title").alias("_t"), parse_details().alias("book_details"))
     return books.join(details, books[title_col].eqNullSafe(details["_t"]), "left").drop("_t")

@@ -77,6 +77,31 @@ def roundtrip_json_history(spark, sf_dir):
     return observations_from_documents(docs, "value", "file_name", id_rule="folder")
 
 
+@query("roundtrip_json_whole", """
+SELECT event_type || '-' || strftime(ts, '%Y%m%d') AS doc, epoch_us(ts) AS key,
+       min(CASE WHEN event_type <> 'error' THEN CAST(round(value * 100) AS BIGINT) END) AS rank
+FROM events WHERE ts IS NOT NULL GROUP BY 1, 2""")
+def roundtrip_json_whole(spark, sf_dir):
+    """Multi-line documents, one per event type and day: written as files of
+    one JSON object with a line per moment, read back whole as VARIANT and
+    taken apart key by key; a rank that is no number is null (S2 X1 X2 X6)."""
+    from rankflow.session import scratch_path
+    from rankflow.sources.readers import document_entries, read_documents_variant
+
+    ev = C.table(spark, sf_dir, "events").where("ts IS NOT NULL")
+    doc = F.concat_ws("-", "event_type", F.date_format("ts", "yyyyMMdd")).alias("doc")
+    moments = ev.groupBy("event_type", doc, F.unix_micros(F.col("ts").cast("timestamp")).alias("key")).agg(F.min(C.cents("value")).alias("rank"))
+    line = F.concat(F.lit('  "'), F.col("key").cast("string"), F.lit('": '),
+                    F.when(F.col("event_type") == "error", F.lit('"x"')).otherwise(F.col("rank").cast("string")))
+    text = F.concat(F.lit("{\n"), F.array_join(F.collect_list(line), ",\n"), F.lit("\n}"))
+    path = scratch_path(spark, "whole-docs")
+    moments.groupBy("doc").agg(text.alias("value")).write.partitionBy("doc").text(path)
+    docs = read_documents_variant(spark, f"{path}/*/*.txt")
+    rows = document_entries(docs)
+    return rows.select(F.regexp_extract("file_name", "/doc=([^/]+)/", 1).alias("doc"), F.col("key").cast("long").alias("key"),
+                       F.col("value").alias("rank"))
+
+
 _MELT_SQL = """
 WITH counts AS (
   SELECT o_custkey, o_orderpriority AS priority, count(*) AS n_orders
@@ -144,3 +169,44 @@ def daily_partitioned_read(spark, sf_dir):
     return back.where((F.col("year") == "2000") & F.col("month").isin("01", "02")).select(
         "asin", "timestamp", "rank", "year", "month", "date", "day", "group_name", "format",
         "title", "author", "publisher", "genre")
+
+
+@query("bucketed_item_facts", S.with_(S.META, S.OBS, S.FACTS) + """
+SELECT asin, title, count(*) AS n_rows, min(rank) AS best_rank, max(rank) AS worst_rank, count(DISTINCT year) AS n_years
+FROM facts GROUP BY 1, 2""")
+def bucketed_item_facts(spark, sf_dir):
+    """Observations and books stored in buckets of the item, then joined and
+    aggregated per item without an exchange of either (S9 J1)."""
+    from rankflow.operators.facts import join_metadata
+    from rankflow.session import scratch_path
+    from rankflow.sources.sinks import write_bucketed
+    import uuid
+
+    tag, buckets = uuid.uuid4().hex[:10], int(spark.conf.get("spark.sql.shuffle.partitions"))
+    path = scratch_path(spark, "buckets")
+    obs = write_bucketed(C.book_observations(spark, sf_dir).select("asin", "timestamp", "rank", "year"), f"observations_{tag}",
+                         "asin", buckets, f"{path}/observations", ["timestamp"])
+    books = write_bucketed(C.book_metadata(spark, sf_dir).select("asin", "title"), f"books_{tag}", "asin", buckets, f"{path}/books")
+    facts = join_metadata(obs, books)
+    return facts.groupBy("asin", "title").agg(F.count(F.lit(1)).alias("n_rows"), F.min("rank").alias("best_rank"),
+                                              F.max("rank").alias("worst_rank"), F.countDistinct("year").alias("n_years"))
+
+
+@query("daily_reingest_month", S.with_(S.META, S.OBS, S.FACTS, S.DAILY) + """
+SELECT asin, timestamp, CASE WHEN year = '2000' AND month = '02' THEN rank + 1 ELSE rank END AS rank, year, month, date, day
+FROM daily""")
+def daily_reingest_month(spark, sf_dir):
+    """The stored daily fact, then a new batch for one month (every rank one
+    higher): only that month's folder is replaced (S9, dynamic overwrite)."""
+    from rankflow.session import scratch_path
+    from rankflow.sources.sinks import replace_partitions, write_parquet
+
+    path = scratch_path(spark, "daily")
+    columns = ["asin", "timestamp", "rank", "year", "month", "date", "day"]
+    write_parquet(C.book_daily(spark, sf_dir).select(*columns), path, partition_by=["year", "month"], cluster_by=["asin", "timestamp"])
+    stored = spark.read.schema("asin string, timestamp string, rank bigint, date string, day string, year string, month string").parquet(path)
+    month = stored.where("year = '2000' AND month = '02'").withColumn("rank", F.col("rank") + 1)
+    # the batch is read in full before its folder is replaced
+    from rankflow.session import materialize
+    replace_partitions(materialize(month), path, ["year", "month"], ["asin", "timestamp"])
+    return spark.read.schema(stored.schema).parquet(path).select(*columns)

@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from rankflow.operators.trends import (centred_moving_mean, every_nth, keep_keys, mean_by,
+from rankflow.operators.facts import daily_min_rank
+from rankflow.operators.trends import (centred_moving_mean, smooth_fraction, every_nth, keep_keys, mean_by,
                                        mean_by_weekday, sample_keys)
 from rankflow.plans import catalog as C
 from rankflow.plans import sql as S
@@ -56,8 +57,15 @@ sampled AS (SELECT * FROM daily WHERE asin IN (SELECT asin FROM picked))
 
 
 def _sampled_daily(spark, sf_dir):
-    d = _daily_typed(spark, sf_dir)
-    return keep_keys(d, sample_keys(d, "asin", 20, "42"), "asin")
+    """The daily fact of 20 items: the keys are taken from the complete
+    observations of complete items, and only their observations are joined."""
+    obs = C.book_observations(spark, sf_dir)
+    books = C.book_metadata(spark, sf_dir)
+    whole = obs.where("timestamp IS NOT NULL AND rank IS NOT NULL").join(books.na.drop("any"), "asin", "left_semi")
+    # at most 20 rows
+    keys = F.broadcast(sample_keys(whole, "asin", 20, "42"))
+    d = daily_min_rank(keep_keys(obs, keys, "asin"), books)
+    return d.withColumn("month", F.col("month").cast("int")).withColumn("date", F.col("date").cast("int"))
 
 
 @query("trend_item_month", _SAMPLED + f"SELECT asin, CAST(month AS INTEGER) AS month, {_MEAN} "
@@ -100,3 +108,28 @@ def trend_smoothed(spark, sf_dir):
     ev = C.event_series(spark, sf_dir).select("event_id", "ts", "rank")
     sm = centred_moving_mean(ev, ["ts", "event_id"], "rank", 5)
     return every_nth(sm, "pos", 100).select("pos", "event_id", "rank", "smoothed")
+
+
+_SMOOTH_BOTH_SQL = S.with_(S.EVENTS).rstrip() + """,
+mean AS (SELECT asin, round(CAST(sum(rank) AS DOUBLE) / count(rank), 4) AS predicted FROM ev GROUP BY 1),
+placed AS (SELECT event_id, ts, rank AS actual, predicted, row_number() OVER (ORDER BY ts, event_id) - 1 AS place
+           FROM ev JOIN mean USING (asin)),
+picked AS (SELECT *, row_number() OVER (ORDER BY place) - 1 AS pos, count(*) OVER () AS n FROM placed WHERE place % 100 = 0),
+half AS (SELECT greatest(1, CAST(floor(max(n) * 0.05 / 2) AS BIGINT)) AS h FROM picked)
+SELECT a.pos, a.event_id, a.actual, a.predicted,
+       round(CAST(sum(CAST(b.actual AS DECIMAL(38,6))) AS DOUBLE) / count(b.actual), 4) AS smoothed_actual,
+       round(CAST(sum(CAST(b.predicted AS DECIMAL(38,6))) AS DOUBLE) / count(b.predicted), 4) AS smoothed_predicted
+FROM picked a, half JOIN picked b ON b.pos BETWEEN a.pos - h AND a.pos + h GROUP BY 1, 2, 3, 4"""
+
+
+@query("trend_smoothed_series", _SMOOTH_BOTH_SQL)
+def trend_smoothed_series(spark, sf_dir):
+    """Every 100th point of the time-ordered events, then the actual and the
+    predicted series (each user's mean) smoothed over 5 % of those points
+    (W10 F11 W6)."""
+    from rankflow.operators.ordering import with_position
+    ev = C.event_series(spark, sf_dir).select("asin", "event_id", "ts", F.col("rank").alias("actual"))
+    mean = mean_by(ev, ["asin"], "actual", "predicted", sort=False)
+    picked = every_nth(with_position(ev, ["ts", "event_id"], "at"), "at", 100).join(mean, "asin")
+    return smooth_fraction(picked.select("event_id", "at", "actual", "predicted"), ["at"], ["actual", "predicted"]).select(
+        "pos", "event_id", "actual", "predicted", "smoothed_actual", "smoothed_predicted")

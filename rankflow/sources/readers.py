@@ -8,9 +8,6 @@ from pyspark.sql import types as T
 
 from rankflow.operators.history import RANK_MAP
 
-# Column names of the raw book metadata export (first six of fifteen).
-METADATA_RAW_COLUMNS = ["ASIN", "GROUP", "FORMAT", "TITLE", "AUTHOR", "PUBLISHER"]
-
 PAYLOAD_SCHEMA = T.StructType([
     T.StructField("title", T.StringType()),
     T.StructField("status", T.IntegerType()),
@@ -26,18 +23,29 @@ def read_rank_documents(spark: SparkSession, path: str | list[str]) -> DataFrame
 
 
 def read_rank_documents_whole(spark: SparkSession, path: str | list[str]) -> DataFrame:
-    """Multi-line documents: one whole file per row, parsed as a rank map.
-    Preferred over schema-inferring ``multiLine`` JSON, which turns every
-    epoch key into a column and needs an extra inference pass."""
+    """Multi-line documents: one whole file per row, parsed as a rank map;
+    one rank that is no integer makes the whole map null."""
     df = spark.read.text(path, wholetext=True)
     return df.select(F.from_json("value", RANK_MAP).alias("ranks"),
                      F.col("_metadata.file_path").alias("file_name"))
 
 
-def read_rank_documents_wide(spark: SparkSession, path: str | list[str]) -> DataFrame:
-    """The literal multi-line JSON scan: keys become columns (schema inferred)."""
-    df = spark.read.option("multiLine", True).json(path)
-    return df.withColumn("file_name", F.col("_metadata.file_path"))
+def read_documents_variant(spark: SparkSession, path: str | list[str]) -> DataFrame:
+    """Multi-line documents: one whole file per row as a VARIANT, with its
+    path: ``(doc, file_name)``.  Keys are data, so nothing is inferred and no
+    column is made for one; a file that is no JSON has a null document."""
+    df = spark.read.text(path, wholetext=True)
+    return df.select(F.try_parse_json("value").alias("doc"), F.col("_metadata.file_path").alias("file_name"))
+
+
+def document_entries(docs: DataFrame, doc_col: str = "doc", value_type: str = "long") -> DataFrame:
+    """One row per key of each document: the other columns, ``key`` and
+    ``value``, null where it is not a ``value_type``.  Documents that are null
+    or no object have no rows."""
+    others = [c for c in docs.columns if c != doc_col]
+    entries = docs.sparkSession.tvf.variant_explode(F.col(doc_col).outer())
+    rows = docs.lateralJoin(entries).where(F.col("key").isNotNull())
+    return rows.select(*others, "key", F.try_variant_get("value", "$", value_type).alias("value"))
 
 
 def read_csv_strings(spark: SparkSession, path: str, header: bool = True,
@@ -71,7 +79,8 @@ def read_csv_skip_long_rows(spark: SparkSession, path: str, columns: list[str],
     df = (spark.read.option("header", header).option("mode", "PERMISSIVE").option("escape", '"')
           .option("multiLine", multi_line).option("columnPruning", False)
           .option("columnNameOfCorruptRecord", raw).schema(schema).csv(path))
-    outside = F.regexp_replace(F.col(raw), r'"(?:[^"]|"")*"', "")
+    # a quote opens a field at its start only
+    outside = F.regexp_replace(F.col(raw), r'(^|,)"(?:[^"]|"")*"(?=,|$)', "$1")
     separators = F.length(outside) - F.length(F.replace(outside, F.lit(","), F.lit("")))
     # a query must name a column of the file besides the raw line
     named = F.length(F.concat(F.coalesce(F.col(columns[0]), F.lit("")), F.lit("."))) > 0

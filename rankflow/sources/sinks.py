@@ -41,3 +41,23 @@ def save_mapping(df: DataFrame, path: str) -> None:
 
 def load_mapping(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(path)
+
+
+def write_bucketed(df: DataFrame, table: str, key: str, buckets: int, path: str, sort_by: list[str] = ()) -> DataFrame:
+    """``df`` as a table of the session catalog, stored under ``path`` in
+    ``buckets`` buckets of ``key`` and sorted inside them by ``key`` and
+    ``sort_by``: joins, groups and windows on ``key`` over such tables need no
+    exchange.  One writing task per bucket, so one sorted file per bucket."""
+    order = [key, *sort_by]
+    (df.repartition(buckets, key).write.format("parquet").mode("overwrite").bucketBy(buckets, key).sortBy(*order)
+     .option("path", path).saveAsTable(table))
+    return df.sparkSession.table(table)
+
+
+def replace_partitions(df: DataFrame, path: str, partition_by: list[str], cluster_by: list[str] | None = None) -> None:
+    """Write ``df`` into a partitioned table folder, replacing exactly the
+    partitions that ``df`` has rows for (dynamic overwrite); the folders of
+    all others stay as they are."""
+    keys = [*partition_by, *(cluster_by or [])]
+    clustered = df.repartitionByRange(*keys).sortWithinPartitions(*keys)
+    (clustered.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*partition_by).parquet(path))

@@ -187,20 +187,22 @@ def test_rank_documents_from_files(spark, tmpdir_path):
     assert got == [("B01", "00", 7), ("B01", "01", 5), ("B02", "00", 1)]
 
 
-def test_whole_file_and_wide_json_readers(spark, tmpdir_path):
-    from rankflow.sources.readers import read_rank_documents_whole, read_rank_documents_wide
-    for asin, doc in (("B01", '{\n  "100": 7,\n  "200": 5\n}'), ("B02", '{\n  "100": 1\n}')):
+def test_whole_file_json_readers(spark, tmpdir_path):
+    from rankflow.sources.readers import document_entries, read_documents_variant, read_rank_documents_whole
+    docs = {"B01": '{\n  "100": 7,\n  "200": 5\n}', "B02": '{\n  "100": 1,\n  "300": "x", "400": null, "500": 2.5\n}',
+            "B03": "no json", "B04": "[1, 2]", "B05": "{}", "B06": ""}
+    for asin, doc in docs.items():
         with open(os.path.join(tmpdir_path, f"{asin}_com_norm.json"), "w") as f:
             f.write(doc)
-    glob = os.path.join(tmpdir_path, "*.json")
-    whole = read_rank_documents_whole(spark, glob)
+    whole = read_rank_documents_whole(spark, os.path.join(tmpdir_path, "B01*.json"))
     got = sorted((r.file_name.split("/")[-1][:3], k, v) for r in whole.collect() for k, v in r.ranks.items())
-    assert got == [("B01", "100", 7), ("B01", "200", 5), ("B02", "100", 1)]
-    wide = read_rank_documents_wide(spark, glob)
-    long = melt(wide.withColumn("asin", item_id_from_path("file_name", "suffix")).drop("file_name"),
-                ["asin"])
-    assert sorted((r.asin, r.timestamp, r["rank"]) for r in long.collect()) == [
-        ("B01", "100", 7), ("B01", "200", 5), ("B02", "100", 1), ("B02", "200", None)]
+    assert got == [("B01", "100", 7), ("B01", "200", 5)]
+    # keys never become columns, whatever the files hold
+    read = read_documents_variant(spark, os.path.join(tmpdir_path, "*.json"))
+    assert read.columns == ["doc", "file_name"]
+    long = document_entries(read.withColumn("asin", item_id_from_path("file_name", "suffix")).drop("file_name"))
+    assert sorted((r.asin, r.key, r.value) for r in long.collect() if r.key != "500") == [
+        ("B01", "100", 7), ("B01", "200", 5), ("B02", "100", 1), ("B02", "300", None), ("B02", "400", None)]
 
 
 def test_single_file_csv_export(spark, tmpdir_path):
