@@ -35,7 +35,8 @@ def fit_label_codes_multi(df: DataFrame, columns: list[str]) -> DataFrame:
     (a table with one row per column)."""
     pairs = F.explode(F.array(*[F.struct(F.lit(c).alias("column"),
                                          F.col(c).cast("string").alias("value")) for c in columns]))
-    stacked = df.select(pairs.alias("e")).select("e.*").where(F.col("value").isNotNull()).distinct()
+    # equal rows of the columns are one before they are taken apart
+    stacked = df.select(*columns).distinct().select(pairs.alias("e")).select("e.*").where(F.col("value").isNotNull()).distinct()
     positioned = with_position(stacked, ["column", "value"], "_pos")
     firsts = positioned.groupBy("column").agg(F.min("_pos").alias("_first"))
     return materialize(positioned.join(F.broadcast(firsts), "column").select(
@@ -168,9 +169,10 @@ def kfold_target_encode(df: DataFrame, category: str, target: str, fold_col: str
     last fold's out-of-fold mean when it exists and the all-rows mean
     otherwise."""
     t = F.col(target).cast("decimal(38,6)")
-    per = df.groupBy(category, fold_col).agg(F.sum(t).alias("_sf"), F.count(t).alias("_nf"))
+    # the one table that everything below is taken from
+    per = materialize(df.groupBy(category, fold_col).agg(F.sum(t).alias("_sf"), F.count(t).alias("_nf")))
     tot = per.groupBy(category).agg(F.sum("_sf").alias("_st"), F.sum("_nf").alias("_nt"))
-    glob = df.agg((F.sum(t).cast("double") / F.count(t)).alias("_g"))
+    glob = per.agg((F.sum("_sf").cast("double") / F.sum("_nf")).alias("_g"))
     g = glob.select("_g").scalar()
     comp = per.join(tot, category).select(
         category, fold_col,
@@ -187,6 +189,35 @@ def kfold_target_encode(df: DataFrame, category: str, target: str, fold_col: str
     return enc, mapping
 
 
+def target_maps(df: DataFrame, columns: list[str], target: str, fold_col: str, n_folds: int = 5,
+                suffix: str = "_te") -> tuple[DataFrame, DataFrame]:
+    """Out-of-fold target means of several columns, and one mapping table to
+    save: (column, value, mean_all, mean_last_fold), with a row of null value
+    per column that holds the mean of all rows, for values not seen."""
+    out, maps = df, None
+    for c in columns:
+        out, m = kfold_target_encode(out, c, target, fold_col, c + suffix, n_folds)
+        rest = df.agg(F.round(F.sum(F.col(target).cast("decimal(38,6)")).cast("double") / F.count(target), 4).alias("m"))
+        part = m.where(F.col(c).isNotNull()).select(F.lit(c).alias("column"), F.col(c).cast("string").alias("value"),
+                                                    "mean_all", "mean_last_fold")
+        part = part.unionByName(rest.select(F.lit(c).alias("column"), F.lit(None).cast("string").alias("value"),
+                                            F.col("m").alias("mean_all"), F.col("m").alias("mean_last_fold")))
+        maps = part if maps is None else maps.unionByName(part)
+    return out, maps
+
+
+def apply_target_maps(df: DataFrame, maps: DataFrame, columns: list[str], use: str = "mean_all", suffix: str = "_te") -> DataFrame:
+    """Serving: each column's mean from a loaded mapping, that of all rows for
+    a value that is null or not in it."""
+    out = df
+    for c in columns:
+        own = maps.where(F.col("column") == c)
+        rest = own.where("value IS NULL").select(F.first(use)).scalar()
+        out = lookup(out, c, own.where("value IS NOT NULL"), c + suffix, value=use, default=None)
+        out = out.withColumn(c + suffix, F.coalesce(c + suffix, rest))
+    return out
+
+
 # ---- first rows -----------------------------------------------------------
 
 def first_per_key(df, key, order_cols, value_cols):

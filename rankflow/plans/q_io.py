@@ -12,35 +12,44 @@ from rankflow.sources.readers import (read_csv_skip_long_rows, read_csv_strings,
 from rankflow.sources.sinks import write_csv, write_parquet
 
 
-@query("roundtrip_parquet", "SELECT n_nationkey, n_name, n_regionkey FROM nation")
+@query("roundtrip_parquet", "SELECT c_custkey, c_name, c_acctbal, c_mktsegment, CAST(c_nationkey AS INTEGER) AS c_nationkey FROM customer")
 def roundtrip_parquet(spark, sf_dir):
     """Partitioned parquet sink, then scan back."""
-    path = scratch_path(spark, "nation-parquet")
-    write_parquet(C.table(spark, sf_dir, "nation"), path, partition_by=["n_regionkey"])
+    path = scratch_path(spark, "customer-parquet")
+    write_parquet(C.table(spark, sf_dir, "customer"), path, partition_by=["c_nationkey"])
     back = spark.read.parquet(path)
-    return back.select("n_nationkey", "n_name", F.col("n_regionkey").cast("int"))
+    return back.select("c_custkey", "c_name", "c_acctbal", "c_mktsegment", F.col("c_nationkey").cast("int"))
 
 
-@query("roundtrip_csv", "SELECT r_regionkey, r_name FROM region")
+_QUOTED = "'say \"' || coalesce(text, '-') || '\", ' || lang"
+
+
+@query("roundtrip_csv", f"SELECT doc_id, md5(text) AS text_md5, md5({_QUOTED}) AS quoted_md5, lang FROM documents")
 def roundtrip_csv(spark, sf_dir):
-    """CSV export with header (one file per task -- the single-file export
-    funnels everything through one task and is kept for small extracts
-    only), read back as all-string columns and typed again (S11 S3 S6)."""
-    path = scratch_path(spark, "region-csv")
-    write_csv(C.table(spark, sf_dir, "region"), path)
-    back = read_csv_strings(spark, path)
-    return back.select(F.col("r_regionkey").cast("int"), "r_name")
+    """Whole document texts with their line breaks, and once more between
+    quotes and a comma, exported as CSV with a header (one file per task),
+    read back as all-string columns and typed again (S11 S3 S6)."""
+    path = scratch_path(spark, "documents-csv")
+    d = C.table(spark, sf_dir, "documents")
+    quoted = F.concat(F.lit('say "'), F.coalesce("text", F.lit("-")), F.lit('", '), "lang")
+    write_csv(d.select("doc_id", "text", quoted.alias("quoted"), "lang"), path)
+    back = read_csv_strings(spark, path, multi_line=True)
+    return back.select(F.col("doc_id").cast("long").alias("doc_id"), F.md5("text").alias("text_md5"),
+                       F.md5("quoted").alias("quoted_md5"), "lang")
+
+
+_LEGACY = "c_name || ' café, \"dit ' || c_mktsegment || '\"'"
 
 
-@query("roundtrip_csv_latin1", "SELECT n_nationkey, n_name || ' café' AS n_name FROM nation")
+@query("roundtrip_csv_latin1", f"SELECT CAST(c_custkey AS BIGINT) AS c_custkey, {_LEGACY} AS c_name, c_mktsegment FROM customer")
 def roundtrip_csv_latin1(spark, sf_dir):
-    """CSV written and read in ISO-8859-1."""
-    path = scratch_path(spark, "nation-latin1")
-    n = C.table(spark, sf_dir, "nation").select(
-        "n_nationkey", F.concat("n_name", F.lit(" café")).alias("n_name"))
-    n.write.mode("overwrite").option("header", True).option("encoding", "ISO-8859-1").csv(path)
+    """CSV with accents, quotes and commas written and read in ISO-8859-1."""
+    path = scratch_path(spark, "customer-latin1")
+    c = C.table(spark, sf_dir, "customer").select(
+        "c_custkey", F.concat("c_name", F.lit(' café, "dit '), "c_mktsegment", F.lit('"')).alias("c_name"), "c_mktsegment")
+    write_csv(c, path, encoding="ISO-8859-1")
     back = read_csv_strings(spark, path, encoding="ISO-8859-1")
-    return back.select(F.col("n_nationkey").cast("int"), "n_name")
+    return back.select(F.col("c_custkey").cast("long").alias("c_custkey"), "c_name", "c_mktsegment")
 
 
 _BAD_SQL = """

@@ -170,3 +170,70 @@ def train_rank_factors(spark, sf_dir):
     chosen = M.select_model(Pipeline(stages=[machine]), grid, rows.where("split = 'train' AND NOT is_val"),
                             rows.where("split = 'train' AND is_val"), "scaled", f"{base}/model")
     return M.report(chosen, ["factors=4 reg=0.01", "factors=8 reg=0.1"], rows.where("split = 'test'"), scale, "rank")
+
+
+def _oof(c: str) -> str:
+    return (f"per_{c} AS (SELECT {c}, fold, sum(CAST(rank AS DECIMAL(38,6))) AS s, count(rank) AS n FROM folded GROUP BY 1, 2), "
+            f"te_{c} AS (SELECT {c}, fold, CAST(sum(s) OVER (PARTITION BY {c}) - s AS DOUBLE) / "
+            f"nullif(sum(n) OVER (PARTITION BY {c}) - n, 0) AS m FROM per_{c})")
+
+
+_TE_SQL = S.with_(S.META, S.OBS, S.FACTS, S.DAILY).rstrip() + ",\n" + ",\n".join([
+    "folded AS (SELECT *, CAST(('0x' || substr(md5(asin || '|' || timestamp || 'fold'), 1, 8)) AS BIGINT) % 100 % 5 AS fold FROM daily)",
+    "g AS (SELECT CAST(sum(CAST(rank AS DECIMAL(38,6))) AS DOUBLE) / count(rank) AS gm FROM folded)",
+    _oof("author"), _oof("publisher"),
+    "enc AS (SELECT f.asin, f.timestamp, f.rank, f.fold, round(coalesce(a.m, gm), 4) AS author_te, round(coalesce(p.m, gm), 4) AS publisher_te "
+    "FROM folded f JOIN te_author a ON f.author = a.author AND f.fold = a.fold "
+    "JOIN te_publisher p ON f.publisher = p.publisher AND f.fold = p.fold, g)",
+    "mm AS (SELECT min(author_te) AS al, max(author_te) AS ah, min(publisher_te) AS pl, max(publisher_te) AS ph FROM enc)",
+    "means AS (SELECT (SELECT max(author) FROM folded) AS who, gm FROM g)",
+]) + """
+SELECT asin, timestamp, rank, fold, round((author_te - al) / nullif(ah - al, 0), 6) AS author_te,
+       round((publisher_te - pl) / nullif(ph - pl, 0), 6) AS publisher_te,
+       (SELECT round(CAST(sum(s) AS DOUBLE) / sum(n), 4) FROM per_author WHERE author = (SELECT who FROM means)) AS served_known,
+       (SELECT round(gm, 4) FROM g) AS served_unknown
+FROM enc, mm"""
+
+
+@query("target_encoded_table", _TE_SQL)
+def target_encoded_table(spark, sf_dir):
+    """The rank table with author and publisher as out-of-fold target means,
+    scaled; the mapping and the scaler are saved and loaded again, and the
+    loaded mapping serves a known and an unknown author (T4 S13 M1 A19 X26)."""
+    from rankflow.operators.features import apply_minmax, apply_target_maps, fit_minmax, hash_fraction, target_maps
+    from rankflow.sources.sinks import load_mapping, save_mapping
+
+    daily = materialize(C.book_daily(spark, sf_dir).select("asin", "timestamp", "rank", "author", "publisher"))
+    folded = daily.withColumn("fold", hash_fraction(F.concat_ws("|", "asin", "timestamp"), "fold") % 5)
+    enc, maps = target_maps(folded, ["author", "publisher"], "rank", "fold")
+    enc = materialize(enc)
+    base, cols = scratch_path(spark, "target-maps"), ["author_te", "publisher_te"]
+    save_mapping(maps, f"{base}/means")
+    save_mapping(fit_minmax(enc, cols), f"{base}/scaler")
+    loaded, scaler = load_mapping(spark, f"{base}/means"), load_mapping(spark, f"{base}/scaler")
+    asked = daily.agg(F.max("author").alias("author")).withColumn("k", F.lit("served_known")).unionByName(
+        spark.range(1).select(F.lit("nobody").alias("author"), F.lit("served_unknown").alias("k")))
+    served = apply_target_maps(asked, loaded, ["author"])
+    one = served.agg(*[F.max(F.when(F.col("k") == k, F.col("author_te"))).alias(k) for k in ("served_known", "served_unknown")])
+    out = apply_minmax(enc, scaler, cols, digits=6)
+    return out.select("asin", "timestamp", "rank", F.col("fold").cast("long").alias("fold"), *cols).withColumn(
+        "one", one.select(F.struct("*")).scalar()).select("*", "one.*").drop("one")
+
+
+@query("score_saved_model", """
+WITH x AS (SELECT o_orderkey, o_totalprice AS y, CAST(o_custkey % 100 AS DOUBLE) AS a FROM orders),
+m AS (SELECT regr_slope(y, a) AS s, regr_intercept(y, a) AS i FROM x)
+SELECT o_orderkey, y AS actual, round(i + s * a, 2) AS predicted FROM x, m""")
+def score_saved_model(spark, sf_dir):
+    """A regression fitted on all orders, saved, loaded and applied to every
+    row: least squares on one feature, which SQL computes too (M6 M7)."""
+    from pyspark.ml.feature import VectorAssembler
+    from pyspark.ml.regression import LinearRegression
+    from rankflow.operators.learn import load_model, predictions, save_model
+
+    o = C.table(spark, sf_dir, "orders").select("o_orderkey", F.col("o_totalprice").alias("y"),
+                                                (F.col("o_custkey") % 100).cast("double").alias("a"))
+    stages = [VectorAssembler(inputCols=["a"], outputCol="features"), LinearRegression(labelCol="y", solver="normal")]
+    path = f"{scratch_path(spark, 'line')}/model"
+    save_model(Pipeline(stages=stages).fit(o), path)
+    return predictions(load_model(path), o, ["o_orderkey"], "y").withColumn("predicted", F.round("predicted", 2))

@@ -23,9 +23,11 @@ def write_parquet(df: DataFrame, path: str, partition_by: list[str] | None = Non
     w.parquet(path)
 
 
-def write_csv(df: DataFrame, path: str, header: bool = True, mode: str = "overwrite") -> None:
-    """CSV sink (UTF-8, no index, quotes doubled), one file per partition."""
-    df.write.mode(mode).option("header", header).option("encoding", "UTF-8").option("escape", '"').csv(path)
+def write_csv(df: DataFrame, path: str, header: bool = True, mode: str = "overwrite", encoding: str = "UTF-8") -> None:
+    """CSV sink (no index, quotes doubled, white space kept), one file per
+    partition."""
+    (df.write.mode(mode).option("header", header).option("encoding", encoding).option("escape", '"')
+     .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False).csv(path))
 
 
 def write_single_csv(df: DataFrame, path: str, header: bool = True) -> None:
