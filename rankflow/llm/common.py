@@ -160,6 +160,19 @@ def hash_words(texts: list, lower: bool = False):
     return h, start - 1, end - 1, counts
 
 
+def fresh(name: str, taken) -> str:
+    """``name``, with underscores before it until no column has that name."""
+    lower = {c.lower() for c in taken}
+    while name.lower() in lower:
+        name = "_" + name
+    return name
+
+
+def whole_row(df: DataFrame) -> Column:
+    """64-bit hash of all columns that can be hashed (no maps, no variants)."""
+    return F.xxhash64(*[F.col(f"`{c}`") for c, kind in df.dtypes if "map<" not in kind and "variant" not in kind])
+
+
 def in_parts(texts: list, size: int = 1 << 21):
     """Slices of a list of texts (or bytes) of about ``size`` each."""
     part, held = [], 0

@@ -32,7 +32,7 @@ import pickle
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from rankflow.llm.common import (attempt_name, bytes_of, file_system, ship, task_cache, written)
+from rankflow.llm.common import (attempt_name, bytes_of, file_system, in_parts, ship, task_cache, written)
 from rankflow.session import scratch_path
 
 BLOCK_WORDS = 200_000
@@ -236,7 +236,8 @@ def build_automata(benchmark: DataFrame, item_col: str = "item_id", text_col: st
                 out.write(pickle.dumps(Automaton(window).fit(rows).__dict__, protocol=5))
             yield pa.RecordBatch.from_arrays([pa.array([f"{folder}/{name}"])], ["path"])
 
-    made = items.repartition(blocks, F.xxhash64("text")).mapInArrow(build, "path string")
+    dealt = items.repartition(blocks, F.xxhash64("text")) if blocks > 1 else items.repartition(1)
+    made = dealt.mapInArrow(build, "path string")
     return [r.path for r in written(made, "automata-names").orderBy("path").collect()]
 
 
@@ -254,7 +255,12 @@ def load(path: str, window: int) -> Automaton:
 
 
 def scan_texts(texts: list, paths: list, window: int) -> list:
-    """(number of words, merged hit spans, items) for each text."""
+    """(number of words, merged hit spans, items) for each text; the words of
+    about two megabytes of text are held at a time."""
+    return [x for part in in_parts(texts) for x in _scan_part(part, paths, window)]
+
+
+def _scan_part(texts: list, paths: list, window: int) -> list:
     words = [words_of(t) if t else [] for t in texts]
     spans, found = [[] for _ in texts], [set() for _ in texts]
     for path in paths:

@@ -30,7 +30,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from rankflow.llm.common import ship, shuffle_partitions, word_count, written
+from rankflow.llm.common import fresh, ship, shuffle_partitions, whole_row, word_count, written
 from rankflow.operators.ordering import with_position
 
 WEIGHTS = (3, 1, 2)
@@ -131,13 +131,13 @@ def _pivot(seed: int, last: bool):
 
 def mix(docs: DataFrame, id_col: str = "doc_id", source_col: str = "source", text_col: str = "text",
         weights=WEIGHTS, share: float = SHARE, cap: float = CAP, seed: int = 17,
-        leaf_rows: int = LEAF_ROWS, arity: int = ARITY, keep_hash: bool = False) -> DataFrame:
+        leaf_rows: int = LEAF_ROWS, arity: int = ARITY, key_col: str | None = None) -> DataFrame:
     """One row per document: doc_id, size, source_size, target, copies, taken
-    (words), and with ``keep_hash`` also source and text_hash."""
+    (words), and with ``key_col`` also source and that column as row_key."""
     cols = [F.col(id_col).cast("long").alias("doc_id"), F.col(source_col).alias("source"),
             word_count(F.col(text_col)).alias("size")]
-    if keep_hash:
-        cols.append(F.xxhash64(F.col(text_col)).alias("text_hash"))
+    if key_col:
+        cols.append(F.col(f"`{key_col}`").alias("row_key"))
     sized = written(docs.select(*cols), "sized")
     targets = written(source_targets(sized.select("source", "size"), weights, share, cap), "targets")
     n = sized.count()
@@ -171,7 +171,7 @@ def mix(docs: DataFrame, id_col: str = "doc_id", source_col: str = "source", tex
     for p in parts[1:]:
         out = out.unionByName(p)
     copies = (F.col("whole") + F.col("part")).cast("long")
-    extra = ["source", "text_hash"] if keep_hash else []
+    extra = ["source", "row_key"] if key_col else []
     return out.select("doc_id", "size", "source_size", "target", copies.alias("copies"),
                       (F.col("size") * copies).alias("taken"), *extra)
 
@@ -179,19 +179,19 @@ def mix(docs: DataFrame, id_col: str = "doc_id", source_col: str = "source", tex
 def mixed_documents(docs: DataFrame, id_col: str = "doc_id", source_col: str = "source",
                     text_col: str = "text", **options) -> DataFrame:
     """The mix itself: each row of ``docs`` as often as :func:`mix` takes it.
-    Equal rows (id, source and text) stand for one document whose copies add
-    up."""
-    plan = mix(docs, id_col, source_col, text_col, keep_hash=True, **options)
-    plan = plan.groupBy("doc_id", "source", "text_hash").agg(F.sum("copies").alias("mix_copies")).where("mix_copies > 0")
-    plan = plan.select(F.col("doc_id").alias("mix_id"), F.col("source").alias("mix_source"),
-                       F.col("text_hash").alias("mix_hash"), "mix_copies")
+    Rows equal in every column stand for one document whose copies add up;
+    rows that share an id and a text but differ elsewhere are documents of
+    their own.  Any column names are allowed."""
     names = docs.columns
-    keyed = docs.withColumn("mix_hash0", F.xxhash64(F.col(text_col)))
-    keyed = keyed.dropDuplicates([id_col, source_col, "mix_hash0"])
-    on = (F.col(id_col).cast("long").eqNullSafe(F.col("mix_id")) & F.col(source_col).eqNullSafe(F.col("mix_source"))
-          & F.col("mix_hash0").eqNullSafe(F.col("mix_hash")))
-    return (keyed.join(plan, on).withColumn("mix_copy", F.explode(F.sequence(F.lit(1).cast("long"), F.col("mix_copies"))))
-            .select(*names))
+    key, copies, number = (fresh(c, names) for c in ("mix_key", "mix_copies", "mix_copy"))
+    keyed = docs.withColumn(key, whole_row(docs))
+    plan = mix(keyed, id_col, source_col, text_col, key_col=key, **options)
+    plan = plan.groupBy("doc_id", "source", "row_key").agg(F.sum("copies").alias("n")).where("n > 0").alias("plan")
+    keyed = keyed.dropDuplicates([id_col, source_col, key]).alias("rows")
+    on = (F.col(f"rows.`{id_col}`").cast("long").eqNullSafe(F.col("plan.doc_id"))
+          & F.col(f"rows.`{source_col}`").eqNullSafe(F.col("plan.source")) & (F.col(f"rows.`{key}`") == F.col("plan.row_key")))
+    taken = keyed.join(plan, on).select("rows.*", F.col("plan.n").alias(copies))
+    return (taken.withColumn(number, F.explode(F.sequence(F.lit(1).cast("long"), F.col(copies)))).select(*[f"`{c}`" for c in names]))
 
 
 ship(__name__)

@@ -43,7 +43,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from rankflow.llm.common import bytes_of, discard, hash_words, in_parts, mixed, ship, shuffle_partitions, written
+from rankflow.llm.common import bytes_of, discard, fresh, hash_words, in_parts, mixed, ship, shuffle_partitions, whole_row, written
 from rankflow.llm.components import components
 
 SHINGLE = 5
@@ -425,11 +425,11 @@ def drop_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str
     """The rows of ``docs`` that stand for their component, one per id and
     text (of several the one whose columns have the smallest hash), and every
     row without an id."""
-    kept = near_duplicates(docs, id_col, text_col, **options).where("kept").select(F.col("doc_id").alias("kept_id"))
-    named = docs.join(kept, F.col(id_col).cast("long") == F.col("kept_id"), "left_semi")
-    plain = [F.col(c) for c, kind in docs.dtypes if "map<" not in kind and "variant" not in kind]
-    same = Window.partitionBy(id_col, F.md5(F.col(text_col).cast("binary"))).orderBy(F.xxhash64(*plain))
-    named = named.withColumn("_copy", F.row_number().over(same)).where("_copy = 1").drop("_copy")
+    mark, place = fresh("kept_id", docs.columns), fresh("copy_no", docs.columns)
+    kept = near_duplicates(docs, id_col, text_col, **options).where("kept").select(F.col("doc_id").alias(mark))
+    named = docs.join(kept, F.col(id_col).cast("long") == F.col(mark), "left_semi")
+    same = Window.partitionBy(id_col, F.md5(F.col(text_col).cast("binary"))).orderBy(whole_row(docs))
+    named = named.withColumn(place, F.row_number().over(same)).where(F.col(place) == 1).drop(place)
     return named.unionByName(docs.where(F.col(id_col).isNull()))
 
 

@@ -58,10 +58,10 @@ WITH p AS (SELECT page_id, row_number() OVER () AS r,
                   list_filter(list_transform(regexp_split_to_array(coalesce(html, ''), '<[^>]*>|\n'),
                                              lambda x: trim(x, ' ' || chr(9) || chr(13))), lambda x: x <> '') AS lines
            FROM pages),
-site AS (SELECT host, count(*) AS n_pages FROM p WHERE host IS NOT NULL GROUP BY 1 HAVING count(*) >= 10),
+site AS (SELECT host, count(*) AS n_pages FROM p WHERE host IS NOT NULL GROUP BY 1),
 seen AS (SELECT host, line, count(*) AS n_with FROM (SELECT host, unnest(list_distinct(lines)) AS line FROM p WHERE host IS NOT NULL)
          GROUP BY 1, 2),
-common AS (SELECT host, list(line) AS common FROM seen JOIN site USING (host) WHERE n_with > 0.2 * n_pages GROUP BY 1),
+common AS (SELECT host, list(line) AS common FROM seen JOIN site USING (host) WHERE n_with >= 2 AND n_with > 0.2 * n_pages GROUP BY 1),
 kept AS (SELECT p.page_id, p.host, lines, list_filter(lines, lambda x: NOT coalesce(list_contains(common, x), false)) AS kept
          FROM p LEFT JOIN common USING (host))
 SELECT page_id, host, len(lines)::bigint AS n_lines, (len(lines) - len(kept))::bigint AS n_dropped,

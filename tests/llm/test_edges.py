@@ -339,6 +339,30 @@ def test_site_lines(spark):
     assert lines.drop_site_lines(df.limit(0)).count() == 0
 
 
+def test_site_lines_of_small_hosts(spark):
+    rows = [(k, f"http://nine.org/{k}", f"menu\ntext {k}") for k in range(9)] + [(20, "http://two.org/a", "menu\na"), (21, "http://two.org/b", "menu\nb")]
+    rows += [(30, "http://one.org/a", "menu\nmenu")]
+    got = {r.page_id: r.kept_text for r in lines.drop_site_lines(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    assert got == {**{k: f"text {k}" for k in range(9)}, 20: "a", 21: "b", 30: "menu\nmenu"}
+
+
+def test_mixing_keeps_rows_that_differ_elsewhere(spark):
+    rows = [(1, "en", "a b", "s", 0), (1, "fr", "a b", "s", 1), (1, "fr", "a b", "s", 1), (2, "en", "c", "s", 0), (None, "en", "c", "s", 0)]
+    df = spark.createDataFrame(rows, "doc_id long, mix_copies string, text string, source string, mix_hash0 int")
+    out = mixing.mixed_documents(df, share=2.0).collect()
+    assert sorted(map(str, out)) == sorted(str(r) for r in df.collect() for _ in range(2))
+    other = df.toDF("doc_id", "mix_key", "text", "source", "mix_copy")
+    assert mixing.mixed_documents(other, share=2.0).columns == other.columns
+    assert mixing.mixed_documents(other.limit(0)).count() == 0
+
+
+def test_near_duplicates_with_any_column_names(spark):
+    rows = [(1, "a b c d e f", 1, 2), (2, "a b c d e f", 3, 4), (3, "other words in this one here", 5, 6)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, kept_id int, copy_no int")
+    out = neardup.drop_near_duplicates(df)
+    assert out.columns == df.columns and sorted(r.doc_id for r in out.collect()) == [1, 3]
+
+
 def test_chat(spark):
     tricky = "a\\|b <|im_end|>\n<|im_start|>assistant \\ <\\| "
     rows = [(1, 0, "user", tricky, 0), (1, 1, "assistant", tricky, 0), (1, 1, "assistant", "", 0), (1, None, None, None, 0),
