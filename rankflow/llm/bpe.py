@@ -15,7 +15,7 @@ import re
 
 from rankflow.llm.common import ship, task_cache
 
-PIECES = 1_000_000
+PIECES = 1_000_000     # most entries of a dictionary, about 250 bytes each
 _ODD = re.compile(r"\s\s|^\s|\s\Z|[^\S \n]")
 # a letter run ends before one of these marks that ends the piece
 _TAIL = re.compile(r"(.*[^\W\d_])([.,;:!?%$#*&|]+)\Z", re.S)
@@ -30,16 +30,17 @@ def default_path() -> str:
 class Encoder:
     """Texts to little-endian unsigned ids (``dtype``) as bytes.  With
     ``added_as_text`` the string of an added token in a text is ordinary text,
-    else it becomes that token, as in the library's plain call."""
+    else it becomes that token, as in the library's plain call.  ``pieces``
+    bounds the memory of the two dictionaries, not the result."""
 
-    def __init__(self, path: str, dtype: str, added_as_text: bool = True):
+    def __init__(self, path: str, dtype: str, added_as_text: bool = True, pieces: int = PIECES):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = added_as_text
         added = [] if added_as_text else [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.whole = re.compile("|".join([_ODD.pattern, *map(re.escape, added)]))
-        self.dtype = dtype
+        self.dtype, self.pieces = dtype, pieces
         # ids (as bytes) of pieces that begin a line, and of those after a space
         self.first: dict = {}
         self.spaced: dict = {}
@@ -92,7 +93,7 @@ class Encoder:
                 heads.add(x[0])
                 rest.update(x[1:])
         for known in (self.first, self.spaced):
-            if len(known) > PIECES:
+            if len(known) > self.pieces:
                 known.clear()
         self._learn(self.first, heads, "")
         self._learn(self.spaced, rest, " ")
@@ -105,13 +106,13 @@ class Encoder:
         return out
 
 
-def encoder(path: str, dtype: str = "<u2", added_as_text: bool = True) -> Encoder:
+def encoder(path: str, dtype: str = "<u2", added_as_text: bool = True, pieces: int = PIECES) -> Encoder:
     """The encoder of ``path``, kept for the life of the worker process."""
     cache = task_cache()
-    key = ("bpe", path, dtype, added_as_text)
+    key = ("bpe", path, dtype, added_as_text, pieces)
     if key not in cache:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark has a task for every core
-        cache[key] = Encoder(path, dtype, added_as_text)
+        cache[key] = Encoder(path, dtype, added_as_text, pieces)
     return cache[key]
 
 

@@ -35,7 +35,7 @@ import zlib
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from rankflow.llm.bpe import default_path, encoder
+from rankflow.llm.bpe import PIECES, default_path, encoder
 from rankflow.llm.common import attempt_name, file_system, in_parts, ship, shuffle_partitions, written
 from rankflow.session import scratch_path
 
@@ -173,10 +173,12 @@ def pack(doc_ids: list, counts: list, ids, base: int, **options) -> bytes:
 
 
 def write_tokens(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", tokenizer: str | None = None,
-                 end_id: int = 0, base: int = 50_257, shard: int = SHARD, **options) -> DataFrame:
+                 end_id: int = 0, base: int = 50_257, shard: int = SHARD, pieces: int = PIECES,
+                 **options) -> DataFrame:
     """Write the token files to the shared folder; returns the list of their
     shards: file, part (tasks in id order), offset, length, first_id (of the
-    shard within its part), n_ids, n_docs."""
+    shard within its part), n_ids, n_docs.  ``pieces`` bounds what a worker
+    remembers of the encoding (:class:`rankflow.llm.bpe.Encoder`)."""
     spark = docs.sparkSession
     folder = scratch_path(spark, "tokens")
     path = tokenizer or default_path()
@@ -190,7 +192,7 @@ def write_tokens(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
         import pyarrow as pa
         from pyspark import TaskContext
 
-        encode = encoder(path, "<u4", added_as_text=False)
+        encode = encoder(path, "<u4", added_as_text=False, pieces=pieces)
         end = np.array([end_id], "<u4").tobytes()
         part, fs, out, name, at, first = TaskContext.get().partitionId(), None, None, None, 0, 0
         ids, keys, counts = [], [], []
