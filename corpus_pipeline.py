@@ -15,6 +15,8 @@ from rankflow.llm.quality import quality_filter
 from rankflow.llm.repair import read_tokens, write_tokens
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
+# encoded pieces that a worker keeps besides what the other stages hold
+PIECES = 200_000
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -41,7 +43,7 @@ def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The documents' token ids written to compressed files and read back:
     one row per document with its place, length and checksum."""
-    return read_tokens(write_tokens(docs.select(*COLUMNS)), keep_ids=False)
+    return read_tokens(write_tokens(docs.select(*COLUMNS), pieces=PIECES), keep_ids=False)
 
 
 STAGES = [
