@@ -1,24 +1,35 @@
-"""Token ids of whole texts with the tokenizers library, word by word.
+"""Token ids of whole texts with the tokenizers library, piece by piece.
 
 A byte-level tokenizer with the usual pattern always ends a piece before a
-single space that stands between two other non-space characters, and on
-either side of a single line break.  So a text is cut there, each distinct
-piece is encoded once by the library, and the ids are joined.  A text with
-any other white space (doubled, leading, trailing) is encoded as a whole, and
-so is one that contains an added token, unless these are ordinary text.
+single space that stands between two other non-space characters, on either
+side of a single line break, and between a letter, a digit and a mark next to
+one another (an apostrophe belongs to what follows).  So a text is cut there,
+each distinct piece is encoded once by the library, and the ids are joined.
+Letters are A-Z and those of Latin-1; no cut is made next to other characters
+beyond ASCII.  A piece of one kind of characters is one word of the library's
+model; any other piece goes through the library's whole call.  A text with
+other white space (doubled, leading, trailing) is encoded as a whole, and so
+is one that contains an added token, unless these are ordinary text, and every
+text of a tokenizer of another kind.
+
+Pieces are found, hashed and looked up as arrays (no Python object for a piece
+that is known already).  A piece is known by 128 bits of hash.
 """
 
 from __future__ import annotations
 
+import json
 import os
-import re
 
-from rankflow.llm.common import ship, task_cache
+from rankflow.llm.common import mixed, ship, task_cache
 
-PIECES = 1_000_000     # most entries of a dictionary, about 250 bytes each
-_ODD = re.compile(r"\s\s|^\s|\s\Z|[^\S \n]")
-# a letter run ends before one of these marks that ends the piece
-_TAIL = re.compile(r"(.*[^\W\d_])([.,;:!?%$#*&|]+)\Z", re.S)
+PIECES = 1_000_000     # most remembered pieces, about 40 bytes each
+_LONG = 4096           # bytes of a piece that is hashed by itself
+STRETCH = 1 << 21      # most characters of a text that are cut up at once
+# classes of characters: other, letter, digit, mark, separator
+_OTHER, _LETTER, _DIGIT, _MARK, _GAP = range(5)
+# what stands before a piece: nothing, a space, a line break
+_PLAIN, _SPACED, _LINE = range(3)
 
 
 def default_path() -> str:
@@ -27,82 +38,227 @@ def default_path() -> str:
     return public_tokenizers.path("byte_bpe_50k.json")
 
 
+def _byte_chars() -> dict:
+    """The character that a byte-level vocabulary has for each byte: itself
+    where it is printable, else the next one from 256 on."""
+    printable = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    others = [b for b in range(256) if b not in printable]
+    return {**{b: chr(b) for b in printable}, **{b: chr(256 + k) for k, b in enumerate(others)}}
+
+
+def _classes():
+    import numpy as np
+
+    kind = np.zeros(256, np.uint8)
+    kind[33:127] = _MARK
+    kind[48:58] = _DIGIT
+    kind[65:91] = kind[97:123] = _LETTER
+    kind[[32, 10]] = _GAP
+    return kind
+
+
+def _hashes(joined: bytes, data, start, size, lead):
+    """Two 64-bit hashes of each piece and of what stands before it."""
+    import numpy as np
+    import xxhash
+
+    eight = np.lib.stride_tricks.as_strided(data[:8].view(np.uint64), (len(data) - 7,), (1,), writeable=False)
+    seed = size.astype(np.uint64) * np.uint64(4) + lead.astype(np.uint64) + np.uint64(1)
+    h, g = mixed(seed * np.uint64(0x9E3779B97F4A7C15)), mixed(seed * np.uint64(0xA0761D6478BD642F))
+    todo = np.flatnonzero(size <= _LONG)
+    at, left = start[todo], size[todo]
+    while len(todo):
+        some = eight[at] & (np.uint64(0xFFFFFFFFFFFFFFFF) >> (np.uint64(8) * (8 - np.minimum(left, 8)).astype(np.uint64)))
+        h[todo] = mixed((h[todo] ^ some) * np.uint64(0xC2B2AE3D27D4EB4F) + np.uint64(0x165667B19E3779F9))
+        g[todo] = mixed((g[todo] ^ some) * np.uint64(0xE7037ED1A0B428DB) + np.uint64(0x8EBC6AF09C88C6E3))
+        more = left > 8
+        todo, at, left = todo[more], at[more] + 8, left[more] - 8
+    for k in np.flatnonzero(size > _LONG).tolist():
+        d = xxhash.xxh3_128_intdigest(joined[start[k]:start[k] + size[k]], int(lead[k]))
+        h[k], g[k] = d & 0xFFFFFFFFFFFFFFFF, d >> 64
+    return h, g
+
+
+def _stretches(text: str, size: int = STRETCH):
+    """A long text in parts of about ``size`` that begin at its separators."""
+    at = 0
+    while len(text) - at > size:
+        k = max(text.rfind(" ", at + 1, at + size), text.rfind("\n", at + 1, at + size))
+        if k < 0:    # one word longer than that
+            k = min([x for x in (text.find(" ", at + size), text.find("\n", at + size)) if x >= 0], default=len(text))
+        yield text[at:k]
+        at = k
+    if at < len(text):
+        yield text[at:]
+
+
 class Encoder:
     """Texts to little-endian unsigned ids (``dtype``) as bytes.  With
     ``added_as_text`` the string of an added token in a text is ordinary text,
     else it becomes that token, as in the library's plain call.  ``pieces``
-    bounds the memory of the two dictionaries, not the result."""
+    bounds the memory of what is remembered, not the result."""
 
     def __init__(self, path: str, dtype: str, added_as_text: bool = True, pieces: int = PIECES):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = added_as_text
-        added = [] if added_as_text else [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
-        self.whole = re.compile("|".join([_ODD.pattern, *map(re.escape, added)]))
+        self.added = [] if added_as_text else [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
+        made = json.loads(self.tokenizer.to_str())
+        cut = made.get("pre_tokenizer") or {}
+        # the ways of a tokenizer for which the cuts above hold
+        self.cuts = (cut.get("type") == "ByteLevel" and cut.get("use_regex") and not cut.get("add_prefix_space")
+                     and made.get("normalizer") is None and made["model"]["type"] == "BPE")
         self.dtype, self.pieces = dtype, pieces
-        # ids (as bytes) of pieces that begin a line, and of those after a space
-        self.first: dict = {}
-        self.spaced: dict = {}
-        self.newline = self._ids(["\n"])[0]
-        (self.break_id,) = self.tokenizer.encode("\n", add_special_tokens=False).ids
+        self.kind = _classes()
+        self.chars = _byte_chars()
+        self.chars[10] = "\n"    # separates pieces here; no piece holds it
+        self.forget()
+        if self.cuts:
+            (self.break_id,) = self.tokenizer.encode("\n", add_special_tokens=False).ids
+
+    def forget(self) -> None:
+        """Start with no piece known: hashes in ascending order, and where the
+        ids of each are in ``ids``."""
+        import numpy as np
+
+        self.h, self.g = np.zeros(0, np.uint64), np.zeros(0, np.uint64)
+        self.at, self.n = np.zeros(0, np.int64), np.zeros(0, np.int64)
+        self.ids, self.used = np.zeros(1 << 16, self.dtype), 0
 
-    def _ids(self, texts: list) -> list:
+    def _whole(self, texts: list) -> list:
         import numpy as np
 
         return [np.array(e.ids, self.dtype).tobytes()
                 for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
-    def _pieces(self, pieces: list, lead: str) -> list:
-        """Ids of pieces: many are encoded as one text, each on a line of its
-        own, and cut at the ids of the line breaks."""
-        import numpy as np
+    def _words(self, pieces: list, lead: list) -> list:
+        """Ids of pieces of one kind of characters: words of the model."""
+        word = self.tokenizer.model.tokenize
+        space = self.chars[32]
+        named = b"\n".join(pieces).decode("latin-1").translate(self.chars).split("\n")
+        return [[t.id for t in word(space + p if k == _SPACED else p)] for p, k in zip(named, lead)]
 
-        out, width = [], np.dtype(self.dtype).itemsize
+    def _mixtures(self, pieces: list, lead: list) -> list:
+        """Ids of other pieces: many are encoded as one text, each on a line
+        of its own, and cut at the ids of the line breaks."""
+        out = []
         for k in range(0, len(pieces), 4096):
-            part = pieces[k:k + 4096]
-            ids = self.tokenizer.encode_batch_fast(["\n".join([lead + p for p in part])], add_special_tokens=False)[0].ids
-            ids = np.array(ids, self.dtype)
-            ends = np.append(np.flatnonzero(ids == self.break_id), len(ids)) * width
-            data, at = ids.tobytes(), 0
-            for end in ends.tolist():
-                out.append(data[at:end])
-                at = end + width
+            text = "\n".join([" " + p.decode() if s == _SPACED else p.decode()
+                              for p, s in zip(pieces[k:k + 4096], lead[k:k + 4096])])
+            line = []
+            for i in self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids:
+                if i == self.break_id:
+                    out.append(line)
+                    line = []
+                else:
+                    line.append(i)
+            out.append(line)
         return out
 
-    def _learn(self, known: dict, pieces: set, lead: str) -> None:
-        """Encode the pieces that are not known yet."""
-        new = pieces.difference(known)
-        tails = {p: m for p in new if (m := _TAIL.match(p))}
-        stems = {m[1] for m in tails.values()}.difference(known)
-        plain = list((new - tails.keys()) | stems)
-        known.update(zip(plain, self._pieces(plain, lead)))
-        ends = list({m[2] for m in tails.values()})
-        ends = dict(zip(ends, self._pieces(ends, "")))
-        for p, m in tails.items():
-            known[p] = known[m[1]] + ends[m[2]]
+    def _learn(self, h, g, pieces: list, lead, plain) -> None:
+        """Remember new pieces (hashes in ascending order)."""
+        import numpy as np
+
+        got = [None] * len(pieces)
+        for some, encode in ((np.flatnonzero(plain), self._words), (np.flatnonzero(~plain), self._mixtures)):
+            some = some.tolist()
+            if some:
+                for k, ids in zip(some, encode([pieces[k] for k in some], [lead[k] for k in some])):
+                    got[k] = [self.break_id, *ids] if lead[k] == _LINE else ids
+        n = np.array([len(x) for x in got], np.int64)
+        flat = np.array([i for x in got for i in x], self.dtype)
+        while self.used + len(flat) > len(self.ids):
+            self.ids = np.concatenate([self.ids, np.zeros_like(self.ids)])
+        self.ids[self.used:self.used + len(flat)] = flat
+        place = np.searchsorted(self.h, h)
+        at = self.used + np.cumsum(n) - n
+        self.used += len(flat)
+        self.h, self.g = np.insert(self.h, place, h), np.insert(self.g, place, g)
+        self.at, self.n = np.insert(self.at, place, at), np.insert(self.n, place, n)
+
+    def _known(self, h, g):
+        """(place of each hash among the known ones, whether it is there);
+        None where two pieces differ in the second hash only."""
+        import numpy as np
+
+        if not len(self.h):
+            return np.zeros(len(h), np.int64), np.zeros(len(h), bool)
+        place = np.minimum(np.searchsorted(self.h, h), len(self.h) - 1)
+        there = self.h[place] == h
+        return None if (self.g[place][there] != g[there]).any() else (place, there)
+
+    def _cut(self, texts: list) -> list:
+        """Ids of texts with single spaces and line breaks only; a text may
+        begin with one of these."""
+        import numpy as np
+
+        raw = [t.encode() for t in texts]
+        joined = b"\n" + b"\n".join(raw) + b"\n" * 9
+        data = np.frombuffer(joined, np.uint8)
+        kind = self.kind[data]
+        c3 = np.flatnonzero(data == 0xC3)        # letters of Latin-1, but for two signs
+        c3 = c3[(data[c3 + 1] != 0x97) & (data[c3 + 1] != 0xB7)]
+        kind[c3] = kind[c3 + 1] = _LETTER
+        a, b = kind[:-1], kind[1:]
+        border = (a != b) & (a != _OTHER) & (b != _OTHER) & (data[:-1] != 39)
+        # next to a separator a piece begins or ends, whatever it is made of
+        gap = kind == _GAP
+        border |= gap[:-1] | gap[1:]
+        edge = np.flatnonzero(border) + 1
+        inside = ~gap[edge]
+        start = edge[inside]
+        end = edge[np.flatnonzero(inside) + 1]
+        size = end - start
+        lead = np.where(data[start - 1] == 32, _SPACED, np.where(data[start - 1] == 10, _LINE, _PLAIN)).astype(np.uint8)
+        firsts = np.cumsum([1] + [len(t) + 1 for t in raw])
+        first = np.searchsorted(start, firsts)
+        lead[first[:-1][~gap[firsts[:-1]]]] = _PLAIN    # the line break before a text is not its own
+        h, g = _hashes(joined, data, start, size, lead)
+        names, some, which = np.unique(h, return_index=True, return_inverse=True)
+        second = g[some]
+        found = self._known(names, second)
+        if found is None or (second[which] != g).any():
+            return self._whole(texts)
+        _, there = found
+        if not there.all():
+            if len(self.h) > self.pieces:
+                self.forget()
+                there = np.zeros(len(names), bool)
+            new = some[~there]
+            strange = np.concatenate([[0], np.cumsum((kind == _OTHER) | (data == 39))])
+            plain = strange[end[new]] == strange[start[new]]
+            pieces = [joined[s:e] for s, e in zip(start[new].tolist(), end[new].tolist())]
+            self._learn(names[~there], second[~there], pieces, lead[new].tolist(), plain)
+        place, _ = self._known(names, second)
+        n = self.n[place][which]
+        to = np.concatenate([[0], np.cumsum(n)])
+        out = self.ids[np.repeat(self.at[place][which] - to[:-1], n) + np.arange(to[-1])].tobytes()
+        ends = (to[first] * np.dtype(self.dtype).itemsize).tolist()
+        return [out[s:e] for s, e in zip(ends, ends[1:])]
+
+    def _is_odd(self, t: str) -> bool:
+        if not self.cuts or any(a in t for a in self.added):
+            return True
+        if "  " in t or "\n\n" in t or " \n" in t or "\n " in t or t[0] in " \n" or t[-1] in " \n":
+            return True
+        # any other white space is missing from the split text, too
+        return len("".join(t.split())) + t.count(" ") + t.count("\n") != len(t)
 
     def __call__(self, texts: list) -> list:
         """The ids of each text (null: none)."""
-        odd = [t for t in texts if t and self.whole.search(t)]
-        whole = dict(zip(odd, self._ids(odd))) if odd else {}
-        cut = [None if not t or t in whole else [x.split(" ") for x in t.split("\n")] for t in texts]
-        heads, rest = set(), set()
-        for lines in cut:
-            for x in lines or ():
-                heads.add(x[0])
-                rest.update(x[1:])
-        for known in (self.first, self.spaced):
-            if len(known) > self.pieces:
-                known.clear()
-        self._learn(self.first, heads, "")
-        self._learn(self.spaced, rest, " ")
-        out, spaced = [], self.spaced.__getitem__
-        for t, lines in zip(texts, cut):
-            if lines is None:
-                out.append(whole[t] if t else b"")
-            else:
-                out.append(self.newline.join([self.first[x[0]] + b"".join(map(spaced, x[1:])) for x in lines]))
+        out = [b""] * len(texts)
+        odd, even = [], []
+        for k, t in enumerate(texts):
+            if t:
+                (odd if self._is_odd(t) else even).append(k)
+        for k in [k for k in even if len(texts[k]) > STRETCH]:
+            even.remove(k)
+            out[k] = b"".join(self._cut([x])[0] for x in _stretches(texts[k]))
+        for some, encode in ((odd, self._whole), (even, self._cut)):
+            if some:
+                for k, ids in zip(some, encode([texts[k] for k in some])):
+                    out[k] = ids
         return out
 
 

@@ -62,23 +62,36 @@ def compress(ids, base: int, min_count: int = MIN_COUNT):
     made, near = 0, np.arange(max(len(seq) - 1, 0))
     while len(near) >= min_count:
         code, slot = _mixed_pairs(seq[near], seq[near + 1])
-        # a coarse count rules out most pairs; the rest are counted exactly
-        often = np.bincount(slot, minlength=1 << _HASH_BITS)[slot] >= min_count
-        at = np.flatnonzero(often)
-        names, which, counts = np.unique(code[at], return_inverse=True, return_counts=True)
-        chosen = counts >= min_count
+        # a coarse count rules out most pairs
+        at = np.flatnonzero(np.bincount(slot, minlength=1 << _HASH_BITS)[slot] >= min_count)
+        code, slot, at = code[at], slot[at], near[at]
+        # one pair of each slot is counted there; those that share its slot by their codes
+        holder = np.zeros(1 << _HASH_BITS, np.uint64)
+        holder[slot] = code
+        mine = holder[slot] == code
+        held = np.bincount(slot[mine], minlength=1 << _HASH_BITS) >= min_count
+        names, which, counts = np.unique(code[~mine], return_inverse=True, return_counts=True)
+        chosen = mine & held[slot]
+        chosen[np.flatnonzero(~mine)[counts[which] >= min_count]] = True
         if not chosen.any():
             break
-        at, which = near[at[chosen[which]]], which[chosen[which]]
+        # a number for each chosen pair: its slot, or one beyond all slots
+        name = slot.copy()
+        name[~mine] = (1 << _HASH_BITS) + which
+        code_of = np.concatenate([holder, names])
+        at, which = at[chosen], name[chosen]
         # neighbours overlap: in a stretch of touching matches take every other one
         start = np.ones(len(at), bool)
         start[1:] = at[1:] != at[:-1] + 1
         first = np.maximum.accumulate(np.where(start, np.arange(len(at)), 0))
         even = (np.arange(len(at)) - first) % 2 == 0
         at, which = at[even], which[even]
-        used, symbol = np.unique(which, return_inverse=True)
-        a = (names[used] >> np.uint64(32)).astype(np.uint32)
-        b = (names[used] & np.uint64(0xFFFFFFFF)).astype(np.uint32)
+        present = np.zeros(len(code_of), bool)
+        present[which] = True
+        used = np.flatnonzero(present)
+        symbol = (np.cumsum(present) - 1)[which]
+        a = (code_of[used] >> np.uint64(32)).astype(np.uint32)
+        b = (code_of[used] & np.uint64(0xFFFFFFFF)).astype(np.uint32)
         size = lambda x: np.where(x < base, 1, length[np.maximum(x.astype(np.int64) - base, 0)] if made else 1)
         grown = (size(a) + size(b)).astype(np.uint32)
         left.append(a)
@@ -89,8 +102,9 @@ def compress(ids, base: int, min_count: int = MIN_COUNT):
         keep[at + 1] = False
         seq = seq[keep]
         new = at - np.arange(len(at))  # places of the new symbols
-        near = np.union1d(new - 1, new)
+        near = np.stack([new - 1, new], 1).ravel()   # in ascending order; the same place twice in a row at most
         near = near[(near >= 0) & (near < len(seq) - 1)]
+        near = near[np.append(True, near[1:] != near[:-1])] if len(near) else near
         length = np.concatenate([length, grown])
         made += len(used)
     join = lambda x: np.concatenate(x) if x else np.zeros(0, np.uint32)
