@@ -26,8 +26,8 @@ from rankflow.llm.common import mixed, ship, task_cache
 PIECES = 1_000_000     # most remembered pieces, about 40 bytes each
 _LONG = 4096           # bytes of a piece that is hashed by itself
 STRETCH = 1 << 21      # most characters of a text that are cut up at once
-# classes of characters: other, letter, digit, mark, separator
-_OTHER, _LETTER, _DIGIT, _MARK, _GAP = range(5)
+# classes of characters: other, letter, digit, mark, apostrophe, separator
+_OTHER, _LETTER, _DIGIT, _MARK, _QUOTE, _GAP = range(6)
 # what stands before a piece: nothing, a space, a line break
 _PLAIN, _SPACED, _LINE = range(3)
 
@@ -53,10 +53,23 @@ def _classes():
     kind[33:127] = _MARK
     kind[48:58] = _DIGIT
     kind[65:91] = kind[97:123] = _LETTER
+    kind[39] = _QUOTE
     kind[[32, 10]] = _GAP
     return kind
 
 
+def _borders():
+    """Whether a piece ends between two classes, by 8 * left + right."""
+    import numpy as np
+
+    cut = np.zeros((8, 8), bool)
+    for a in (_LETTER, _DIGIT, _MARK):
+        for b in (_LETTER, _DIGIT, _MARK, _QUOTE):
+            cut[a, b] = a != b and (a, b) != (_MARK, _QUOTE)
+    cut[_GAP, :] = cut[:, _GAP] = True
+    return cut.ravel()
+
+
 def _hashes(joined: bytes, data, start, size, lead):
     """Two 64-bit hashes of each piece and of what stands before it."""
     import numpy as np
@@ -110,7 +123,7 @@ class Encoder:
         self.cuts = (cut.get("type") == "ByteLevel" and cut.get("use_regex") and not cut.get("add_prefix_space")
                      and made.get("normalizer") is None and made["model"]["type"] == "BPE")
         self.dtype, self.pieces = dtype, pieces
-        self.kind = _classes()
+        self.kind, self.borders = _classes(), _borders()
         self.chars = _byte_chars()
         self.chars[10] = "\n"    # separates pieces here; no piece holds it
         self.forget()
@@ -171,11 +184,18 @@ class Encoder:
         while self.used + len(flat) > len(self.ids):
             self.ids = np.concatenate([self.ids, np.zeros_like(self.ids)])
         self.ids[self.used:self.used + len(flat)] = flat
-        place = np.searchsorted(self.h, h)
         at = self.used + np.cumsum(n) - n
         self.used += len(flat)
-        self.h, self.g = np.insert(self.h, place, h), np.insert(self.g, place, g)
-        self.at, self.n = np.insert(self.at, place, at), np.insert(self.n, place, n)
+        place = np.searchsorted(self.h, h) + np.arange(len(h))
+        old = np.ones(len(self.h) + len(h), bool)
+        old[place] = False
+
+        def both(known, new):
+            out = np.empty(len(old), known.dtype)
+            out[old], out[place] = known, new
+            return out
+
+        self.h, self.g, self.at, self.n = both(self.h, h), both(self.g, g), both(self.at, at), both(self.n, n)
 
     def _known(self, h, g):
         """(place of each hash among the known ones, whether it is there);
@@ -200,20 +220,15 @@ class Encoder:
         c3 = np.flatnonzero(data == 0xC3)        # letters of Latin-1, but for two signs
         c3 = c3[(data[c3 + 1] != 0x97) & (data[c3 + 1] != 0xB7)]
         kind[c3] = kind[c3 + 1] = _LETTER
-        a, b = kind[:-1], kind[1:]
-        border = (a != b) & (a != _OTHER) & (b != _OTHER) & (data[:-1] != 39)
-        # next to a separator a piece begins or ends, whatever it is made of
-        gap = kind == _GAP
-        border |= gap[:-1] | gap[1:]
-        edge = np.flatnonzero(border) + 1
-        inside = ~gap[edge]
+        edge = np.flatnonzero(self.borders[(kind[:-1] << 3) | kind[1:]]) + 1
+        inside = kind[edge] != _GAP
         start = edge[inside]
         end = edge[np.flatnonzero(inside) + 1]
         size = end - start
         lead = np.where(data[start - 1] == 32, _SPACED, np.where(data[start - 1] == 10, _LINE, _PLAIN)).astype(np.uint8)
         firsts = np.cumsum([1] + [len(t) + 1 for t in raw])
         first = np.searchsorted(start, firsts)
-        lead[first[:-1][~gap[firsts[:-1]]]] = _PLAIN    # the line break before a text is not its own
+        lead[first[:-1][kind[firsts[:-1]] != _GAP]] = _PLAIN    # the line break before a text is not its own
         h, g = _hashes(joined, data, start, size, lead)
         names, some, which = np.unique(h, return_index=True, return_inverse=True)
         second = g[some]
@@ -226,8 +241,8 @@ class Encoder:
                 self.forget()
                 there = np.zeros(len(names), bool)
             new = some[~there]
-            strange = np.concatenate([[0], np.cumsum((kind == _OTHER) | (data == 39))])
-            plain = strange[end[new]] == strange[start[new]]
+            strange = np.flatnonzero((kind == _OTHER) | (kind == _QUOTE))
+            plain = np.searchsorted(strange, start[new]) == np.searchsorted(strange, end[new])
             pieces = [joined[s:e] for s, e in zip(start[new].tolist(), end[new].tolist())]
             self._learn(names[~there], second[~there], pieces, lead[new].tolist(), plain)
         place, _ = self._known(names, second)
@@ -237,21 +252,36 @@ class Encoder:
         ends = (to[first] * np.dtype(self.dtype).itemsize).tolist()
         return [out[s:e] for s, e in zip(ends, ends[1:])]
 
-    def _is_odd(self, t: str) -> bool:
-        if not self.cuts or any(a in t for a in self.added):
-            return True
-        if "  " in t or "\n\n" in t or " \n" in t or "\n " in t or t[0] in " \n" or t[-1] in " \n":
-            return True
-        # any other white space is missing from the split text, too
-        return len("".join(t.split())) + t.count(" ") + t.count("\n") != len(t)
+    def _odd(self, texts: list) -> list:
+        """Whether each text is encoded as a whole."""
+        import numpy as np
+
+        if not self.cuts:
+            return [True] * len(texts)
+        raw = [t.encode() for t in texts]
+        data = np.frombuffer(b"\n" + b"\n".join(raw) + b"\n" * 3, np.uint8)
+        gap = self.kind[data] == _GAP
+        firsts = np.cumsum([1] + [len(t) + 1 for t in raw])
+        # two separators together, one at either end of a text, other white space of ASCII
+        bad = [np.flatnonzero(gap[:-1] & gap[1:]) + 1, np.flatnonzero((data < 32) & (data > 8) & (data != 10))]
+        odd = np.bincount(np.searchsorted(firsts, np.concatenate(bad), "right") - 1, minlength=len(texts))[:len(texts)] > 0
+        # a character beyond ASCII may be white space: then the split text lacks more than the separators
+        high = np.flatnonzero((data == 0xC2) | (data == 0xE1) | (data == 0xE2) | (data == 0xE3))
+        maybe = np.zeros(len(texts) + 1, bool)
+        maybe[np.searchsorted(firsts, high, "right") - 1] = True
+        odd = odd.tolist()
+        for k in np.flatnonzero(maybe[:-1]).tolist():
+            t = texts[k]
+            odd[k] = odd[k] or len("".join(t.split())) + t.count(" ") + t.count("\n") != len(t)
+        return [o or any(a in t for a in self.added) for o, t in zip(odd, texts)]
 
     def __call__(self, texts: list) -> list:
         """The ids of each text (null: none)."""
         out = [b""] * len(texts)
+        some = [k for k, t in enumerate(texts) if t]
         odd, even = [], []
-        for k, t in enumerate(texts):
-            if t:
-                (odd if self._is_odd(t) else even).append(k)
+        for k, whole in zip(some, self._odd([texts[k] for k in some])):
+            (odd if whole else even).append(k)
         for k in [k for k in even if len(texts[k]) > STRETCH]:
             even.remove(k)
             out[k] = b"".join(self._cut([x])[0] for x in _stretches(texts[k]))

@@ -89,7 +89,9 @@ def compress(ids, base: int, min_count: int = MIN_COUNT):
         present = np.zeros(len(code_of), bool)
         present[which] = True
         used = np.flatnonzero(present)
-        symbol = (np.cumsum(present) - 1)[which]
+        number = np.empty(len(code_of), np.uint32)
+        number[used] = np.arange(len(used))
+        symbol = number[which]
         a = (code_of[used] >> np.uint64(32)).astype(np.uint32)
         b = (code_of[used] & np.uint64(0xFFFFFFFF)).astype(np.uint32)
         size = lambda x: np.where(x < base, 1, length[np.maximum(x.astype(np.int64) - base, 0)] if made else 1)
@@ -138,7 +140,7 @@ class Shard:
         size = np.ones(n, np.int64)
         rule = self.seq >= self.base
         size[rule] = self.length[self.seq[rule] - self.base]
-        self.ends = np.cumsum(size)
+        self.ends, self.size, self.grown = np.cumsum(size), size, None
 
     def expand(self, symbols):
         """The ids that an array of symbols stands for."""
@@ -167,7 +169,16 @@ class Shard:
         a = int(np.searchsorted(self.ends, first, "right"))
         b = int(np.searchsorted(self.ends, end, "left")) + 1
         skip = first - (int(self.ends[a - 1]) if a else 0)
-        return self.expand(self.seq[a:b])[skip:skip + end - first]
+        symbols, size = self.seq[a:b], self.size[a:b]
+        if self.grown is None:    # what each rule stands for, made once
+            self.grown = self.expand(np.arange(self.base, self.base + len(self.left), dtype=np.uint32))
+            self.grown_at = np.cumsum(self.length, dtype=np.int64) - self.length
+        rule = symbols >= self.base
+        at = np.arange(b - a)
+        at[rule] = b - a + self.grown_at[symbols[rule] - self.base]
+        to = np.cumsum(size) - size
+        out = np.concatenate([symbols, self.grown])[np.repeat(at - to, size) + np.arange(int(size.sum()))]
+        return out[skip:skip + end - first]
 
     def document(self, k: int):
         return self.ids(int(self.starts[k]), int(self.starts[k + 1]))
