@@ -23,7 +23,7 @@ import os
 
 from rankflow.llm.common import mixed, ship, task_cache
 
-PIECES = 1_000_000     # most remembered pieces, about 40 bytes each
+PIECES = 1_000_000     # most remembered pieces, about 60 bytes each
 _LONG = 4096           # bytes of a piece that is hashed by itself
 STRETCH = 1 << 21      # most characters of a text that are cut up at once
 # classes of characters: other, letter, digit, mark, apostrophe, separator
@@ -131,13 +131,44 @@ class Encoder:
             (self.break_id,) = self.tokenizer.encode("\n", add_special_tokens=False).ids
 
     def forget(self) -> None:
-        """Start with no piece known: hashes in ascending order, and where the
-        ids of each are in ``ids``."""
+        """Start with no piece known: both hashes of each, where its ids are in
+        ``ids``, and ``slots``, an open-addressed table of the pieces' numbers."""
         import numpy as np
 
-        self.h, self.g = np.zeros(0, np.uint64), np.zeros(0, np.uint64)
-        self.at, self.n = np.zeros(0, np.int64), np.zeros(0, np.int64)
-        self.ids, self.used = np.zeros(1 << 16, self.dtype), 0
+        self.h, self.g = np.zeros(1 << 12, np.uint64), np.zeros(1 << 12, np.uint64)
+        self.at, self.n = np.zeros(1 << 12, np.int64), np.zeros(1 << 12, np.int32)
+        self.ids, self.used, self.count = np.zeros(1 << 16, self.dtype), 0, 0
+        self.slots = np.full(1 << 13, -1, np.int32)
+
+    def _find(self, h, g):
+        """The number of each piece, -1 for one that is not known."""
+        import numpy as np
+
+        last = len(self.slots) - 1
+        slot = (h & np.uint64(last)).astype(np.int64)
+        out = self.slots[slot]
+        todo = np.flatnonzero((out >= 0) & ((self.h[out] != h) | (self.g[out] != g)))
+        while len(todo):    # another piece is there: look on in the next slots
+            slot[todo] = (slot[todo] + 1) & last
+            got = out[todo] = self.slots[slot[todo]]
+            todo = todo[(got >= 0) & ((self.h[got] != h[todo]) | (self.g[got] != g[todo]))]
+        return out
+
+    def _enter(self, first: int) -> None:
+        """Put the pieces from number ``first`` on into the slots."""
+        import numpy as np
+
+        if 2 * self.count > len(self.slots):
+            self.slots, first = np.full(4 * len(self.slots), -1, np.int32), 0
+            return self._enter(first)
+        last = len(self.slots) - 1
+        todo = np.arange(first, self.count, dtype=np.int32)
+        slot = (self.h[first:self.count] & np.uint64(last)).astype(np.int64)
+        while len(todo):    # of several that want a free slot one gets it
+            free = self.slots[slot] < 0
+            self.slots[slot[free]] = todo[free]
+            out = self.slots[slot] != todo
+            todo, slot = todo[out], (slot[out] + 1) & last
 
     def _whole(self, texts: list) -> list:
         import numpy as np
@@ -170,7 +201,7 @@ class Encoder:
         return out
 
     def _learn(self, h, g, pieces: list, lead, plain) -> None:
-        """Remember new pieces (hashes in ascending order)."""
+        """Remember new pieces."""
         import numpy as np
 
         got = [None] * len(pieces)
@@ -180,33 +211,19 @@ class Encoder:
                 for k, ids in zip(some, encode([pieces[k] for k in some], [lead[k] for k in some])):
                     got[k] = [self.break_id, *ids] if lead[k] == _LINE else ids
         n = np.array([len(x) for x in got], np.int64)
-        flat = np.array([i for x in got for i in x], self.dtype)
-        while self.used + len(flat) > len(self.ids):
-            self.ids = np.concatenate([self.ids, np.zeros_like(self.ids)])
-        self.ids[self.used:self.used + len(flat)] = flat
-        at = self.used + np.cumsum(n) - n
-        self.used += len(flat)
-        place = np.searchsorted(self.h, h) + np.arange(len(h))
-        old = np.ones(len(self.h) + len(h), bool)
-        old[place] = False
-
-        def both(known, new):
-            out = np.empty(len(old), known.dtype)
-            out[old], out[place] = known, new
-            return out
-
-        self.h, self.g, self.at, self.n = both(self.h, h), both(self.g, g), both(self.at, at), both(self.n, n)
-
-    def _known(self, h, g):
-        """(place of each hash among the known ones, whether it is there);
-        None where two pieces differ in the second hash only."""
-        import numpy as np
+        first, self.count = self.count, self.count + len(got)
+        start, self.used = self.used, self.used + int(n.sum())
+
+        def put(known, at, new):
+            while at + len(new) > len(known):
+                known = np.concatenate([known, np.zeros_like(known)])
+            known[at:at + len(new)] = new
+            return known
 
-        if not len(self.h):
-            return np.zeros(len(h), np.int64), np.zeros(len(h), bool)
-        place = np.minimum(np.searchsorted(self.h, h), len(self.h) - 1)
-        there = self.h[place] == h
-        return None if (self.g[place][there] != g[there]).any() else (place, there)
+        self.ids = put(self.ids, start, np.array([i for x in got for i in x], self.dtype))
+        self.h, self.g, self.n = put(self.h, first, h), put(self.g, first, g), put(self.n, first, n)
+        self.at = put(self.at, first, start + np.cumsum(n) - n)
+        self._enter(first)
 
     def _cut(self, texts: list) -> list:
         """Ids of texts with single spaces and line breaks only; a text may
@@ -230,25 +247,25 @@ class Encoder:
         first = np.searchsorted(start, firsts)
         lead[first[:-1][kind[firsts[:-1]] != _GAP]] = _PLAIN    # the line break before a text is not its own
         h, g = _hashes(joined, data, start, size, lead)
-        names, some, which = np.unique(h, return_index=True, return_inverse=True)
-        second = g[some]
-        found = self._known(names, second)
-        if found is None or (second[which] != g).any():
-            return self._whole(texts)
-        _, there = found
-        if not there.all():
-            if len(self.h) > self.pieces:
+        place = self._find(h, g)
+        missing = np.flatnonzero(place < 0)
+        if len(missing):
+            if self.count > self.pieces:
                 self.forget()
-                there = np.zeros(len(names), bool)
-            new = some[~there]
+                missing = np.arange(len(h))
+            names, some, which = np.unique(h[missing], return_index=True, return_inverse=True)
+            new = missing[some]
+            if (g[new][which] != g[missing]).any():    # two pieces that differ in the second hash only
+                return self._whole(texts)
             strange = np.flatnonzero((kind == _OTHER) | (kind == _QUOTE))
             plain = np.searchsorted(strange, start[new]) == np.searchsorted(strange, end[new])
             pieces = [joined[s:e] for s, e in zip(start[new].tolist(), end[new].tolist())]
-            self._learn(names[~there], second[~there], pieces, lead[new].tolist(), plain)
-        place, _ = self._known(names, second)
-        n = self.n[place][which]
+            first_new = self.count
+            self._learn(names, g[new], pieces, lead[new].tolist(), plain)
+            place[missing] = first_new + which
+        n = self.n[place]
         to = np.concatenate([[0], np.cumsum(n)])
-        out = self.ids[np.repeat(self.at[place][which] - to[:-1], n) + np.arange(to[-1])].tobytes()
+        out = self.ids[np.repeat(self.at[place] - to[:-1], n) + np.arange(to[-1])].tobytes()
         ends = (to[first] * np.dtype(self.dtype).itemsize).tolist()
         return [out[s:e] for s, e in zip(ends, ends[1:])]
 
