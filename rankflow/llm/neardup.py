@@ -360,8 +360,33 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
                     percent: int = PERCENT, coordinates: int = COORDINATES, matches: int = MATCHES,
                     stars: int = STARS) -> DataFrame:
     """One row per document: doc_id, n_shingles, component_id (the smallest
-    id reachable by links), kept (whether that is its own)."""
+    id reachable by links), kept (whether that is its own).  Each text of an
+    id with several texts is a document of its own, linked by what it says."""
     base = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("binary").alias("text"))
+    said = F.xxhash64("text")
+    several = written(base.where("doc_id is not null").groupBy("doc_id").agg(F.min(said).alias("lo"), F.max(said).alias("hi"))
+                      .where("lo < hi").select(F.col("doc_id").alias("s_id")), "several-texts")
+    if several.isEmpty():
+        return _components(base, shingle, percent, coordinates, matches, stars)
+    # texts of such ids are found under names of their own; then the smallest
+    # true id of a component names it
+    named = (base.join(several, F.col("doc_id") == F.col("s_id"), "left")
+             .withColumn("row_id", F.when(F.col("s_id").isNotNull(), F.xxhash64("doc_id", "text")).otherwise(F.col("doc_id"))))
+    found = written(_components(named.select(F.col("row_id").alias("doc_id"), "text"), shingle, percent, coordinates, matches,
+                                stars).drop("kept"), "found")
+    names = named.where("s_id is not null").select("row_id", F.col("doc_id").alias("own")).distinct()
+    found = (found.join(names, F.col("doc_id") == F.col("row_id"), "left")
+             .withColumn("doc_id", F.coalesce("own", "doc_id")).drop("own", "row_id"))
+    smallest = (found.where("component_id is not null").groupBy(F.col("component_id").alias("c_id"))
+                .agg(F.min("doc_id").alias("smallest")))
+    out = found.join(smallest, F.col("component_id") == F.col("c_id"), "left")
+    return out.select("doc_id", "n_shingles", F.col("smallest").alias("component_id"),
+                      F.coalesce(F.col("doc_id") == F.col("smallest"), F.lit(True)).alias("kept"))
+
+
+def _components(base: DataFrame, shingle: int, percent: int, coordinates: int, matches: int, stars: int) -> DataFrame:
+    """:func:`near_duplicates` of (doc_id, text) where equal ids mean equal
+    texts."""
     profile = written(_profile(base, shingle, coordinates), "profile")
     some = profile.where("n_shingles > 0 and doc_id is not null")
     classes = written(some.groupBy("key1", "key2", "n_shingles").agg(

@@ -384,3 +384,13 @@ def test_chat(spark):
         assert r.text[r.loss_start:r.loss_end] == target[conv, k].target
         assert target[conv, k].context_chars == sum(len(segment[conv, j]) for j in range(k))
     assert chat.format_turns(df.limit(0)).count() == 0
+
+
+def test_near_duplicates_of_an_id_with_two_texts(spark):
+    """Each text keeps its links; the smallest true id names a component."""
+    a = " ".join(f"w{k}" for k in range(60))
+    b = " ".join(f"v{k}" for k in range(60))
+    rows = [(5, a), (5, b), (7, a + " more"), (3, b + " other"), (8, a), (9, "alone it stands here today"), (None, a)]
+    got = neardup.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert sorted((r.doc_id or -1, r.component_id or -1, r.kept) for r in got) == [
+        (-1, -1, True), (3, 3, True), (5, 3, False), (5, 5, True), (7, 5, False), (8, 5, False), (9, 9, True)]
