@@ -6,7 +6,8 @@ chunks are compressed; the text is rejected when the ratio (bytes before /
 after) of the whole lies outside the band for its length, or when more than
 ``CHUNK_SHARE`` of its chunks lie outside theirs.  Longer texts compress
 better for the same prose, so the limits rise with length; very short texts
-are judged by the counts only.
+are judged by the counts only.  A last part of less than half a chunk is judged
+with the chunk before it.
 
 Everything is computed from one row, in Arrow batches: no shuffle and no skew.
 
@@ -103,8 +104,10 @@ def assess(text: bytes | None, hashes, pack, bands=BANDS, chunk: int = CHUNK, ch
     repeats = repeat_words(hashes)
     failed = n < min_words or 100 * repeats > max_repeat_pct * n
     ratio = len(text) / len(pack(text)) if text else 0.0
-    # a last part of less than half a chunk says little about its own
-    parts = [p for k in range(0, len(text), chunk) if 2 * len(p := text[k:k + chunk]) >= chunk]
+    # a last part of less than half a chunk says little by itself: it is judged with the chunk before
+    rest = len(text) % chunk
+    starts = range(0, len(text) - (rest if 2 * rest < chunk else 0), chunk)
+    parts = [text[k:k + chunk] if k != starts[-1] else text[k:] for k in starts]
     bad = sum(not chunk_band[0] <= len(p) / len(pack(p)) <= chunk_band[1] for p in parts)
     kept = not failed and in_band(len(text), ratio, bands) and bad <= chunk_share * len(parts)
     return (n, chars, symbols, len(lines) - len(set(lines)), repeats, failed, ratio, len(parts), bad, kept)

@@ -394,3 +394,17 @@ def test_near_duplicates_of_an_id_with_two_texts(spark):
     got = neardup.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect()
     assert sorted((r.doc_id or -1, r.component_id or -1, r.kept) for r in got) == [
         (-1, -1, True), (3, 3, True), (5, 3, False), (5, 5, True), (7, 5, False), (8, 5, False), (9, 9, True)]
+
+
+def test_quality_chunks_cover_the_whole_text():
+    """No byte is left out; a short rest is part of the last chunk."""
+    seen = []
+
+    def pack(x):
+        seen.append(len(x))
+        return x
+
+    for n, want in ((3, []), (4, [4]), (8, [8]), (11, [11]), (12, [8, 4]), (19, [8, 11]), (24, [8, 8, 8])):
+        seen.clear()
+        assert quality.assess(b"x" * n, np.zeros(1, np.uint64), pack, chunk=8)[7] == len(want)
+        assert seen[1:] == want
