@@ -16,7 +16,7 @@ from rankflow.llm.repair import read_tokens, write_tokens
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 # encoded pieces that a worker keeps besides what the other stages hold
-PIECES = 200_000
+PIECES = 500_000
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
