@@ -5,14 +5,17 @@ encoded data compresses hardly at all.  The whole text and each of its fixed
 chunks are compressed; the text is rejected when the ratio (bytes before /
 after) of the whole lies outside the band for its length, or when more than
 ``CHUNK_SHARE`` of its chunks lie outside theirs.  Longer texts compress
-better for the same prose, so the limits rise with length; very short texts
-are judged by the counts only.  A last part of less than half a chunk is judged
+better for the same prose, so the limits rise with length and are fitted to
+labelled good texts band by band (:func:`fit_bands`); very short texts are
+judged by the counts only.  A last part of less than half a chunk is judged
 with the chunk before it.
 
 Everything is computed from one row, in Arrow batches: no shuffle and no skew.
 
 Defined cases: a null text has no words, so it fails the word minimum; an
-empty text likewise; other columns may hold nulls and are not read.
+empty text likewise; a very long text is compressed whole, in one task, as one
+row; repeated rows are judged one by one; an empty table gives an empty
+result; other columns may hold nulls and are not read.
 """
 
 from __future__ import annotations
@@ -25,31 +28,37 @@ from rankflow.llm.common import bytes_of, hash_words, in_parts, ship
 LEVEL = 3
 CHUNK = 4096
 CHUNK_SHARE = 0.25
-# (bytes below which the band holds, least ratio, largest ratio): 3 % below and
-# 2 % above the ratios of the texts labelled good that pass the counts, in sf0.1
-# and the check tables.  The limit of 2.20 leaves room for plain word lists
-# (2.18).  From 64 KB on, where only five texts are labelled good (2.43 to 2.58),
-# the least ratio stays and the largest follows its growth (long word lists 2.96).
+# upper ends of the length bands in bytes; the last band is open
+EDGES = (256, 384, 512, 768, 1024, 1536, 2048, 3072, 4096, 6144, 8192, 12288, 16384, 32768, 65536, 131072, float("inf"))
+# below 1 KB repetitive and plain texts compress alike, so only extreme ratios are rejected there; noise
+# (1.0 to 1.4) lies far below prose, so the least ratio can lie far out
+SHORT = 1024
+SHORT_SPREAD = 8.0
+SPREAD = 5.0
+LOW_SPREAD = 10.0
+MIN_TEXTS = 15
+# (bytes below which the band holds, least ratio, largest ratio): what fit_bands gives for the documents and
+# labels of sf0.1
 BANDS = (
     (256, 0.0, float("inf")),
-    (384, 1.26, 2.01),
-    (512, 1.30, 1.99),
-    (768, 1.37, 2.20),
-    (1024, 1.46, 2.10),
-    (1536, 1.56, 2.15),
-    (2048, 1.69, 2.21),
-    (3072, 1.73, 2.25),
-    (4096, 1.85, 2.30),
-    (6144, 1.89, 2.37),
-    (8192, 1.95, 2.40),
-    (12288, 2.08, 2.45),
-    (16384, 2.13, 2.48),
-    (32768, 2.18, 2.55),
-    (65536, 2.24, 2.61),
-    (131072, 2.24, 2.70),
-    (float("inf"), 2.24, 3.00),
+    (384, 1.07, 2.03),
+    (512, 0.97, 2.23),
+    (768, 1.11, 2.27),
+    (1024, 1.33, 2.3),
+    (1536, 1.4, 2.18),
+    (2048, 1.59, 2.2),
+    (3072, 1.69, 2.25),
+    (4096, 1.84, 2.27),
+    (6144, 1.88, 2.34),
+    (8192, 1.89, 2.42),
+    (12288, 1.94, 2.44),
+    (16384, 1.88, 2.55),
+    (32768, 2.0, 2.6),
+    (65536, 2.0, 2.73),
+    (131072, 2.0, 2.85),
+    (float("inf"), 2.0, 3.02),
 )
-# chunks of good texts 1.81 to 2.28, of long plain word lists up to 2.63
+# not fitted: chunks of good texts in sf0.1 1.92 to 2.29, of long plain word lists up to 2.63
 CHUNK_BAND = (1.75, 2.65)
 MIN_WORDS = 50
 MAX_REPEAT_PCT = 50
@@ -161,4 +170,48 @@ def quality_filter(docs: DataFrame, text_col: str = "text", level: int = LEVEL,
     return docs.mapInArrow(run, docs.schema)
 
 
+def fit_bands(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text",
+              label_col: str = "quality", edges=EDGES, level: int = LEVEL, spread: float = SPREAD,
+              low_spread: float = LOW_SPREAD, short: int = SHORT, short_spread: float = SHORT_SPREAD,
+              min_texts: int = MIN_TEXTS) -> tuple:
+    """Limits for ``bands`` from texts labelled good (1) that pass the counts:
+    in each length band the mean ratio less ``low_spread`` and plus ``spread``
+    standard deviations (``short_spread`` each way in bands up to ``short``
+    bytes).  The first band is open.  A band with fewer than ``min_texts``
+    texts keeps the least ratio of the band before it, and its largest one
+    rises with the doublings of length as between the last two bands that
+    were measured; without two such bands before it, it is open.
+
+    Every labelled text counts; sums are made in Spark and one row per band
+    reaches the driver.  An id that is labelled twice counts once, a null id
+    or label not at all."""
+    import math
+
+    good = labels.where(F.col(label_col) == 1).select(F.col(id_col).alias("good_id")).distinct()
+    text = F.col(text_col).cast("binary")
+    sized = docs.join(good, F.col(id_col) == F.col("good_id"), "left_semi").select(
+        F.octet_length(text).alias("size"), text.alias("text"))
+    band = sum((F.col("doc_id") >= e).cast("int") for e in edges[:-1])
+    found = (quality(sized, "size", "text", level).where("not base_failed").groupBy(band.alias("band"))
+             .agg(F.count("ratio").alias("n"), F.avg("ratio").alias("mean"), F.stddev("ratio").alias("sd"),
+                  F.avg(F.log2("doc_id")).alias("at")).where(F.col("n") >= max(2, min_texts)).collect())
+    held = {r.band: r for r in found}
+    out, measured = [], []
+    for k, below in enumerate(edges):
+        least, most = 0.0, math.inf
+        if k and k in held:
+            r = held[k]
+            measured.append(r)
+            up, low = (short_spread, short_spread) if below <= short else (spread, low_spread)
+            least, most = r.mean - low * r.sd, r.mean + up * r.sd
+        elif len(measured) > 1:
+            a, z = measured[-2:]
+            # the middle of the band, or of the octave pair above the last edge
+            at = math.log2(edges[k - 1]) + 1 if below == math.inf else (math.log2(edges[k - 1]) + math.log2(below)) / 2
+            least = out[-1][1]
+            most = z.mean + max(0.0, (z.mean - a.mean) / (z.at - a.at)) * (at - z.at) + spread * z.sd
+        out.append((below, round(max(0.0, least), 2), round(most, 2)))
+    return tuple(out)
+
+
 ship(__name__)
