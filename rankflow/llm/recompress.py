@@ -17,8 +17,9 @@ symbol share no window:
 1. texts equal as a whole are one symbol; the smallest id stands for them;
 2. each stretch of windows with one representative is posted as (symbol,
    document, place); symbols that occur in at least two documents are revealed;
-3. windows with a revealed representative are verified by the hash of all
-   their words (64 bits), and the smallest document of each is found;
+3. windows with a revealed representative are verified by two independent
+   64-bit hashes of all their words, and the smallest document of each is
+   found;
 4. a document loses the words of its windows that also start in a document
    with a smaller id.
 
@@ -60,6 +61,20 @@ def window_hashes(h, window: int):
     return mixed(out)
 
 
+def second_hashes(h, window: int):
+    """Another hash of the same windows: a polynomial of the words' hashes.
+    Different windows agree in both hashes with a chance of 2**-128, as long as
+    their words' hashes differ."""
+    import numpy as np
+
+    n = len(h) - window + 1
+    out = h[:n].copy()
+    for k in range(1, window):
+        out *= np.uint64(0xD1342543DE82EF95)
+        out += h[k:k + n]
+    return mixed(out)
+
+
 def representatives(h, doc, window: int = WINDOW, rounds: int = ROUNDS):
     """(window starts, symbol of each window).  A window without a certain
     symbol gets symbol 0."""
@@ -203,26 +218,27 @@ def substring_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
                 at = np.repeat(p - (np.cumsum(n) - n), n) + np.arange(n.sum())
                 who = np.repeat(own, n)
                 # a window repeated within its document is one row with all its places
-                w = window_hashes(h, window)[at]
-                order = np.lexsort((at, w, who))
-                w, who, at = w[order], who[order], at[order]
+                w, w2 = window_hashes(h, window)[at], second_hashes(h, window)[at]
+                order = np.lexsort((at, w2, w, who))
+                w, w2, who, at = w[order], w2[order], who[order], at[order]
                 begin = np.ones(len(at), bool)
-                begin[1:] = (w[1:] != w[:-1]) | (who[1:] != who[:-1])
+                begin[1:] = (w[1:] != w[:-1]) | (w2[1:] != w2[:-1]) | (who[1:] != who[:-1])
                 k = np.flatnonzero(begin)
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(w[k].view(np.int64)), pa.array(ids[rows][who[k]], pa.int64()),
+                    [pa.array(w[k].view(np.int64)), pa.array(w2[k].view(np.int64)), pa.array(ids[rows][who[k]], pa.int64()),
                      pa.array(versions[rows][who[k]], pa.int64()),
                      pa.ListArray.from_arrays(pa.array(np.append(k, len(at)), pa.int32()),
-                                              pa.array((at - base[who]).astype(np.int32)))], ["hash", "doc_id", "version", "places"])
+                                              pa.array((at - base[who]).astype(np.int32)))], ["hash", "hash2", "doc_id", "version", "places"])
 
     r = ranges.select(F.col("doc_id").alias("r_id"), F.col("version").alias("r_version"), "ranges")
     seen = written(first.join(r, (F.col("doc_id") == F.col("r_id")) & (F.col("version") == F.col("r_version")))
                    .select("doc_id", "version", "text", "ranges")
-                   .mapInArrow(verify, "hash long, doc_id long, version long, places array<int>"), "windows")
+                   .mapInArrow(verify, "hash long, hash2 long, doc_id long, version long, places array<int>"), "windows")
     discard(ranges)
-    owner = written(seen.groupBy("hash").agg(F.min("doc_id").alias("a"), F.max("doc_id").alias("z"))
-             .where("a < z").select(F.col("hash").alias("o_hash"), F.col("a").alias("owner")), "owners")
-    gone = (seen.join(owner, (F.col("hash") == F.col("o_hash")) & (F.col("doc_id") > F.col("owner")))
+    owner = written(seen.groupBy("hash", "hash2").agg(F.min("doc_id").alias("a"), F.max("doc_id").alias("z")).where("a < z")
+                    .select(F.col("hash").alias("o_hash"), F.col("hash2").alias("o_hash2"), F.col("a").alias("owner")), "owners")
+    gone = (seen.join(owner, (F.col("hash") == F.col("o_hash")) & (F.col("hash2") == F.col("o_hash2"))
+                      & (F.col("doc_id") > F.col("owner")))
             .groupBy("doc_id", "version").agg(F.flatten(F.collect_list("places")).alias("places")))
     # a text that is not the first of its kind is covered by its own windows
     changed = written(texts.join(gone, ["doc_id", "version"], "left").where("copy or places is not null")

@@ -9,7 +9,7 @@ import xxhash
 import zstandard
 from pyspark.sql import functions as F
 
-from rankflow.llm import bpe, mixing, quality, separators
+from rankflow.llm import bpe, mixing, quality, recompress, separators
 from rankflow.llm.queries import QUERIES
 
 SF = "/root/testdata/sf0.001"
@@ -209,3 +209,27 @@ def test_fitted_bands_separate_texts_of_any_other_table(spark):
         assert not quality.in_band(len(t), len(t) / len(pack(t)), bands)
     empty = quality.fit_bands(docs.limit(0), labels)
     assert all(b[1:] == (0.0, float("inf")) for b in empty)
+
+
+# ---- op6: windows that agree in one hash ----------------------------------
+
+@pytest.mark.parametrize("lost", ["window_hashes", "second_hashes"])
+def test_windows_of_other_words_are_told_apart_by_either_hash(spark, monkeypatch, lost):
+    """With one of the two hashes useless the other one still decides."""
+    monkeypatch.setattr(recompress, lost, lambda h, window: np.zeros(len(h) - window + 1, np.uint64))
+    rng = np.random.default_rng(6)
+    passage = [f"p{k}" for k in range(40)]
+    docs = []
+    for d in range(30):
+        w = [f"w{k}" for k in rng.integers(0, 300, int(rng.integers(0, 90)))]
+        at = int(rng.integers(0, len(w) + 1))
+        w[at:at] = passage[:int(rng.integers(5, 40))] if d % 2 else []
+        docs.append((d, w))
+    first = {}
+    for d, w in docs:
+        for i in range(len(w) - 12):
+            first.setdefault(tuple(w[i:i + 13]), d)
+    want = {d: len({i + j for i in range(len(w) - 12) if first[tuple(w[i:i + 13])] < d for j in range(13)}) for d, w in docs}
+    df = spark.createDataFrame([(d, " ".join(w)) for d, w in docs], "doc_id long, text string")
+    assert {r.doc_id: r.n_removed for r in recompress.substring_dedup(df).collect()} == want
+    assert sum(want.values()) > 0
