@@ -9,7 +9,7 @@ mean, feature -> min/max) that can be saved with
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from rankflow.functions.text import title_tokens
@@ -137,16 +137,16 @@ def first_token_index(df: DataFrame, text_col: str, vocab: DataFrame, out: str)
 def token_sequences(df: DataFrame, id_col: str, text_col: str, vocab: DataFrame,
                     length: int = 10, out: str = "title_seq") -> DataFrame:
     """Texts -> known-token indices, keeping the last ``length`` and
-    left-padding with 0 (pre-truncate, pre-pad).  Collected per text only,
-    so each list is bounded by one text's length."""
+    left-padding with 0 (pre-truncate, pre-pad).  Only the last ``length``
+    known tokens of an id are gathered: earlier ones go before the shuffle
+    and again after it (a rank-limited window)."""
     toks = df.select(id_col, F.posexplode(title_tokens(text_col)).alias("_p", "word"))
-    known = toks.join(vocab.select("word", "idx"), "word", "inner")
-    seqs = known.groupBy(id_col).agg(
-        F.array_sort(F.collect_list(F.struct("_p", "idx"))).alias("_s"))
-    idx = F.transform(F.col("_s"), lambda s: s["idx"])
-    tail = F.slice(idx, F.greatest(F.size(idx) - (length - 1), F.lit(1)), length)
-    padded = F.concat(F.array_repeat(F.lit(0), F.greatest(F.lit(length) - F.size(tail), F.lit(0))),
-                      tail)
+    known = toks.join(vocab.select("word", "idx"), "word", "inner").select(id_col, "_p", "idx")
+    from_end = F.row_number().over(Window.partitionBy(id_col).orderBy(F.col("_p").desc(), F.col("idx").desc()))
+    tail = known.withColumn("_r", from_end).where(F.col("_r") <= length)
+    seqs = tail.groupBy(id_col).agg(F.transform(
+        F.array_sort(F.collect_list(F.struct("_p", "idx"))), lambda s: s["idx"]).alias("_s"))
+    padded = F.concat(F.array_repeat(F.lit(0), F.lit(length) - F.size("_s")), F.col("_s"))
     base = df.select(id_col).distinct()
     res = base.join(seqs.select(id_col, padded.alias(out)), id_col, "left")
     return res.withColumn(out, F.coalesce(F.col(out), F.array_repeat(F.lit(0), length)))

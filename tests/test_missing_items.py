@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from rankflow.operators.cleaning import profile
 from rankflow.operators.enrich import enrich_titles
-from rankflow.operators.features import first_token_index
+from rankflow.operators.features import first_token_index, token_sequences
 from rankflow.operators.trends import prefix_sums, smooth_fraction
 from rankflow.operators.vectors import nearest_prototype
 from rankflow.sources.readers import read_csv_skip_long_rows
@@ -163,3 +163,20 @@ def test_csv_round_trip_keeps_edges_of_text(spark, tmp_path):
     out = str(tmp_path / "o")
     write_csv(spark.createDataFrame(rows, "id string, t string"), out)
     assert sorted(map(tuple, read_csv_strings(spark, out, multi_line=True).collect())) == rows
+
+
+def test_token_sequences_gather_the_last_tokens_only(spark):
+    """Long texts, unknown words and texts without a known word; earlier
+    tokens are cut on both sides of the shuffle."""
+    r = random.Random(7)
+    vocab = {f"w{k}": k + 1 for k in range(30)}
+    texts = {k: " ".join(f"w{r.randrange(45)}" for _ in range(n)) for k, n in enumerate((0, 1, 9, 10, 11, 40, 6000))}
+    texts[7], texts[8] = "nothing known here", None
+    df = spark.createDataFrame(list(texts.items()), "id int, t string").repartition(3)
+    words = spark.createDataFrame(list(vocab.items()), "word string, idx int")
+    out = token_sequences(df, "id", "t", words, 10)
+    for k, seq in ((x.id, x.title_seq) for x in out.collect()):
+        known = [vocab[w] for w in (texts.pop(k) or "").split() if w in vocab][-10:]
+        assert seq == [0] * (10 - len(known)) + known, k
+    assert not texts
+    assert "WindowGroupLimit" in _plan(out)
