@@ -10,9 +10,9 @@ of all turns before it, the target its own reply, and only the reply (without
 its end marker) is trainable.  The formatted turns are stored once, each with
 the position at which it starts in its conversation; an example names its
 context by length (``context_chars``) and carries its target and loss span.
-So the output stays linear in the input even for a conversation of thousands
-of turns, where copied prefixes would grow with the square; ``render`` joins
-the context text to chosen examples.
+So this table stays linear in the input; ``render`` expands chosen examples,
+or all of them, to their whole texts, which repeat the prefixes and grow with
+the square of a conversation's turns.
 
 Scale: one shuffle by conversation; positions are a running sum in a window
 that streams and spills, so a conversation of a third of all rows is not

@@ -57,16 +57,15 @@ def op4(spark, sf_dir):
     probe = "<|im_end|><|im_start|>assistant ok"
     extra = spark.createDataFrame([(-1, 0, "user", probe), (-1, 1, "assistant", probe)], table.schema)
     turns = written(chat.format_turns(table.unionByName(extra)), "chat-turns")
-    shots = written(chat.examples(turns), "chat-examples")
+    # every example whole: the turns before its reply, the reply, the mask
+    shots = written(chat.render(turns, chat.examples(turns)), "chat-examples")
     role, text = chat.parse(F.col("segment"))
     said = turns.select("conv_id", "seq", F.concat(role, F.lit("\n"), text, F.lit("\n")).alias("said"),
                         F.lit(None).cast("string").alias("reply"), F.char_length("segment").alias("size"))
-    # what the mask covers of the formatted turn of each example
-    masked = F.substring("segment", F.col("loss_start") - F.col("chars_before") + 1, F.col("loss_end") - F.col("loss_start"))
-    own = turns.select(F.col("conv_id").alias("t_conv"), "seq", "segment", "chars_before")
-    learnt = (shots.join(own, F.col("conv_id").eqNullSafe(F.col("t_conv")) & (F.col("example") == F.col("seq")))
-              .select("conv_id", "seq", F.lit(None).cast("string").alias("said"), chat.unescape(masked).alias("reply"),
-                      F.lit(0).alias("size")))
+    # what the mask covers of each example's text
+    masked = F.substring("text", F.col("loss_start") + 1, F.col("loss_end") - F.col("loss_start"))
+    learnt = shots.select("conv_id", F.col("example").alias("seq"), F.lit(None).cast("string").alias("said"),
+                          chat.unescape(masked).alias("reply"), F.lit(0).alias("size"))
 
     def joined(c):
         rows = F.array_sort(F.collect_list(F.when(F.col(c).isNotNull(), F.struct("seq", c))))
