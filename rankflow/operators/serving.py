@@ -74,9 +74,10 @@ def serve(requests: DataFrame, catalogue: DataFrame, maps: ServingMaps, scorer:
     asked = apply_minmax(shapes.withColumns(cyclic_features(F.col("month"), F.col("date"), F.col("day"))), maps.scaler, CYCLIC)
     scored = scorer(asked.join(catalogue, ["genre", "group_name"]))
     ranked = scored.withColumn("predicted_rank", F.abs(F.col("prediction").cast("long")))
-    # one row per title, then the k first of each shape
-    best = ranked.groupBy(*SHAPE, "title").agg(F.min(F.struct("predicted_rank", "asin")).alias("best"))
-    best = best.select(*SHAPE, "title", F.col("best.predicted_rank").alias("predicted_rank"))
+    # one row per title, then the k first of each shape; the least number, not
+    # the least row, needs no sort of all scores (null where one is missing)
+    least = F.when(F.count("predicted_rank") == F.count(F.lit(1)), F.min("predicted_rank"))
+    best = ranked.groupBy(*SHAPE, "title").agg(least.alias("predicted_rank"))
     place = F.row_number().over(Window.partitionBy(*SHAPE).orderBy("predicted_rank", "title"))
     top = best.withColumn("position", place).where(F.col("position") <= k)
     answered = checked.join(top, SHAPE, "left")
