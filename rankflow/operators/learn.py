@@ -16,6 +16,9 @@ from pyspark.sql import functions as F
 from rankflow.operators.recommend import CODED, CYCLIC, ServingMaps, with_calendar_features
 from rankflow.operators.features import apply_minmax, first_token_index, lookup
 
+# rows of one training partition: the learners keep each partition as objects
+TRAIN_ROWS = 100_000
+
 RANK_FEATURES = [*CYCLIC, *CODED.values(), "title_code"]
 
 
@@ -43,9 +46,21 @@ def rank_pipeline(features: list[str], label: str = "rank", max_iter: int = 10,
     return Pipeline(stages=[assembler, gbt])
 
 
+def in_parts(rows: DataFrame, part_rows: int = TRAIN_ROWS) -> DataFrame:
+    """Stored rows dealt to partitions of about ``part_rows`` rows, at least as
+    many as they have: what a learner's task reads and keeps does not grow
+    with the table, however well its files are packed."""
+    parts = -(-rows.count() // part_rows)
+    return rows.repartition(parts) if parts > rows.rdd.getNumPartitions() else rows
+
+
 def fit(pipeline: Pipeline, train: DataFrame) -> PipelineModel:
-    return pipeline.fit(train.withColumn(pipeline.getStages()[1].getLabelCol(),
-                                         F.col(pipeline.getStages()[1].getLabelCol()).cast("double")))
+    """Fit on stored rows; only the columns that the learner reads go to it."""
+    assembler, gbt = pipeline.getStages()
+    marked = [gbt.getValidationIndicatorCol()] if gbt.isDefined(gbt.validationIndicatorCol) else []
+    label = F.col(gbt.getLabelCol()).cast("double").alias(gbt.getLabelCol())
+    used = [c for c in assembler.getInputCols() if c != gbt.getLabelCol()]
+    return pipeline.fit(in_parts(train.select(*used, label, *marked)))
 
 
 def save_model(model: PipelineModel, path: str) -> None:

@@ -20,10 +20,11 @@ from pyspark.ml.regression import FMRegressor, LinearRegression
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from rankflow.functions.calendar import cyclic_features, weekday_index
 from rankflow.operators.features import (codes_for, first_per_key, fit_label_codes_multi, fit_word_index, lookup,
                                          token_sequences)
 from rankflow.operators.learn import save_model
-from rankflow.operators.recommend import CODED, CYCLIC, ServingMaps, with_calendar_features
+from rankflow.operators.recommend import CODED, CYCLIC, ServingMaps
 from rankflow.operators.sequences import history_windows
 
 DYNAMIC = ["rank", *CYCLIC]
@@ -71,15 +72,23 @@ def item_vectors(items: DataFrame, maps: ItemMaps) -> DataFrame:
 def sequence_samples(daily: DataFrame, items: DataFrame, length: int = 10) -> DataFrame:
     """One row per item-day with ``length`` earlier days: asin, timestamp,
     target (the rank), ``dynamic`` (step by step the rank and the six cyclic
-    features of the earlier days), the item's codes and title tokens."""
-    series = with_calendar_features(daily).select("asin", "timestamp", F.col("rank").cast("double").alias("rank"), *CYCLIC)
-    windows = history_windows(series, ["timestamp"], DYNAMIC, "rank", key="asin", length=length)
-    steps = F.flatten(F.transform("history", lambda h: F.array(*[h[f] for f in DYNAMIC])))
-    samples = windows.select("asin", "timestamp", "target", steps.alias("dynamic"))
-    out = samples.join(items, "asin", "left")
+    features of the earlier days), the item's codes and title tokens.
+
+    The item's side joins the days before the windows are made: a day has four
+    numbers, a window forty.  The cyclic features are made from the windows'
+    calendar parts, so the wide samples are never sorted, shuffled or stored."""
+    days = daily.select("asin", "timestamp", F.col("rank").cast("double").alias("rank"), F.col("month").cast("int").alias("month"),
+                        F.col("date").cast("int").alias("date"), weekday_index("day").alias("day"))
     zeros = F.array_repeat(F.lit(0), TITLE_TOKENS)
-    return out.withColumns({**{c: F.coalesce(c, F.lit(-1)) for c in STATIC.values()},
-                            "title_seq": F.coalesce("title_seq", zeros)})
+    whole = days.join(items, "asin", "left").withColumns(
+        {**{c: F.coalesce(c, F.lit(-1)) for c in STATIC.values()}, "title_seq": F.coalesce("title_seq", zeros)})
+    windows = history_windows(whole, ["timestamp"], ["rank", "month", "date", "day"], "rank", key="asin", length=length)
+
+    def step(h: Column) -> Column:
+        return F.array(h["rank"], *cyclic_features(h["month"], h["date"], h["day"]).values())
+
+    dynamic = F.flatten(F.transform("history", step)).alias("dynamic")
+    return windows.select("asin", "timestamp", "target", dynamic, *STATIC.values(), "title_seq")
 
 
 # ---- vectors -----------------------------------------------------------------
@@ -107,14 +116,15 @@ def encode_static(df: DataFrame, codes: dict[str, int], out: str = "static") ->
 
 
 def sequence_vectors(samples: DataFrame, sizes: dict[str, int]) -> DataFrame:
-    """``static`` (sparse: author, publisher, group, genre, ten title places)
-    and ``features`` (history and static) for every sample."""
+    """The samples with ``static`` (sparse: author, publisher, group, genre,
+    ten title places) and ``features`` (history and static)."""
     tokens = {f"token_{i}": sizes["token"] for i in range(TITLE_TOKENS)}
-    wide = samples.withColumns({c: F.get("title_seq", int(c.split("_")[1])) for c in tokens})
-    codes = {code: sizes[col] for col, code in STATIC.items()} | tokens
+    wide = samples.withColumns({c: F.get("title_seq", int(c.split("_")[1])) for c in tokens}
+                               | {f"place_{code}": F.col(code) for code in STATIC.values()})
+    codes = {f"place_{code}": sizes[col] for col, code in STATIC.items()} | tokens
     made = encode_static(wide, codes).withColumn("history", array_to_vector("dynamic"))
     made = VectorAssembler(inputCols=["history", "static"], outputCol="features").transform(made)
-    return made.select("asin", "timestamp", "target", "dynamic", "static", "features")
+    return made.select(*samples.columns, "static", "features")
 
 
 def active_places(vector: str) -> Column:
@@ -183,8 +193,10 @@ def factor_machine(iterations: int = 40, step: float = 0.1, seed: int = 7) -> FM
 
 
 def elastic_net(mix: float = 0.5, iterations: int = 60) -> LinearRegression:
-    """An elastic-net regression on ``features`` for the scaled target."""
-    return LinearRegression(featuresCol="features", labelCol="scaled", elasticNetParam=mix, maxIter=iterations, solver="l-bfgs")
+    """An elastic-net regression on ``features`` for the scaled target.  Up to
+    4,096 features one pass over the rows gives their moments, and the
+    iterations run on those; with more every iteration reads the rows."""
+    return LinearRegression(featuresCol="features", labelCol="scaled", elasticNetParam=mix, maxIter=iterations, solver="auto")
 
 
 def category_factors(model: PipelineModel, spark, sizes: dict[str, int], first: int) -> DataFrame:

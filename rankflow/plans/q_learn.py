@@ -23,8 +23,7 @@ def train_score_rank(spark, sf_dir):
     tenth of the training rows as validation (early stop) -> model saved and
     re-loaded with the mappings -> score test -> one row per title
     (M1 M3 M5 M6 M7 S13 A18)."""
-    daily = materialize(C.book_daily(spark, sf_dir))
-    split = position_split(daily, ["timestamp", "asin"], total_col="n")
+    split = position_split(C.book_daily(spark, sf_dir), ["timestamp", "asin"], total_col="n")
     # the last tenth of the training positions validates the boosting rounds
     split = materialize(split.withColumn("is_val", F.col("pos") >= F.floor(F.col("n") * 0.8 * 0.9)))
     maps = fit_serving_maps(split.where(F.col("split") == "train"))
@@ -48,10 +47,12 @@ def train_score_sequence(spark, sf_dir):
     on a seeded hash split -> (asin, timestamp, actual, predicted) (M4 M2 M6)."""
     from rankflow.operators.features import hash_split
     daily = materialize(C.book_daily(spark, sf_dir))
-    w = history_windows(daily, ["timestamp"], ["rank"], "rank", key="asin")
+    w = history_windows(daily.select("asin", "timestamp", "rank"), ["timestamp"], ["rank"], "rank", key="asin")
     flat = flatten_history(w, "history", ["rank"], 10)
     feats = [f"rank_lag{i}" for i in range(1, 11)]
     flat = hash_split(flat.withColumn("_k", F.concat_ws("|", "asin", "timestamp")), "_k")
+    # the learner reads its rows several times: the windows are made once
+    flat = materialize(flat.select("asin", "timestamp", "target", "split", *feats))
     train = flat.where(F.col("split") == "train")
     test = flat.where(F.col("split") == "test")
     model = fit(rank_pipeline(feats, label="target"), train)

@@ -86,7 +86,7 @@ def _sequences(spark, sf_dir):
     daily = materialize(C.book_daily(spark, sf_dir))
     items = materialize(M.item_attributes(daily))
     maps = M.fit_item_maps(items)
-    return materialize(M.sequence_samples(daily, M.item_vectors(items, maps))), maps
+    return M.sequence_samples(daily, materialize(M.item_vectors(items, maps))), maps
 
 
 @query("sequence_samples", _SEQUENCE_SQL)
@@ -95,8 +95,8 @@ def sequence_samples(spark, sf_dir):
     and ten title tokens, and the places its static vector marks (M4 J7 W1 W2
     X24 X25)."""
     samples, maps = _sequences(spark, sf_dir)
-    vectors = M.sequence_vectors(samples, maps.sizes).select("asin", "timestamp", M.active_places("static").alias("active"))
-    return samples.join(vectors, ["asin", "timestamp"]).select(
+    vectors = M.sequence_vectors(samples, maps.sizes).withColumn("active", M.active_places("static"))
+    return vectors.select(
         "asin", "timestamp", "target", F.array_join(F.transform("dynamic", _micro), ",").alias("dynamic"),
         *[F.col(c).cast("int").alias(c) for c in M.STATIC.values()],
         F.array_join(F.transform("title_seq", lambda t: t.cast("string")), ",").alias("title_seq"), "active")
@@ -110,9 +110,9 @@ def train_sequence_full(spark, sf_dir):
     samples, maps = _sequences(spark, sf_dir)
     rows = hash_split(M.sequence_vectors(samples, maps.sizes).withColumn("_k", F.concat_ws("|", "asin", "timestamp")), "_k")
     rows = hash_split(rows, "_k", 90, seed="val", split_col="part")
-    train = rows.where("split = 'train' AND part = 'train'")
-    scale = M.fit_scale(train, "target")
-    rows = materialize(rows.select("target", scale.scaled("target").alias("scaled"), "features", "split", "part"))
+    rows = materialize(rows.select("target", "features", "split", "part"))
+    scale = M.fit_scale(rows.where("split = 'train' AND part = 'train'"), "target")
+    rows = rows.withColumn("scaled", scale.scaled("target"))
     net = M.elastic_net()
     grid = [{net.regParam: r} for r in (0.001, 0.1)]
     chosen = M.select_model(Pipeline(stages=[net]), grid, rows.where("split = 'train' AND part = 'train'"),
@@ -156,8 +156,7 @@ def train_rank_factors(spark, sf_dir):
     """A factorisation machine over the one-hot rank vectors: maps fitted on
     the first 80 % of the days, saved and loaded; two machines, chosen on the
     last tenth of those; the kept one judged on the rest (M3 M5 M6 M7 S13)."""
-    daily = materialize(C.book_daily(spark, sf_dir))
-    split = position_split(daily, ["timestamp", "asin"], total_col="n")
+    split = position_split(C.book_daily(spark, sf_dir), ["timestamp", "asin"], total_col="n")
     split = materialize(split.withColumn("is_val", F.col("pos") >= F.floor(F.col("n") * 0.8 * 0.9)))
     base = scratch_path(spark, "rank-factors")
     save_serving_maps(fit_serving_maps(split.where("split = 'train'")), f"{base}/maps")
