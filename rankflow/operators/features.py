@@ -130,6 +130,8 @@ def first_token_index(df: DataFrame, text_col: str, vocab: DataFrame, out: str)
             .select("_ft_text", F.posexplode(title_tokens("_ft_text")).alias("_ft_p", "_ft_word")))
     v = vocab.select(F.col("word").alias("_ft_word"), F.col("idx").alias("_ft_idx"))
     first = toks.join(v, "_ft_word").groupBy("_ft_text").agg(F.min(F.struct("_ft_p", "_ft_idx")).alias("_ft_first"))
+    # stored, its size is known before the join: few texts are sent to the rows, not the rows dealt by text
+    first = materialize(first)
     joined = df.join(first, F.col(text_col) == F.col("_ft_text"), "left")
     return joined.withColumn(out, F.coalesce(F.col("_ft_first._ft_idx"), F.lit(0))).drop("_ft_text", "_ft_first")
 

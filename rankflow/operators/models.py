@@ -12,7 +12,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.ml import PipelineModel
+from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.evaluation import RegressionEvaluator
 from pyspark.ml.feature import OneHotEncoder, VectorAssembler
 from pyspark.ml.functions import array_to_vector
@@ -21,6 +21,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from rankflow.functions.calendar import cyclic_features, weekday_index
+from rankflow.operators.factors import can_train, fit_machines
 from rankflow.operators.features import (codes_for, first_per_key, fit_label_codes_multi, fit_word_index, lookup,
                                          token_sequences)
 from rankflow.operators.learn import save_model
@@ -99,7 +100,7 @@ def one_hot_stage(codes: dict[str, int], out: str, df: DataFrame) -> PipelineMod
     the fitted maps, not of the rows at hand."""
     names = list(codes)
     # the encoder takes its sizes from the largest code it sees
-    sizes = df.sparkSession.createDataFrame([[float(max(codes[c], 1)) for c in names]], names)
+    sizes = df.sparkSession.range(1).select(*[F.lit(float(max(codes[c], 1))).alias(c) for c in names])
     hot = OneHotEncoder(inputCols=names, outputCols=[f"{c}_hot" for c in names], dropLast=False)
     return PipelineModel([hot.fit(sizes), VectorAssembler(inputCols=[f"{c}_hot" for c in names], outputCol=out)])
 
@@ -109,10 +110,14 @@ def _valid(c: str, n: int) -> Column:
     return F.when((F.col(c) >= 0) & (F.col(c) < n), F.col(c).cast("double")).otherwise(F.lit(float(n)))
 
 
-def encode_static(df: DataFrame, codes: dict[str, int], out: str = "static") -> DataFrame:
+def encode_static(df: DataFrame, codes: dict[str, int], out: str = "static", before: list[str] | None = None) -> DataFrame:
+    """``out``: the one-hot parts of all code columns.  With ``before`` also
+    ``features``: those columns and the same parts, put together in one go."""
     ready = df.withColumns({c: _valid(c, n) for c, n in codes.items()})
-    made = one_hot_stage(codes, out, df).transform(ready)
-    return made.drop(*[f"{c}_hot" for c in codes])
+    made, hot = one_hot_stage(codes, out, df).transform(ready), [f"{c}_hot" for c in codes]
+    if before:
+        made = VectorAssembler(inputCols=[*before, *hot], outputCol="features").transform(made)
+    return made.drop(*hot)
 
 
 def sequence_vectors(samples: DataFrame, sizes: dict[str, int]) -> DataFrame:
@@ -122,8 +127,7 @@ def sequence_vectors(samples: DataFrame, sizes: dict[str, int]) -> DataFrame:
     wide = samples.withColumns({c: F.get("title_seq", int(c.split("_")[1])) for c in tokens}
                                | {f"place_{code}": F.col(code) for code in STATIC.values()})
     codes = {f"place_{code}": sizes[col] for col, code in STATIC.items()} | tokens
-    made = encode_static(wide, codes).withColumn("history", array_to_vector("dynamic"))
-    made = VectorAssembler(inputCols=["history", "static"], outputCol="features").transform(made)
+    made = encode_static(wide.withColumn("history", array_to_vector("dynamic")), codes, before=["history"])
     return made.select(*samples.columns, "static", "features")
 
 
@@ -141,8 +145,7 @@ def rank_sizes(maps: ServingMaps) -> dict[str, int]:
 def rank_vectors(table: DataFrame, sizes: dict[str, int]) -> DataFrame:
     """``static`` (sparse one-hot of the five codes and the title's token) and
     ``features`` (scaled cyclic features and static) of a rank feature table."""
-    made = encode_static(table, sizes)
-    return VectorAssembler(inputCols=[*CYCLIC, "static"], outputCol="features").transform(made)
+    return encode_static(table, sizes, before=CYCLIC)
 
 
 # ---- selection -----------------------------------------------------------------
@@ -154,13 +157,24 @@ class Selected:
     best: int
 
 
+def fitted(estimator, grid: list[dict], train: DataFrame):
+    """The models of the parameter maps.  Factorisation machines go over the
+    rows together."""
+    stages = estimator.getStages() if isinstance(estimator, Pipeline) else [estimator]
+    if len(stages) == 1 and isinstance(stages[0], FMRegressor):
+        machines = [stages[0].copy(params) for params in grid]
+        columns = {(m.getFeaturesCol(), m.getLabelCol()) for m in machines}
+        if len(columns) == 1 and all(map(can_train, machines)):
+            return [PipelineModel([m]) for m in fit_machines(machines, train)]
+    return (estimator.fit(train, params) for params in grid)
+
+
 def select_model(estimator, grid: list[dict], train: DataFrame, valid: DataFrame, label: str, path: str) -> Selected:
     """Fit every parameter map on ``train``, keep the one with the least RMSE
     on ``valid`` (the first of equals), save it to ``path`` and load it."""
     judge = RegressionEvaluator(labelCol=label, predictionCol="prediction", metricName="rmse")
     losses, best = [], None
-    for params in grid:
-        model = estimator.fit(train, params)
+    for model in fitted(estimator, grid, train):
         losses.append(judge.evaluate(model.transform(valid)))
         if best is None or losses[-1] < losses[best[0]]:
             best = (len(losses) - 1, model)

@@ -13,12 +13,14 @@ task, so positions are computed instead as:
    row per partition, so broadcasting it is bounded by the partition
    count, never by the data.
 
-The range-sorted, tagged rows are cut from their lineage with a reliable
-``checkpoint()`` into the shared ``spark.checkpoint.dir`` before they are
-counted and joined: two independent range exchanges could draw different
-bounds when the sampler re-samples an imbalanced input, and a lost executor
-must not re-derive a row's index differently.  Callers should project only
-the columns they need first.
+The range-sorted, tagged rows are cut from their lineage before they are
+counted and joined, as a table in the shared ``spark.checkpoint.dir`` (a
+reliable ``checkpoint()`` where the partitions must be read back as they are):
+two independent range exchanges could draw different bounds when the sampler
+re-samples an imbalanced input, and a lost executor must not re-derive a row's
+index differently.  A table is compressed by column and read by column; a
+checkpoint holds whole rows as they are.  Callers should project only the
+columns they need first.
 """
 
 from __future__ import annotations
@@ -26,7 +28,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from rankflow.session import checkpoint_dir
+from rankflow.session import checkpoint_dir, materialize
 
 _INDEX_BITS = 33  # monotonically_increasing_id: partition id in the upper 31 bits
 
@@ -43,11 +45,13 @@ def _default_partitions(df: DataFrame) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
 
 
-def sorted_runs(df: DataFrame, order_cols, num_partitions: int | None = None) -> tuple[DataFrame, DataFrame]:
+def sorted_runs(df: DataFrame, order_cols, num_partitions: int | None = None,
+                in_place: bool = True) -> tuple[DataFrame, DataFrame]:
     """``df`` range-partitioned and sorted, each row tagged with its partition
-    ``_rf_part`` and place ``_rf_idx`` in it (checkpointed: the partitions are
-    read back as they are), and per non-empty partition its rows ``_rf_n``,
-    the rows before it ``_rf_off`` and all rows ``_rf_all``."""
+    ``_rf_part`` and place ``_rf_idx`` in it, and per non-empty partition its
+    rows ``_rf_n``, the rows before it ``_rf_off`` and all rows ``_rf_all``.
+    With ``in_place`` the partitions are read back as they are (checkpointed);
+    without, the rows are a stored table and only their tags hold."""
     keys = _sort_cols(order_cols)
     n = num_partitions or _default_partitions(df)
     ranged = df.repartitionByRange(n, *keys).sortWithinPartitions(*keys)
@@ -57,8 +61,11 @@ def sorted_runs(df: DataFrame, order_cols, num_partitions: int | None = None) ->
         F.shiftright(mid, _INDEX_BITS).alias("_rf_part"),
         mid.bitwiseAND(F.lit((1 << _INDEX_BITS) - 1)).alias("_rf_idx"),
     )
-    checkpoint_dir(df.sparkSession)
-    tagged = tagged.checkpoint(eager=True)
+    if in_place:
+        checkpoint_dir(df.sparkSession)
+        tagged = tagged.checkpoint(eager=True)
+    else:
+        tagged = materialize(tagged)
     counts = tagged.groupBy("_rf_part").agg(F.count(F.lit(1)).alias("_rf_n"))
     # one row per partition: these single-partition windows are bounded by n
     offsets = counts.select(
@@ -83,8 +90,9 @@ def with_position(df: DataFrame, order_cols, pos_col: str = "pos",
     otherwise positions among tied rows are not reproducible.  One path for
     every size of input.
     """
-    tagged, offsets = sorted_runs(df, order_cols, num_partitions)
-    out = tagged.join(F.broadcast(offsets), "_rf_part", "inner")
+    tagged, offsets = sorted_runs(df, order_cols, num_partitions, in_place=False)
+    # the positions are read more than once: one row per partition is kept
+    out = tagged.join(F.broadcast(materialize(offsets.coalesce(1))), "_rf_part", "inner")
     out = out.withColumn(pos_col, (F.col("_rf_off") + F.col("_rf_idx")).cast("long"))
     if total_col:
         out = out.withColumn(total_col, F.col("_rf_all").cast("long"))

@@ -34,3 +34,34 @@ def test_served_titles_are_found_without_a_sort_of_all_scores(spark):
     out = serving.serve(asked, shelf, maps, lambda df: df)
     assert "SortAggregate" not in _plan(out)
     assert [(r.position, r.title, r.predicted_rank) for r in out.orderBy("position").collect()] == [(1, "c", None), (2, "a", 3), (3, "b", 4)]
+
+
+def test_machines_share_their_passes_and_equal_sparks(spark):
+    """Sparse and dense rows, parts that are not 1, two parameter maps."""
+    import random
+
+    from pyspark.ml.linalg import Vectors
+    from rankflow.operators import models as M
+    from rankflow.operators.factors import fit_machines
+
+    rng, rows = random.Random(1), []
+    for i in range(400):
+        a, b, z = rng.randrange(7), rng.randrange(30), [rng.choice([0.0, 0.5, 1.0]), rng.random()]
+        parts = [(0, z[0]), (1, z[1]), (2 + a, 1.0), (10 + b, rng.choice([1.0, 2.0]) if i % 2 else 1.0)]
+        vector = Vectors.sparse(45, [p for p in parts if p[1]]) if i % 5 else Vectors.dense([1.0, 0.0] * 22 + [3.0])
+        rows.append((0.1 * a + 0.02 * b + z[1] + rng.gauss(0, 0.1), vector))
+    df = spark.createDataFrame(rows, ["scaled", "features"]).repartition(3)
+    fm = M.factor_machine(iterations=6)
+    machines = [fm.copy({fm.factorSize: k, fm.regParam: r}) for k, r in ((2, 0.01), (3, 0.1))]
+    for got, want in zip(fit_machines(machines, df), [m.fit(df) for m in machines]):
+        assert got.intercept == pytest.approx(want.intercept, abs=1e-9)
+        assert got.linear.toArray() == pytest.approx(want.linear.toArray(), abs=1e-9)
+        assert got.factors.toArray().ravel() == pytest.approx(want.factors.toArray().ravel(), abs=1e-9)
+
+
+def test_positions_are_a_table_not_a_checkpoint(spark):
+    from rankflow.operators.ordering import with_position
+
+    placed = with_position(spark.range(50).select((F.col("id") * 7 % 50).alias("v"), F.lit("wide").alias("w")), ["v"], "at", 4)
+    assert "ExistingRDD" not in _plan(placed)
+    assert [(r["v"], r["at"]) for r in placed.orderBy("at").collect()] == [(i, i) for i in range(50)]
