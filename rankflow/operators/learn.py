@@ -13,6 +13,7 @@ from pyspark.ml.regression import GBTRegressor
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from rankflow.operators.boosting import can_grow, grow_trees
 from rankflow.operators.recommend import CODED, CYCLIC, ServingMaps, with_calendar_features
 from rankflow.operators.features import apply_minmax, first_token_index, lookup
 
@@ -55,8 +56,11 @@ def in_parts(rows: DataFrame, part_rows: int = TRAIN_ROWS) -> DataFrame:
 
 
 def fit(pipeline: Pipeline, train: DataFrame) -> PipelineModel:
-    """Fit on stored rows; only the columns that the learner reads go to it."""
+    """Fit on stored rows; only the columns that the learner reads go to it.
+    Boosted trees grow on blocks of bins (:mod:`rankflow.operators.boosting`)."""
     assembler, gbt = pipeline.getStages()
+    if can_grow(gbt) and assembler.getHandleInvalid() == "keep":
+        return PipelineModel([assembler, grow_trees(gbt, assembler.getInputCols(), train)])
     marked = [gbt.getValidationIndicatorCol()] if gbt.isDefined(gbt.validationIndicatorCol) else []
     label = F.col(gbt.getLabelCol()).cast("double").alias(gbt.getLabelCol())
     used = [c for c in assembler.getInputCols() if c != gbt.getLabelCol()]

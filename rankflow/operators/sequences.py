@@ -53,11 +53,16 @@ def history_windows(df: DataFrame, order_cols: list[str], features: list[str], t
     tagged, offsets = sorted_runs(df, keys, max(parts, 1) if parts is not None else None)
     used = list(dict.fromkeys(([key] if key else []) + features))
     edges = _edges(tagged, offsets, used, length)
-    rows = (tagged.join(F.broadcast(edges), F.col("_rf_part") == F.col("_rf_to"), "left")
-            .select(*df.columns, F.when(F.col("_rf_idx") == 0, F.col("_rf_edge")).alias("_rf_edge")))
+    # an empty list, not null, where a row begins no partition: at every row Spark's
+    # Arrow writer goes over all the null lists at the end of a batch
+    none = F.array().cast(edges.schema["_rf_edge"].dataType)
+    edge = F.coalesce(F.when(F.col("_rf_idx") == 0, F.col("_rf_edge")), none).alias("_rf_edge")
+    rows = tagged.join(F.broadcast(edges), F.col("_rf_part") == F.col("_rf_to"), "left").select(*df.columns, edge)
     kept = [f for f in df.schema.fields if f.name not in (history_col, "target")]
-    struct = T.StructType([T.StructField(f, df.schema[f].dataType) for f in features])
-    schema = T.StructType([*kept, T.StructField(history_col, T.ArrayType(struct)),
+    # a window leaves the worker as flat columns: a row of nested structs costs
+    # many times as much to hand over, and a reader of single steps needs none
+    flat = [(f, i, f"_rf_{f}_{i}") for i in range(length) for f in features]
+    schema = T.StructType([*kept, *[T.StructField(c, df.schema[f].dataType) for f, _, c in flat],
                            T.StructField("target", df.schema[target].dataType)])
     names = [f.name for f in kept]
 
@@ -71,8 +76,8 @@ def history_windows(df: DataFrame, order_cols: list[str], features: list[str], t
             if not b.num_rows:
                 continue
             if before is None:
-                edge = b.column("_rf_edge")[0]
-                before = {c: edge.values.field(c) if edge.is_valid else b.column(c).slice(0, 0) for c in used}
+                edge = b.column("_rf_edge")[0].values
+                before = {c: edge.field(c) for c in used}
             both = {c: pa.concat_arrays([before[c], b.column(c)]) for c in used}
             n = len(both[used[0]])
             at = np.arange(max(n - b.num_rows, length), n)          # rows with enough predecessors
@@ -80,15 +85,14 @@ def history_windows(df: DataFrame, order_cols: list[str], features: list[str], t
                 same = pc.equal(both[key].take(pa.array(at - length)), both[key].take(pa.array(at)))
                 at = at[pc.fill_null(same, False).to_numpy(zero_copy_only=False)]
             own = pa.array(at - (n - b.num_rows))
-            past = pa.array((at[:, None] + np.arange(-length, 0)).ravel())
-            hist = pa.ListArray.from_arrays(
-                pa.array(np.arange(0, len(past) + 1, length), pa.int32()),
-                pa.StructArray.from_arrays([both[f].take(past) for f in features], features))
-            out = [b.column(c).take(own) for c in names] + [hist, b.column(target).take(own)]
-            yield pa.RecordBatch.from_arrays(out, [*names, history_col, "target"])
+            past = [pa.array(at - length + i) for i in range(length)]
+            hist = [both[f].take(past[i]) for f, i, _ in flat]
+            out = [b.column(c).take(own) for c in names] + hist + [b.column(target).take(own)]
+            yield pa.RecordBatch.from_arrays(out, schema.names)
             before = {c: both[c].slice(max(n - length, 0)) for c in used}
 
-    return rows.mapInArrow(windows, schema)
+    steps = [F.struct(*[F.col(f"_rf_{f}_{i}").alias(f) for f in features]) for i in range(length)]
+    return rows.mapInArrow(windows, schema).select(*names, F.array(*steps).alias(history_col), "target")
 
 
 def attach_static(samples: DataFrame, static: DataFrame, key: str, array_cols: dict[str, int],
