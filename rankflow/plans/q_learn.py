@@ -12,7 +12,7 @@ from rankflow.operators.recommend import fit_serving_maps, load_serving_maps, sa
 from rankflow.operators.sequences import flatten_history, history_windows
 from rankflow.plans import catalog as C
 from rankflow.plans.registry import query
-from rankflow.session import materialize, scratch_path
+from rankflow.session import materialize, remove, scratch_path
 
 
 @query("train_score_rank")
@@ -23,14 +23,19 @@ def train_score_rank(spark, sf_dir):
     tenth of the training rows as validation (early stop) -> model saved and
     re-loaded with the mappings -> score test -> one row per title
     (M1 M3 M5 M6 M7 S13 A18)."""
-    split = position_split(C.book_daily(spark, sf_dir), ["timestamp", "asin"], total_col="n")
+    # stored first: the sort reads its rows twice, and their shuffles are gone before its own
+    daily = materialize(C.book_daily(spark, sf_dir).drop("year"))
+    split = position_split(daily, ["timestamp", "asin"], total_col="n")
+    remove(daily)
     # the last tenth of the training positions validates the boosting rounds
-    split = materialize(split.withColumn("is_val", F.col("pos") >= F.floor(F.col("n") * 0.8 * 0.9)))
+    split = split.withColumn("is_val", F.col("pos") >= F.floor(F.col("n") * 0.8 * 0.9))
     maps = fit_serving_maps(split.where(F.col("split") == "train"))
     base = scratch_path(spark, "rank-model")
     save_serving_maps(maps, f"{base}/maps")
     maps = load_serving_maps(spark, f"{base}/maps")
-    table = materialize(rank_feature_table(split, maps))
+    # stored are the columns that the learner and the scores read
+    table = materialize(rank_feature_table(split, maps).select(
+        "asin", "title", "timestamp", "rank", "split", "is_val", *RANK_FEATURES))
     train = table.where(F.col("split") == "train")
     test = table.where(F.col("split") == "test")
     model = fit(rank_pipeline(RANK_FEATURES, validation_col="is_val"), train)

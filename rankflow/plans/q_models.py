@@ -21,7 +21,7 @@ from rankflow.operators.recommend import CYCLIC, fit_serving_maps, load_serving_
 from rankflow.plans import catalog as C
 from rankflow.plans import sql as S
 from rankflow.plans.registry import query
-from rankflow.session import materialize, scratch_path
+from rankflow.session import materialize, remove, scratch_path
 
 _FILTERS = TOKEN_FILTERS.replace("'", "''")
 _BLANKS = " " * len(TOKEN_FILTERS)
@@ -156,7 +156,10 @@ def train_rank_factors(spark, sf_dir):
     """A factorisation machine over the one-hot rank vectors: maps fitted on
     the first 80 % of the days, saved and loaded; two machines, chosen on the
     last tenth of those; the kept one judged on the rest (M3 M5 M6 M7 S13)."""
-    split = position_split(C.book_daily(spark, sf_dir), ["timestamp", "asin"], total_col="n")
+    # stored first: the sort reads its rows twice, and their shuffles are gone before its own
+    daily = materialize(C.book_daily(spark, sf_dir).drop("year"))
+    split = position_split(daily, ["timestamp", "asin"], total_col="n")
+    remove(daily)
     split = split.withColumn("is_val", F.col("pos") >= F.floor(F.col("n") * 0.8 * 0.9))
     base = scratch_path(spark, "rank-factors")
     save_serving_maps(fit_serving_maps(split.where("split = 'train'")), f"{base}/maps")

@@ -1,5 +1,7 @@
 """What a task holds, reads or repeats does not grow with the table."""
 
+import time
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -65,3 +67,54 @@ def test_positions_are_a_table_not_a_checkpoint(spark):
     placed = with_position(spark.range(50).select((F.col("id") * 7 % 50).alias("v"), F.lit("wide").alias("w")), ["v"], "at", 4)
     assert "ExistingRDD" not in _plan(placed)
     assert [(r["v"], r["at"]) for r in placed.orderBy("at").collect()] == [(i, i) for i in range(50)]
+
+
+def test_trees_on_blocks_equal_sparks(spark):
+    """Integers, halves, a column of one value; with and
+    without rows held out."""
+    import random
+
+    from rankflow.operators import boosting
+    from rankflow.operators.learn import fit, rank_pipeline
+
+    rng, rows = random.Random(1), []
+    for i in range(600):
+        a, b, c, d = rng.randrange(7), rng.randrange(-30, 70), rng.choice([0.0, 0.5, 1.0]), rng.gauss(0, 1)
+        rows.append((a, b, c, d, 5, float(a * (b > 10) + 10 * c * d + rng.gauss(0, 0.3)), i % 10 == 3))
+    df = spark.createDataFrame(rows, "a int, b int, c double, d double, e int, y double, v boolean").repartition(3).persist()
+    for held in (None, "v"):
+        line = rank_pipeline(["a", "b", "c", "d", "e"], label="y", validation_col=held, max_iter=3, max_depth=3)
+        assert boosting.can_grow(line.getStages()[1])
+        got, want = fit(line, df), line.fit(df)
+        assert got.stages[1].getNumTrees == want.stages[1].getNumTrees
+        scored = got.transform(df).select("y", "d", F.col("prediction").alias("p")).join(
+            want.transform(df).select("y", "d", F.col("prediction").alias("q")), ["y", "d"])
+        assert scored.count() == 600 and scored.where(F.abs(F.col("p") - F.col("q")) > 1e-9).isEmpty()
+
+
+def test_rows_without_an_edge_send_an_empty_list(spark):
+    from rankflow.operators.sequences import history_windows
+
+    days = spark.range(40).select((F.col("id") % 3).cast("string").alias("k"), F.col("id").alias("t"), (F.col("id") * 2).alias("v"))
+    made = history_windows(days, ["t"], ["v"], "v", key="k", length=3)
+    assert "coalesce(CASE WHEN (_rf_idx" in _plan(made)
+    rows = made.orderBy("k", "t").collect()
+    assert len(rows) == 40 - 9 and all([h.v for h in r.history] == [r.target - 18, r.target - 12, r.target - 6] for r in rows)
+
+
+def test_a_stored_table_leaves_no_shuffle_files(spark):
+    from rankflow.session import materialize, remove
+
+    disk = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+
+    def shuffled():
+        return {n for n in disk.getAllFiles().mkString("|").split("|") if "/shuffle_" in n}
+
+    before = shuffled()
+    table = materialize(spark.range(1000).repartition(4, "id").groupBy((F.col("id") % 7).alias("g")).count())
+    for _ in range(50):  # the files go in the background
+        if not shuffled() - before:
+            break
+        time.sleep(0.2)
+    assert not shuffled() - before and table.count() == 7
+    remove(table)
